@@ -1 +1,205 @@
-"""x"""
+"""Fare regression, tuning, scoring and explanation."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripwell.catalog.registry import query
+from tripwell.catalog.trips import KEYS, SILVER_SQL, once, silver, sql_unit
+from tripwell.operators import explain, ranking, regression, sampling
+from tripwell.operators.aggregates import hourly_stats
+from tripwell.operators.bounded import cached
+from tripwell.operators.projection import MODEL_FEATURES
+from tripwell.operators.quantiles import exact_quantiles
+from tripwell.operators.regression import LABEL
+from tripwell.plans.extracts import scaling_extract
+from tripwell.plans.training import train_fare_model
+from tripwell.sources import sinks
+from tripwell.sources.storage import new_path, store
+
+FEATURES = list(MODEL_FEATURES)
+_KEYS = ", ".join(KEYS)
+
+
+def model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver(spark, sf_dir).select(*KEYS, *FEATURES, LABEL)
+
+
+def splits(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Stored split tables, partitioned so that a reader opens only its share."""
+    labelled = once(spark, sf_dir, "splits", lambda: store(
+        sampling.assign_split(model_rows(spark, sf_dir), KEYS), "splits", ["split"]))
+    return {n: labelled.filter(F.col("split") == n).drop("split") for n in sampling.DEFAULT_SPLIT}
+
+
+def stored_forest(spark: SparkSession, sf_dir: str):
+    """The saved forest pipeline that scoring and explanation load."""
+    def build():
+        train = cached(splits(spark, sf_dir)["train"])
+        try:
+            model = regression.fit_pipeline(train, FEATURES, regression.random_forest())
+        finally:
+            train.unpersist()
+        return sinks.save_model(model, new_path(spark, "forest"))
+
+    return sinks.load_model(spark, once(spark, sf_dir, "forest", build))
+
+
+def _metrics_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(rows, "model string, rmse double, r2 double, mae double")
+
+
+def _fit_and_score(spark: SparkSession, sf_dir: str, name: str, estimator, train: DataFrame | None = None) -> DataFrame:
+    parts = splits(spark, sf_dir)
+    model = regression.fit_pipeline(parts["train"] if train is None else train, FEATURES, estimator)
+    m = regression.model_metrics(model, parts["validation"])
+    return _metrics_frame(spark, [(name, m["rmse"], m["r2"], m["mae"])])
+
+
+_NORMAL_SQL = f"""with {SILVER_SQL}, s as (
+  select avg(trip_distance) as ma, avg(trip_duration_min) as mb, avg(fare_amount) as my,
+    var_pop(trip_distance) as saa, var_pop(trip_duration_min) as sbb,
+    covar_pop(trip_distance, trip_duration_min) as sab, covar_pop(trip_distance, fare_amount) as say,
+    covar_pop(trip_duration_min, fare_amount) as sby from silver),
+b as (select *, (say * sbb - sby * sab) / (saa * sbb - sab * sab) as ba,
+  (sby * saa - say * sab) / (saa * sbb - sab * sab) as bb from s)"""
+_TWO = ["trip_distance", "trip_duration_min"]
+
+
+@query("linear_regression_ols", f"""{_NORMAL_SQL}
+select 'intercept' as term, round(my - ba * ma - bb * mb, 6) as coefficient from b
+union all select 'trip_distance', round(ba, 6) from b
+union all select 'trip_duration_min', round(bb, 6) from b""")
+def linear_regression_ols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = regression.fit_pipeline(silver(spark, sf_dir).select(*_TWO, LABEL), _TWO,
+                                    regression.ordinary_least_squares())
+    return spark.createDataFrame([(n, round(b, 6)) for n, b in regression.coefficients(model, _TWO).items()],
+                                 "term string, coefficient double")
+
+
+@query("linear_regression_elastic")
+def linear_regression_elastic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fit_and_score(spark, sf_dir, "LinearRegression", regression.elastic_net())
+
+
+@query("linear_regression_sgd")
+def linear_regression_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tenth = sampling.sample_fraction(splits(spark, sf_dir)["train"], KEYS, 0.1, seed=7)
+    return _fit_and_score(spark, sf_dir, "IterativeLinear", regression.iterative_least_squares(), tenth)
+
+
+@query("random_forest")
+def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = regression.model_metrics(stored_forest(spark, sf_dir), splits(spark, sf_dir)["validation"])
+    return _metrics_frame(spark, [("RandomForest", m["rmse"], m["r2"], m["mae"])])
+
+
+@query("gbt_regressor")
+def gbt_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fit_and_score(spark, sf_dir, "GBT", regression.gradient_boosted_trees())
+
+
+@query("cv_grid_search")
+def cv_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    search = regression.cv_grid_search(splits(spark, sf_dir)["train"], FEATURES, KEYS)
+    return spark.createDataFrame(regression.grid_table(search),
+                                 "max_depth int, max_iter int, rmse double, rmse_std double, chosen boolean")
+
+
+@query("param_random_search")
+def param_random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = splits(spark, sf_dir)
+    trials = regression.param_random_search(parts["train"], parts["validation"], FEATURES)
+    best = min(trials, key=lambda t: (t.rmse, t.trial))
+    return spark.createDataFrame(
+        [(t.trial, t.trees, t.depth, t.min_rows, t.rmse, t.trial == best.trial) for t in trials],
+        "trial int, trees int, depth int, min_rows int, rmse double, chosen boolean")
+
+
+@query("cross_validate_metrics")
+def cross_validate_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = regression.cross_validate_metrics(splits(spark, sf_dir)["train"], FEATURES, KEYS,
+                                             regression.random_forest())
+    names = ("rmse", "mae", "r2", "mape", "explained_variance")
+    return spark.createDataFrame([(n, *regression.mean_and_deviation(rows, n)) for n in names],
+                                 "metric string, mean double, deviation double")
+
+
+@query("model_bakeoff")
+def model_bakeoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = train_fare_model(model_rows(spark, sf_dir), KEYS, model_path=new_path(spark, "best-model"))
+    return spark.createDataFrame(
+        [(e.model, e.rmse, e.r2, e.mae, e.model == result.winner.model,
+          result.test["rmse"] if e.model == result.winner.model else None) for e in result.entries],
+        "model string, rmse double, r2 double, mae double, winner boolean, test_rmse double")
+
+
+@query("score_batch")
+def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = regression.score_batch(stored_forest(spark, sf_dir), splits(spark, sf_dir)["test"])
+    return scored.select(*KEYS, LABEL, "prediction")
+
+
+def hourly_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One average trip per pickup hour."""
+    return (silver(spark, sf_dir).groupBy(F.col("pickup_hour").alias("hour"))
+            .agg(*[F.avg(f).alias(f) for f in FEATURES]))
+
+
+@query("predict_what_if")
+def predict_what_if(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The long way home: 20 miles with two passengers, for 10 minutes and for the median duration.
+    model, profiles = stored_forest(spark, sf_dir), hourly_profiles(spark, sf_dir)
+    median = exact_quantiles(silver(spark, sf_dir), ["trip_duration_min"], [0.5])["trip_duration_min"][0]
+    short = regression.predict_what_if(model, profiles).withColumn("scenario", F.lit("default"))
+    usual = regression.predict_what_if(model, profiles, minutes=median).withColumn(
+        "scenario", F.lit("median_duration"))
+    return short.unionByName(usual).select("scenario", "hour", "trip_distance", "trip_duration_min",
+                                           "passenger_count", "prediction")
+
+
+@query("feature_importance")
+def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = regression.feature_importance(stored_forest(spark, sf_dir), FEATURES)
+    return spark.createDataFrame(scores, "feature_name string, importance_score double").orderBy(
+        F.col("importance_score").desc(), "feature_name")
+
+
+@query("shapley_values")
+def shapley_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    test = splits(spark, sf_dir)["test"]
+    rows = sampling.sample_exact(test, KEYS, 500)
+    contributions = explain.shapley_values(stored_forest(spark, sf_dir), rows,
+                                           splits(spark, sf_dir)["train"], FEATURES, KEYS)
+    return explain.mean_absolute_contribution(contributions)
+
+
+@query("shapley_values_linear", f"""{_NORMAL_SQL}, picked as (select * from silver
+  order by {sql_unit(KEYS)}, {_KEYS} limit 500)
+select {_KEYS}, 'trip_distance' as feature_name, round(ba * (trip_distance - ma), 6) + 0.0 as contribution
+from picked, b union all
+select {_KEYS}, 'trip_duration_min', round(bb * (trip_duration_min - mb), 6) + 0.0 from picked, b""")
+def shapley_values_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = silver(spark, sf_dir).select(*KEYS, *_TWO, LABEL)
+    model = regression.fit_pipeline(rows, _TWO, regression.ordinary_least_squares())
+    slopes = regression.coefficients(model, _TWO)
+    slopes.pop("intercept")
+    picked = sampling.sample_exact(rows, KEYS, 500)
+    parts = explain.shapley_linear(picked, rows, slopes, KEYS)
+    return parts.withColumn("contribution", F.round("contribution", 6) + 0.0)
+
+
+@query("local_surrogate")
+def local_surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = model_rows(spark, sf_dir)
+    sample = sampling.sample_exact(rows, KEYS, 100)
+    chosen = ranking.argmax_row(sample, LABEL, KEYS)
+    weights = explain.local_surrogate(stored_forest(spark, sf_dir), chosen, rows, FEATURES, KEYS)
+    return spark.createDataFrame([(i + 1, n, w) for i, (n, w) in enumerate(weights)],
+                                 "rank int, feature_name string, weight double")
+
+
+@query("scaling_extract")
+def scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scaling_extract(silver(spark, sf_dir), KEYS, hourly_stats)

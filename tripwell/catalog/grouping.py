@@ -1 +1,232 @@
-"""x"""
+"""Clustering and its quality."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tripwell.catalog.ingest import rounded
+from tripwell.catalog.registry import query
+from tripwell.catalog.summaries import calinski_sql, centers_sql, davies_sql, silhouette_sql
+from tripwell.catalog.trips import (
+    ANCHORS, CLUSTER_COLUMNS, KEYS, SILVER_SQL, labelled, label_sql, silver, sql_unit)
+from tripwell.operators import cluster_quality, clustering, scaling
+from tripwell.operators.bounded import cached
+from tripwell.plans.personas import personas_pipeline
+
+_KEYS = ", ".join(KEYS)
+SCALED = [f"{c}_scaled" for c in CLUSTER_COLUMNS]
+
+
+def cluster_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver(spark, sf_dir).select(*KEYS, *CLUSTER_COLUMNS)
+
+
+def scaled_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance, fare and duration standardised with the population deviation."""
+    scaled = scaling.standard_scale(cluster_input(spark, sf_dir), CLUSTER_COLUMNS, population=True)
+    return scaled.select(*KEYS, *SCALED)
+
+
+@query("kmeans_search")
+def kmeans_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = cached(clustering.scaled_vectors(cluster_input(spark, sf_dir)).select("features"))
+    try:
+        trials = clustering.kmeans_search(vectors)
+    finally:
+        vectors.unpersist()
+    best = clustering.best_trial(trials)
+    return spark.createDataFrame(
+        [(t.k, float(t.silhouette), float(t.cost), t.k == best.k) for t in trials],
+        "k int, silhouette double, training_cost double, chosen boolean")
+
+
+def _assignment_summary(model, vectors: DataFrame, centers: list) -> DataFrame:
+    """Centers, sizes and mean features per cluster of a fitted model."""
+    sizes = model.transform(vectors).groupBy("prediction").agg(
+        F.count(F.lit(1)).alias("size"), *[F.avg(c).alias(f"avg_{c}") for c in CLUSTER_COLUMNS])
+    table = clustering.centers_frame(vectors.sparkSession, np.array(centers), SCALED)
+    return (F.broadcast(table).join(sizes, F.col("cluster") == F.col("prediction"), "left")
+            .drop("prediction").na.fill(0, ["size"]))
+
+
+@query("bisecting_kmeans")
+def bisecting_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cluster_input(spark, sf_dir)
+    vectors = clustering.scaled_vectors(rows, centered=False)
+    model = clustering.fit_bisecting(vectors.select("features"))
+    offset = rows.agg(*[F.avg(c) / F.stddev_samp(c) for c in CLUSTER_COLUMNS]).first()
+    return _assignment_summary(model, vectors, [c - np.array(offset) for c in model.clusterCenters()])
+
+
+@query("gaussian_mixture")
+def gaussian_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = clustering.scaled_vectors(cluster_input(spark, sf_dir))
+    fit_input = cached(vectors.select("features"))
+    try:
+        model = clustering.fit_gaussian_mixture(fit_input)
+    finally:
+        fit_input.unpersist()
+    means = [list(g.mean) for g in model.gaussians]
+    extra = spark.createDataFrame(
+        [(i, float(w), [float(x) for x in g.cov.toArray().ravel()])
+         for i, (w, g) in enumerate(zip(model.weights, model.gaussians))],
+        "cluster int, weight double, covariance array<double>")
+    return _assignment_summary(model, vectors, means).join(F.broadcast(extra), "cluster")
+
+
+_LLOYD_ROUNDS = 5
+
+
+def _lloyd_sql() -> str:
+    scaled = ", ".join(f"({c} - (select avg({c}) from silver)) / (select stddev_pop({c}) from silver)"
+                       f" as {c}_scaled" for c in CLUSTER_COLUMNS)
+    xs = ", ".join(SCALED)
+    steps = [f"with {SILVER_SQL}, points as (select {_KEYS}, {scaled} from silver)",
+             f"""c0 as (select row_number() over (order by u) - 1 as cluster, {xs} from (
+  select {xs}, min({sql_unit(KEYS)}) as u from points group by {xs} order by u limit 5))"""]
+    gap = " + ".join(f"(p.{x} - c.{x}) * (p.{x} - c.{x})" for x in SCALED)
+    for i in range(_LLOYD_ROUNDS):
+        means = ", ".join(f"coalesce(m.{x}, c.{x}) as {x}" for x in SCALED)
+        steps.append(f"""a{i} as (select {xs}, cluster, d from (
+  select p.*, c.cluster, {gap} as d,
+    row_number() over (partition by p.id order by {gap}, c.cluster) as rn
+  from (select *, row_number() over () as id from points) p, c{i} c) where rn = 1)""")
+        steps.append(f"""m{i} as (select cluster, count(*) as n, {', '.join(f'avg({x}) as {x}' for x in SCALED)}
+  from a{i} group by cluster)""")
+        steps.append(f"""c{i + 1} as (select c.cluster, {means} from c{i} c left join m{i} m using (cluster))""")
+    last = _LLOYD_ROUNDS - 1
+    return ", ".join(steps) + f""" select cast(cluster as integer) as cluster,
+  {', '.join(f'round({x}, 6) as {x}' for x in SCALED)},
+  (select round(sum(d), 3) from a{last}) as cost from c{_LLOYD_ROUNDS}"""
+
+
+@query("lloyd_kmeans", _lloyd_sql())
+def lloyd_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = clustering.lloyd_kmeans(scaled_input(spark, sf_dir), SCALED, KEYS, k=5,
+                                  max_iter=_LLOYD_ROUNDS, tol=0.0)
+    centers = clustering.centers_frame(spark, run.centers, SCALED)
+    return rounded(centers, *SCALED).withColumn("cost", F.round(F.lit(run.cost), 3))
+
+
+@query("kmeans_assign", f"""with {SILVER_SQL}, {label_sql()}
+select {_KEYS}, cluster, round(distance_sq, 6) as distance_sq from labelled""")
+def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(labelled(spark, sf_dir).select(*KEYS, "cluster", "distance_sq"), "distance_sq")
+
+
+@query("kmeans_restarts")
+def kmeans_restarts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = cached(clustering.scaled_vectors(cluster_input(spark, sf_dir)).select("features"))
+    try:
+        trials = clustering.kmeans_restarts(vectors)
+    finally:
+        vectors.unpersist()
+    best = min(range(len(trials)), key=lambda i: trials[i].cost)
+    return spark.createDataFrame([(i, float(t.cost), i == best) for i, t in enumerate(trials)],
+                                 "restart int, training_cost double, chosen boolean")
+
+
+@query("cluster_stability")
+def cluster_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifts = clustering.cluster_stability(scaled_input(spark, sf_dir), SCALED, KEYS)
+    summary = clustering.stability_summary(shifts)
+    nearest = clustering.stability_summary(shifts, "shift_nearest")
+    return summary.select(F.lit("sorted").alias("alignment"), "*").unionByName(
+        nearest.select(F.lit("nearest").alias("alignment"), "*"))
+
+
+def _hour_centers(spark: SparkSession, sf_dir: str, weekend: float) -> DataFrame:
+    return (silver(spark, sf_dir).filter(F.col("is_weekend") == weekend)
+            .groupBy(F.col("payment_type").alias("cluster"))
+            .agg(*[F.avg(c).alias(c) for c in CLUSTER_COLUMNS]))
+
+
+_RANKED = "{name} as (" + " union all ".join(
+    f"select '{c}' as f, row_number() over (order by x) as i, x from (select avg({c}) as x from silver"
+    " where is_weekend = {w} group by payment_type)" for c in CLUSTER_COLUMNS) + ")"
+_NEAREST = " + ".join(f"(a.{c} - b.{c}) ** 2" for c in CLUSTER_COLUMNS)
+_CENTERS = "select payment_type as cluster, " + ", ".join(
+    f"avg({c}) as {c}" for c in CLUSTER_COLUMNS) + " from silver where is_weekend = {w} group by 1"
+
+
+@query("center_shift", f"""with {SILVER_SQL}, {_RANKED.format(name='ra', w=0)}, {_RANKED.format(name='rb', w=1)},
+ca as ({_CENTERS.format(w=0)}), cb as ({_CENTERS.format(w=1)}),
+s as (select avg(d) as shift_sorted from (
+  select sqrt(sum((ra.x - rb.x) ** 2)) as d from ra join rb using (f, i) group by i)),
+n as (select avg(d) as shift_nearest from (
+  select a.cluster, min(sqrt({_NEAREST})) as d from ca a, cb b group by a.cluster))
+select round(shift_sorted, 6) as shift_sorted, round(shift_nearest, 6) as shift_nearest from s, n""")
+def center_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shift = clustering.center_shift(_hour_centers(spark, sf_dir, 0.0), _hour_centers(spark, sf_dir, 1.0),
+                                    CLUSTER_COLUMNS)
+    return rounded(shift, "shift_sorted", "shift_nearest")
+
+
+@query("personas_pipeline")
+def personas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personas_pipeline(silver(spark, sf_dir).select(*KEYS, *CLUSTER_COLUMNS), KEYS)
+
+
+# ---- quality ---------------------------------------------------------------
+
+_CENTER_SQL = f"with {SILVER_SQL}, {label_sql()}, {centers_sql('labelled', 'centers', CLUSTER_COLUMNS)}"
+
+
+def _scaled_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scaled = scaling.standard_scale(labelled(spark, sf_dir), CLUSTER_COLUMNS)
+    return scaled.select(*KEYS, *SCALED, "cluster")
+
+
+_SCALED_SQL = ", ".join(f"({c} - (select avg({c}) from silver)) / (select stddev_samp({c}) from silver)"
+                        f" as {c}_scaled" for c in CLUSTER_COLUMNS)
+
+
+@query("silhouette_sq", f"""with {SILVER_SQL}, {label_sql()},
+scaled as (select cluster, {_SCALED_SQL} from labelled), {centers_sql('scaled', 'centers', SCALED)},
+{silhouette_sql('scaled', 'centers', SCALED, 'score')} select round(silhouette, 6) as silhouette from score""")
+def silhouette_sq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(cluster_quality.silhouette_sq(_scaled_labels(spark, sf_dir), SCALED, "cluster"),
+                   "silhouette")
+
+
+@query("silhouette_euclid")
+def silhouette_euclid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_quality.silhouette_euclid(labelled(spark, sf_dir), CLUSTER_COLUMNS, "cluster", KEYS)
+
+
+def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_quality.cluster_table(labelled(spark, sf_dir), CLUSTER_COLUMNS, "cluster")
+
+
+@query("calinski_harabasz", f"""{_CENTER_SQL}, {calinski_sql('centers', CLUSTER_COLUMNS, 'score')}
+select round(calinski_harabasz, 6) as calinski_harabasz from score""")
+def calinski_harabasz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(cluster_quality.calinski_harabasz(_table(spark, sf_dir), CLUSTER_COLUMNS),
+                   "calinski_harabasz")
+
+
+@query("davies_bouldin", f"""{_CENTER_SQL}, {davies_sql('labelled', 'centers', CLUSTER_COLUMNS, 'score')}
+select round(davies_bouldin, 6) as davies_bouldin from score""")
+def davies_bouldin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(cluster_quality.davies_bouldin(labelled(spark, sf_dir), CLUSTER_COLUMNS, "cluster"),
+                   "davies_bouldin")
+
+
+@query("wssse", f"{_CENTER_SQL} select round(sum(n * v), 3) as wssse from centers")
+def wssse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(cluster_quality.wssse(_table(spark, sf_dir)), "wssse", digits=3)
+
+
+@query("cluster_entropy", f"""{_CENTER_SQL}
+select round(-sum(n / (select sum(n) from centers)::double * ln(n / (select sum(n) from centers)::double)), 6)
+  as entropy from centers""")
+def cluster_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(cluster_quality.cluster_entropy(_table(spark, sf_dir)), "entropy")
+
+
+@query("cluster_report")
+def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    models = {f"k={k}": labelled(spark, sf_dir, k) for k in sorted(ANCHORS)}
+    return cluster_quality.cluster_report(models, CLUSTER_COLUMNS, "cluster", KEYS)

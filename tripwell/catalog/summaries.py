@@ -11,7 +11,7 @@ from tripwell.catalog.trips import (
     ANCHORS, CLUSTER_COLUMNS, KEYS, PREDICTED_SQL, SILVER_SQL, TRIPS_SQL, ZONES_SQL, labelled,
     label_sql, predicted, silver, sql_unit, trips, zones)
 from tripwell.operators import aggregates, cluster_quality, ranking
-from tripwell.operators.bounded import pin_small
+from tripwell.operators.bounded import in_parallel, pin_small
 from tripwell.operators.joins import broadcast_zone_join
 from tripwell.operators.projection import MODEL_FEATURES
 from tripwell.operators.regression_quality import metric_columns
@@ -344,11 +344,10 @@ _BEST_K_SQL = f"with {SILVER_SQL}, " + ", ".join(
 {' union all '.join(f'select {k} as k, silhouette from s{k}' for k in sorted(ANCHORS))})
 order by silhouette desc, k limit 1""")
 def best_k_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = None
-    for k in sorted(ANCHORS):
-        row = cluster_quality.silhouette_sq(labelled(spark, sf_dir, k), CLUSTER_COLUMNS, "cluster")
-        row = row.select(F.lit(k).alias("k"), "silhouette")
-        table = row if table is None else table.unionByName(row)
+    ks = sorted(ANCHORS)
+    scores = in_parallel([lambda k=k: cluster_quality.silhouette_sq(
+        labelled(spark, sf_dir, k), CLUSTER_COLUMNS, "cluster").first()[0] for k in ks])
+    table = spark.createDataFrame(list(zip(ks, scores)), "k int, silhouette double")
     return rounded(ranking.best_k_select(table), "silhouette")
 
 
@@ -361,18 +360,14 @@ _PER_METRIC_SQL = _BEST_K_SQL + ", " + ", ".join(
 
 
 def clustering_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three quality metrics of the fixed clusterings."""
-    table = None
-    for i, k in enumerate(sorted(ANCHORS)):
-        rows = labelled(spark, sf_dir, k)
-        centers = pin_small(cluster_quality.cluster_table(rows, CLUSTER_COLUMNS, "cluster"))
-        row = cluster_quality.silhouette_sq(rows, CLUSTER_COLUMNS, "cluster", centers).withColumns({
-            "calinski_harabasz": cluster_quality.calinski_harabasz(centers, CLUSTER_COLUMNS).scalar(),
-            "davies_bouldin": cluster_quality.davies_bouldin(
-                rows, CLUSTER_COLUMNS, "cluster", centers).scalar()})
-        row = row.select(F.lit(f"k={k}").alias("model"), F.lit(i).alias("position"), "*")
-        table = row if table is None else table.unionByName(row)
-    return table
+    """Quality metrics of the fixed clusterings, evaluated side by side."""
+    ks = sorted(ANCHORS)
+    rows = in_parallel([lambda k=k: cluster_quality.quality_row(
+        labelled(spark, sf_dir, k), CLUSTER_COLUMNS, "cluster") for k in ks])
+    names = ["silhouette", "calinski_harabasz", "davies_bouldin"]
+    return spark.createDataFrame(
+        [(f"k={k}", i, *[r[n] for n in names]) for i, (k, r) in enumerate(zip(ks, rows))],
+        "model string, position int, " + ", ".join(f"{n} double" for n in names))
 
 
 @query("best_per_metric", _PER_METRIC_SQL + " " + " union all ".join(

@@ -1,9 +1,13 @@
-"""Broadcasting only what has been measured to be small."""
+"""Broadcasting what is measured to be small, caching, and running fits side by side."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 BROADCAST_ROW_LIMIT = 100_000
 
@@ -28,3 +32,14 @@ def pin_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def cached(df: DataFrame) -> DataFrame:
+    """Keep an iterated input; blocks lost with an executor are recomputed."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def in_parallel(tasks: Sequence[Callable], width: int = 4) -> list:
+    """Run independent fits side by side so that their stages share the cluster."""
+    with ThreadPoolExecutor(max_workers=width) as pool:
+        return [f.result() for f in [pool.submit(t) for t in tasks]]

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwell.operators.bounded import pin_small
+from tripwell.operators.bounded import cached, in_parallel, pin_small
 from tripwell.operators.sampling import sample_exact
 
 
@@ -122,6 +122,30 @@ def silhouette_sq(df: DataFrame, features: Sequence[str], label: str,
     return df.agg(F.avg(silhouette_sq_column(features, F.col(label), clusters)).alias("silhouette"))
 
 
+def _distance_sums(mine: np.ndarray, everyone: np.ndarray, first: np.ndarray, count: np.ndarray,
+                   rows: int = 64, columns: int = 2048) -> np.ndarray:
+    """Sum of distances from each of my points to all points of each cluster.
+
+    ``everyone`` is ordered by cluster. Works in tiles that stay in the cache.
+    """
+    sums = np.zeros((len(mine), len(first)))
+    tile, gap = np.empty((rows, columns)), np.empty((rows, columns))
+    for c, (start, size) in enumerate(zip(first, count)):
+        for left in range(start, start + size, columns):
+            theirs = everyone[left:min(left + columns, start + size)]
+            for top in range(0, len(mine), rows):
+                part = mine[top:top + rows]
+                total, off = tile[:len(part), :len(theirs)], gap[:len(part), :len(theirs)]
+                total[:] = 0.0
+                for j in range(mine.shape[1]):
+                    np.subtract(part[:, j, None], theirs[None, :, j], out=off)
+                    np.multiply(off, off, out=off)
+                    np.add(total, off, out=total)
+                np.sqrt(total, out=total)
+                sums[top:top + rows, c] += total.sum(axis=1)
+    return sums
+
+
 def silhouette_euclid(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
                       cap: int = 50_000, seed: int = 42) -> DataFrame:
     """Mean silhouette with Euclidean distance on a sample of at most ``cap`` rows.
@@ -145,28 +169,19 @@ def silhouette_euclid(df: DataFrame, features: Sequence[str], label: str, keys:
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         everyone, first, count = shipped.value
-        block = max(1, 2_000_000 // len(everyone))
         for batch in batches:
-            total = 0.0
-            for at in range(0, len(batch), block):
-                part = batch.iloc[at:at + block]
-                own = part["_code"].to_numpy()
-                squared = np.zeros((len(part), len(everyone)))
-                for j, f in enumerate(features):
-                    gap = part[f].to_numpy()[:, None] - everyone[:, j][None, :]
-                    squared += gap * gap
-                np.sqrt(squared, out=squared)
-                sums = np.add.reduceat(squared, first, axis=1)
-                rows = np.arange(len(part))
-                alone = count[own] == 1
-                inside = sums[rows, own] / np.maximum(count[own] - 1, 1)
-                means = sums / count
-                means[rows, own] = np.inf
-                nearest = means.min(axis=1)
-                top = np.maximum(inside, nearest)
-                ratio = np.divide(nearest - inside, top, out=np.zeros(len(part)), where=top > 0)
-                total += ratio[~alone].sum()
-            yield pd.DataFrame({"total": [total], "n": [len(batch)]})
+            mine = batch[list(features)].to_numpy()
+            own = batch["_code"].to_numpy()
+            sums = _distance_sums(mine, everyone, first, count)
+            rows = np.arange(len(mine))
+            inside = sums[rows, own] / np.maximum(count[own] - 1, 1)
+            means = sums / count
+            means[rows, own] = np.inf
+            nearest = means.min(axis=1)
+            top = np.maximum(inside, nearest)
+            ratio = np.divide(nearest - inside, top, out=np.zeros(len(mine)), where=top > 0)
+            ratio[count[own] == 1] = 0.0
+            yield pd.DataFrame({"total": [ratio.sum()], "n": [len(mine)]})
 
     to_score = pd.DataFrame(points, columns=list(features)).assign(_code=codes)
     width = max(spark.sparkContext.defaultParallelism, 1)
@@ -175,25 +190,40 @@ def silhouette_euclid(df: DataFrame, features: Sequence[str], label: str, keys:
             .agg((F.sum("total") / F.sum("n")).alias("silhouette"), F.sum("n").alias("sample_size")))
 
 
+def quality_row(df: DataFrame, features: Sequence[str], label: str) -> dict:
+    """Clusters, rows, squared silhouette, and the other four metrics of a labelling."""
+    table = pin_small(cluster_table(df, features, label))
+    row = table.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("rows"),
+                    F.sum("ss").alias("wssse")).first().asDict()
+    if row["k"] < 2:
+        raise ValueError("cluster quality needs at least two clusters")
+    return {**row,
+            "silhouette": silhouette_sq(df, features, label, table).first()[0],
+            "calinski_harabasz": calinski_harabasz(table, features).first()[0],
+            "davies_bouldin": davies_bouldin(df, features, label, table).first()[0],
+            "entropy": cluster_entropy(table).first()[0]}
+
+
 def cluster_report(labelled: dict[str, DataFrame], features: Sequence[str], label: str,
                    keys: Sequence[str], cap: int = 50_000, seed: int = 42) -> DataFrame:
     """One row per model: clusters, sample size and five quality metrics.
 
-    The metrics describe the same sample of at most ``cap`` rows throughout.
+    All metrics describe the same sample of at most ``cap`` rows, and the
+    silhouette uses Euclidean distance. Models are evaluated side by side.
     """
-    report = None
-    for position, (name, df) in enumerate(labelled.items()):
-        sample = sample_exact(df.select(*keys, *features, label), keys, cap, seed).persist()
-        table = pin_small(cluster_table(sample, features, label))
-        row = (table.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("sample_size"))
-               .withColumns({
-                   "silhouette": silhouette_euclid(sample, features, label, keys, cap, seed)
-                   .select("silhouette").scalar(),
-                   "calinski_harabasz": calinski_harabasz(table, features).scalar(),
-                   "davies_bouldin": davies_bouldin(sample, features, label, table).scalar(),
-                   "wssse": wssse(table).scalar(),
-                   "entropy": cluster_entropy(table).scalar()}))
-        row = pin_small(row.select(F.lit(position).alias("position"), F.lit(name).alias("model"), "*"))
-        sample.unpersist()
-        report = row if report is None else report.unionByName(row)
-    return report
+    def evaluate(position: int, name: str, df: DataFrame) -> tuple:
+        sample = cached(sample_exact(df.select(*keys, *features, label), keys, cap, seed))
+        try:
+            row = quality_row(sample, features, label)
+            row["silhouette"] = silhouette_euclid(sample, features, label, keys, cap, seed).first()[0]
+        finally:
+            sample.unpersist()
+        return (position, name, row["k"], row["rows"], row["silhouette"], row["calinski_harabasz"],
+                row["davies_bouldin"], row["wssse"], row["entropy"])
+
+    rows = in_parallel([lambda i=i, n=n, d=d: evaluate(i, n, d)
+                        for i, (n, d) in enumerate(labelled.items())])
+    spark = next(iter(labelled.values())).sparkSession
+    return spark.createDataFrame(rows, "position int, model string, k long, sample_size long, "
+                                 "silhouette double, calinski_harabasz double, davies_bouldin double, "
+                                 "wssse double, entropy double")

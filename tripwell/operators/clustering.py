@@ -3,44 +3,38 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
-from tripwell.functions.hashing import LANES, unit_hash
-from tripwell.operators.bootstrap import with_block_weights
+from tripwell.functions.hashing import LANES, key_digest, lane_unit, poisson_weight, unit_hash
+from tripwell.operators.bounded import cached, in_parallel
 from tripwell.operators.sampling import sample_exact
 
 CLUSTER_FEATURES = ("trip_distance", "fare_amount", "trip_duration_min")
 
 
-def scaled_vectors(df: DataFrame, features: Sequence[str] = CLUSTER_FEATURES) -> DataFrame:
-    """Add ``features``: the standardised vector of the feature columns."""
+def scaled_vectors(df: DataFrame, features: Sequence[str] = CLUSTER_FEATURES,
+                   centered: bool = True) -> DataFrame:
+    """Add ``features``: the standardised vector of the feature columns.
+
+    Without centering the vectors are only brought to unit deviation, which is
+    the same clustering problem moved away from the origin.
+    """
     assembler = VectorAssembler(inputCols=list(features), outputCol="features_raw")
     assembled = assembler.transform(df)
-    scaler = StandardScaler(inputCol="features_raw", outputCol="features", withStd=True, withMean=True)
+    scaler = StandardScaler(inputCol="features_raw", outputCol="features", withStd=True,
+                            withMean=centered)
     return scaler.fit(assembled).transform(assembled).drop("features_raw")
 
 
-def cached(df: DataFrame) -> DataFrame:
-    """Keep an iterated input; blocks lost with an executor are recomputed."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def in_parallel(tasks: Sequence[Callable], width: int = 4) -> list:
-    """Run independent fits side by side so that their stages share the cluster."""
-    with ThreadPoolExecutor(max_workers=width) as pool:
-        return [f.result() for f in [pool.submit(t) for t in tasks]]
-
-
 def silhouette_of(model, vectors: DataFrame) -> float:
     return ClusteringEvaluator(featuresCol="features", metricName="silhouette").evaluate(
         model.transform(vectors))
@@ -58,7 +52,7 @@ def kmeans_search(vectors: DataFrame, ks: Sequence[int] = (3, 4, 5, 6), seed: in
                   max_iter: int = 20) -> list[KMeansTrial]:
     """One K-Means fit per k with its silhouette."""
     def trial(k: int) -> KMeansTrial:
-        model = KMeans(featuresCol="features", k=k, seed=seed, maxIter=max_iter).fit(vectors)
+        model = KMeans(featuresCol="features", k=k, seed=seed, maxIter=max_iter, solver="block").fit(vectors)
         return KMeansTrial(k, silhouette_of(model, vectors), model.summary.trainingCost, model)
 
     return in_parallel([lambda k=k: trial(k) for k in ks])
@@ -70,6 +64,12 @@ def best_trial(trials: Sequence[KMeansTrial]) -> KMeansTrial:
 
 
 def fit_bisecting(vectors: DataFrame, k: int = 5, seed: int = 42, max_iter: int = 20):
+    """Bisecting K-Means; pass vectors that are not centered.
+
+    A cluster is split by moving its center by a small fraction of the center's
+    length. The center of centered data has no length, so its first split would
+    depend on rounding noise.
+    """
     return BisectingKMeans(featuresCol="features", k=k, seed=seed, maxIter=max_iter).fit(vectors)
 
 
@@ -81,7 +81,7 @@ def kmeans_restarts(vectors: DataFrame, k: int = 4, restarts: int = 10, seed: in
                     max_iter: int = 300) -> list[KMeansTrial]:
     """Independent initialisations; the caller keeps the one of least cost."""
     def trial(s: int) -> KMeansTrial:
-        model = KMeans(featuresCol="features", k=k, seed=s, maxIter=max_iter).fit(vectors)
+        model = KMeans(featuresCol="features", k=k, seed=s, maxIter=max_iter, solver="block").fit(vectors)
         return KMeansTrial(k, math.nan, model.summary.trainingCost, model)
 
     return in_parallel([lambda s=seed + i: trial(s) for i in range(restarts)])
@@ -112,13 +112,22 @@ def assign_nearest(df: DataFrame, features: Sequence[str], centers: Sequence[Seq
 class LloydRun:
     """One K-Means run: which replicate's weights it sees and where its centers are."""
 
-    run: int
     replicate: int
     centers: np.ndarray
     cost: float = math.inf
     iterations: int = 0
     done: bool = False
 
+    def move(self, counts: np.ndarray, sums: np.ndarray, cost: float, tol: float) -> None:
+        """Take the means of the assigned points; an empty cluster stays where it is."""
+        filled = counts > 0
+        moved = self.centers.copy()
+        moved[filled] = sums[filled] / counts[filled, None]
+        self.cost = cost
+        self.iterations += 1
+        self.done = bool(np.linalg.norm(moved - self.centers) < tol)
+        self.centers = moved
+
 
 def first_rows_as_centers(df: DataFrame, features: Sequence[str], keys: Sequence[str], k: int,
                           seed: int = 42) -> np.ndarray:
@@ -151,74 +160,88 @@ def plus_plus_centers(points: np.ndarray, k: int, seed: int) -> np.ndarray:
     return np.array(chosen)
 
 
-def _lloyd_round(points: DataFrame, features: Sequence[str], active: list[LloydRun], k: int) -> dict:
-    """Assign all points under every active run and sum them per (run, cluster)."""
-    center_columns = [f"_c{c}_{j}" for c in range(k) for j in range(len(features))]
-    table = points.sparkSession.createDataFrame(
-        [(r.run, r.replicate, *map(float, r.centers.ravel())) for r in active],
-        "_run int, _replicate int, " + ", ".join(f"{c} double" for c in center_columns))
-    squared = {}
-    for c in range(k):
-        terms = [(F.col(f) - F.col(f"_c{c}_{j}")) * (F.col(f) - F.col(f"_c{c}_{j}"))
-                 for j, f in enumerate(features)]
-        squared[f"_d{c}"] = sum(terms[1:], terms[0])
-    # One row per run: its size is the number of runs the caller asked for.
-    joined = points.join(F.broadcast(table), "_replicate").select(
-        "_run", "_w", *features, *[v.alias(n) for n, v in squared.items()])
-    least = F.least(*squared) if k > 1 else F.col("_d0")
-    index = None
-    for c in range(k):
-        hit = F.col(f"_d{c}") == F.col("_least")
-        index = F.when(hit, F.lit(c)) if index is None else index.when(hit, F.lit(c))
-    sums = (joined.withColumn("_least", least).withColumn("_cluster", index)
-            .groupBy("_run", "_cluster")
-            .agg(F.sum("_w").alias("n"), F.sum(F.col("_w") * F.col("_least")).alias("cost"),
-                 *[F.sum(F.col("_w") * F.col(f)).alias(f"s{j}") for j, f in enumerate(features)]))
-    found: dict[int, dict[int, object]] = {}
-    for row in sums.collect():
-        found.setdefault(row["_run"], {})[row["_cluster"]] = row
-    return found
-
-
-def lloyd_runs(points: DataFrame, features: Sequence[str], runs: list[LloydRun],
-               max_iter: int = 100, tol: float = 1e-4) -> list[LloydRun]:
-    """Advance all runs together, one job per iteration for however many runs.
-
-    ``points`` carries the feature columns, ``_replicate`` and the weight ``_w``.
-    Only k sums per run return to the driver. An empty cluster keeps its center;
-    a run ends when its centers move less than ``tol`` in Frobenius norm.
+def lloyd_kmeans(df: DataFrame, features: Sequence[str], keys: Sequence[str], k: int = 5,
+                 max_iter: int = 100, tol: float = 1e-4, seed: int = 42) -> LloydRun:
+    """Plain Lloyd K-Means from k random distinct rows.
+
+    Each round is one map-side aggregated job; k sums return to the driver. It
+    ends when the centers move less than ``tol`` in Frobenius norm.
+    """
+    points = cached(df.select(*features, *keys))
+    try:
+        run = LloydRun(0, first_rows_as_centers(points, features, keys, k, seed))
+        while not run.done and run.iterations < max_iter:
+            rows = (assign_nearest(points, features, run.centers.tolist(), "_cluster", "_gap")
+                    .groupBy("_cluster")
+                    .agg(F.count(F.lit(1)).alias("n"), F.sum("_gap").alias("cost"),
+                         *[F.sum(f).alias(f"s{j}") for j, f in enumerate(features)]).collect())
+            counts, sums = np.zeros(k), np.zeros((k, len(features)))
+            for r in rows:
+                counts[r["_cluster"]] = r["n"]
+                sums[r["_cluster"]] = [r[f"s{j}"] for j in range(len(features))]
+            run.move(counts, sums, sum(r["cost"] for r in rows), tol)
+        return run
+    finally:
+        points.unpersist()
+
+
+def _partial_sums(batches: Iterator[pd.DataFrame], centers: np.ndarray, columns: list[int],
+                  features: list[str], weights: list[str]) -> Iterator[pd.DataFrame]:
+    """Weighted sums per run and cluster over one partition.
+
+    ``centers`` is (runs, k, features); ``columns`` names the weight column of
+    each run. Emits runs * k rows per partition.
+    """
+    runs, k, width = centers.shape
+    totals = np.zeros((runs, k, 2 + width))
+    for batch in batches:
+        x = batch[features].to_numpy(dtype="float64")
+        w = batch[weights].to_numpy(dtype="float64")
+        for r in range(runs):
+            gaps = np.zeros((len(x), k))
+            for j in range(width):
+                off = x[:, j, None] - centers[r, :, j][None, :]
+                gaps += off * off
+            nearest = gaps.argmin(axis=1)
+            weight = w[:, columns[r]]
+            totals[r, :, 0] += np.bincount(nearest, weight, k)
+            totals[r, :, 1] += np.bincount(nearest, weight * gaps[np.arange(len(x)), nearest], k)
+            for j in range(width):
+                totals[r, :, 2 + j] += np.bincount(nearest, weight * x[:, j], k)
+    out = pd.DataFrame(totals.reshape(runs * k, 2 + width),
+                       columns=["n", "cost", *[f"s{j}" for j in range(width)]])
+    out.insert(0, "cell", np.arange(runs * k, dtype="int32"))
+    yield out
+
+
+def lloyd_many(points: DataFrame, features: Sequence[str], weights: Sequence[str],
+               runs: list[LloydRun], max_iter: int = 300, tol: float = 1e-2) -> list[LloydRun]:
+    """Advance many runs together: one job per iteration for however many runs.
+
+    ``points`` has the feature columns and one weight column per replicate.
+    Each partition is summed in vectorised batches and sends runs * k rows on.
     """
-    k = runs[0].centers.shape[0]
+    k, width = runs[0].centers.shape
+    schema = "cell int, n double, cost double, " + ", ".join(f"s{j} double" for j in range(width))
     for _ in range(max_iter):
         active = [r for r in runs if not r.done]
         if not active:
             break
-        found = _lloyd_round(points, features, active, k)
-        for r in active:
-            clusters = found.get(r.run, {})
-            moved = r.centers.copy()
-            for c, row in clusters.items():
-                if row["n"] > 0:
-                    moved[c] = [row[f"s{j}"] / row["n"] for j in range(len(features))]
-            r.cost = float(sum(row["cost"] for row in clusters.values()))
-            r.iterations += 1
-            r.done = bool(np.linalg.norm(moved - r.centers) < tol)
-            r.centers = moved
+        centers = np.array([r.centers for r in active])
+        columns = [r.replicate for r in active]
+
+        def partial(batches, centers=centers, columns=columns):
+            return _partial_sums(batches, centers, columns, list(features), list(weights))
+
+        cells = points.mapInPandas(partial, schema).groupBy("cell").agg(
+            F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+            *[F.sum(f"s{j}").alias(f"s{j}") for j in range(width)]).toPandas()
+        table = cells.sort_values("cell").drop(columns="cell").to_numpy().reshape(len(active), k, 2 + width)
+        for r, cell in zip(active, table):
+            r.move(cell[:, 0], cell[:, 2:], float(cell[:, 1].sum()), tol)
     return runs
 
 
-def lloyd_kmeans(df: DataFrame, features: Sequence[str], keys: Sequence[str], k: int = 5,
-                 max_iter: int = 100, tol: float = 1e-4, seed: int = 42) -> LloydRun:
-    """Plain Lloyd K-Means from k random distinct rows."""
-    points = df.select(*features, *keys)
-    start = first_rows_as_centers(points, features, keys, k, seed)
-    weighted = cached(points.select(*features, F.lit(0).alias("_replicate"), F.lit(1).alias("_w")))
-    try:
-        return lloyd_runs(weighted, features, [LloydRun(0, 0, start)], max_iter, tol)[0]
-    finally:
-        weighted.unpersist()
-
-
 def centers_frame(spark, centers: np.ndarray, features: Sequence[str], **constants) -> DataFrame:
     """Small table of centers: constants, ``cluster`` and one column per feature."""
     names = list(constants)
@@ -234,52 +257,60 @@ def center_shift(base: DataFrame, other: DataFrame, features: Sequence[str],
 
     ``shift_sorted`` sorts every coordinate on its own before pairing (which can
     mix coordinates of different clusters); ``shift_nearest`` pairs each base
-    center with the closest one of the other set.
+    center with the closest one of the other set. Both inputs have k rows (per
+    group of ``by``), and the base centers become literals.
     """
-    point = F.struct(*features)
-    sorted_base = base.agg(F.struct(
-        F.collect_list(point).alias("points"),
-        *[F.sort_array(F.collect_list(f)).alias(f"s_{f}") for f in features]).alias("b")).scalar()
+    centers = np.array([list(r) for r in base.select(*features).collect()], dtype="float64")
+    in_order = np.sort(centers, axis=0)
     grouped = other.groupBy(*by).agg(
-        F.collect_list(point).alias("points"),
-        *[F.sort_array(F.collect_list(f)).alias(f"s_{f}") for f in features])
-    rank = F.sequence(F.lit(0), F.size("points") - 1)
+        F.collect_list(F.struct(*features)).alias("_points"),
+        *[F.sort_array(F.collect_list(f)).alias(f"_s_{f}") for f in features])
 
-    def sorted_gap(i):
-        return F.sqrt(sum(((F.get(sorted_base[f"s_{f}"], i) - F.get(F.col(f"s_{f}"), i)) ** 2
-                           for f in features), F.lit(0.0)))
+    def distance(values, point):
+        gaps = [(v - F.lit(float(x))) * (v - F.lit(float(x))) for v, x in zip(values, point)]
+        return F.sqrt(sum(gaps[1:], gaps[0]))
 
-    def nearest_gap(b):
-        return F.array_min(F.transform("points", lambda p: F.sqrt(
-            sum(((b[f] - p[f]) ** 2 for f in features), F.lit(0.0)))))
+    by_rank = [distance([F.get(f"_s_{f}", F.lit(i)) for f in features], in_order[i])
+               for i in range(len(centers))]
+    def gap_to_closest(center):
+        return F.array_min(F.transform("_points", lambda p: distance([p[f] for f in features], center)))
 
-    def mean(values):
-        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
+    closest = [gap_to_closest(c) for c in centers]
+    return grouped.select(*by, (sum(by_rank[1:], by_rank[0]) / len(centers)).alias("shift_sorted"),
+                          (sum(closest[1:], closest[0]) / len(centers)).alias("shift_nearest"))
 
-    return grouped.select(*by, mean(F.transform(rank, sorted_gap)).alias("shift_sorted"),
-                          mean(F.transform(sorted_base["points"], nearest_gap)).alias("shift_nearest"))
+
+def replicate_weights(df: DataFrame, keys: Sequence[str], bootstraps: int, seed: int) -> DataFrame:
+    """Add ``_w0`` = 1 and the Poisson counts ``_w1``, ``_w2``, ... of the bootstraps."""
+    blocks = -(-bootstraps // LANES)
+    digests = df.withColumns({f"_h{b}": key_digest([*keys, F.lit(b)], seed) for b in range(blocks)})
+    weights = {"_w0": F.lit(1)}
+    for i in range(bootstraps):
+        weights[f"_w{i + 1}"] = poisson_weight(lane_unit(F.col(f"_h{i // LANES}"), i % LANES))
+    return digests.withColumns(weights).drop(*[f"_h{b}" for b in range(blocks)])
 
 
 def cluster_stability(df: DataFrame, features: Sequence[str], keys: Sequence[str], k: int = 4,
                       bootstraps: int = 10, restarts: int = 5, seed: int = 42,
-                      max_iter: int = 300, tol: float = 1e-4, seed_rows: int = 1000) -> DataFrame:
+                      max_iter: int = 300, tol: float = 1e-2, seed_rows: int = 1000) -> DataFrame:
     """Refit on bootstraps and measure how far the centers move.
 
     ``df`` holds standardised features. Replicate 0 is the unweighted baseline,
     the others weight each row by its Poisson count. All replicates and restarts
-    advance in the same jobs. Returns (replicate, cost, shift_sorted,
-    shift_nearest).
+    advance in the same jobs; the best restart of a replicate counts. Starting
+    centers are spread over a small sample. Returns (replicate, cost,
+    shift_sorted, shift_nearest).
     """
     spark = df.sparkSession
-    points = cached(df.select(*features, *keys))
+    narrow = df.select(*features, *keys)
+    seeds = np.array([list(r) for r in sample_exact(narrow, keys, seed_rows, seed)
+                      .select(*features).collect()], dtype="float64")
+    runs = [LloydRun(rep, plus_plus_centers(seeds, k, seed + rep * restarts + i))
+            for rep in range(bootstraps + 1) for i in range(restarts)]
+    weights = [f"_w{i}" for i in range(bootstraps + 1)]
+    points = cached(replicate_weights(narrow, keys, bootstraps, seed).select(*features, *weights))
     try:
-        seeds = np.array([list(r) for r in sample_exact(points, keys, seed_rows, seed)
-                          .select(*features).collect()], dtype="float64")
-        runs = [LloydRun(rep * restarts + i, rep,
-                         plus_plus_centers(seeds, k, seed + rep * restarts + i))
-                for rep in range(bootstraps + 1) for i in range(restarts)]
-        weighted = replicate_points(points, features, keys, bootstraps, seed)
-        lloyd_runs(weighted, features, runs, max_iter, tol)
+        lloyd_many(points, features, weights, runs, max_iter, tol)
     finally:
         points.unpersist()
     best = {}
@@ -296,18 +327,6 @@ def cluster_stability(df: DataFrame, features: Sequence[str], keys: Sequence[str
     return center_shift(base, others, features, ["replicate"]).join(costs, "replicate")
 
 
-def replicate_points(points: DataFrame, features: Sequence[str], keys: Sequence[str],
-                           bootstraps: int, seed: int) -> DataFrame:
-    """Rows times replicates with non-zero weight; replicate 0 weighs every row once."""
-    blocks = with_block_weights(points.select(*features, *keys), keys, bootstraps, seed)
-    cells = [F.struct((F.col("_block") * LANES + i + 1).alias("_replicate"), F.col(f"w{i}").alias("_w"))
-             for i in range(LANES)]
-    # The first block also emits the baseline copy of the row.
-    base = F.when(F.col("_block") == 0, F.struct(F.lit(0).alias("_replicate"), F.lit(1).alias("_w")))
-    long = blocks.select(*features, F.inline(F.array_compact(F.array(base, *cells))))
-    return long.filter((F.col("_replicate") <= bootstraps) & (F.col("_w") > 0))
-
-
 def stability_summary(shifts: DataFrame, shift: str = "shift_sorted", limit: float = 0.1) -> DataFrame:
     """Mean and population deviation of the shift and the verdict."""
     return (shifts.agg(F.count(F.lit(1)).alias("bootstraps"), F.avg(shift).alias("mean_shift"),

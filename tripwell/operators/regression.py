@@ -15,7 +15,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwell.operators.clustering import cached, in_parallel
+from tripwell.operators.bounded import cached, in_parallel
 from tripwell.operators.regression_quality import metric_columns
 from tripwell.operators.sampling import kfold_assign
 
