@@ -1,6 +1,7 @@
 """Compare registered queries with their SQL on one sample folder.
 
 Usage: python tests/check_oracles.py [sf_dir] [name ...]
+With ``--oracles`` instead of names, queries without SQL are left out.
 """
 
 from __future__ import annotations
@@ -66,6 +67,8 @@ def main() -> None:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     wanted = sys.argv[2:]
+    if wanted == ["--oracles"]:
+        wanted = list(catalog.oracle_sql())
     spark = build_session("check", "local[8]", 8)
     con = connect(sf_dir)
     queries, oracles = catalog.queries(), catalog.oracle_sql()

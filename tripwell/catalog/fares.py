@@ -85,7 +85,7 @@ def linear_regression_elastic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("linear_regression_sgd")
 def linear_regression_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tenth = sampling.sample_fraction(splits(spark, sf_dir)["train"], KEYS, 0.1, seed=7)
+    tenth = sampling.sample_fraction(splits(spark, sf_dir)["train"], KEYS, 0.1)
     return _fit_and_score(spark, sf_dir, "IterativeLinear", regression.iterative_least_squares(), tenth)
 
 
@@ -102,9 +102,11 @@ def gbt_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cv_grid_search")
 def cv_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    search = regression.cv_grid_search(splits(spark, sf_dir)["train"], FEATURES, KEYS)
-    return spark.createDataFrame(regression.grid_table(search),
-                                 "max_depth int, max_iter int, rmse double, rmse_std double, chosen boolean")
+    points = regression.cv_grid_search(splits(spark, sf_dir)["train"], FEATURES, KEYS)
+    best = regression.best_grid_point(points)
+    return spark.createDataFrame(
+        [(p.depth, p.iterations, p.rmse, p.deviation, p is best) for p in points],
+        "max_depth int, max_iter int, rmse double, rmse_std double, chosen boolean")
 
 
 @query("param_random_search")

@@ -15,8 +15,9 @@ from tripwell.sources.storage import new_path
 
 _KEYS = ", ".join(KEYS)
 _U = sql_unit(KEYS)
-_SPLIT_CASE = (f"case when {_U} < 0.7::double then 'train' when {_U} < 0.85::double then 'validation' "
-               "else 'test' end")
+_SPLIT_U, _FOLD_U = sql_unit(KEYS, lane=0), sql_unit(KEYS, lane=2)
+_SPLIT_CASE = (f"case when {_SPLIT_U} < 0.7::double then 'train' "
+               f"when {_SPLIT_U} < 0.85::double then 'validation' else 'test' end")
 _NARROW = [*KEYS, "trip_distance", "fare_amount", "trip_duration_min"]
 _NARROW_SQL = ", ".join(_NARROW)
 
@@ -77,7 +78,7 @@ def bootstrap_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("kfold_assign", f"""with {SILVER_SQL} select {_NARROW_SQL},
-  cast(floor({_U} * 5) as integer) as fold5, cast(floor({_U} * 3) as integer) as fold3 from silver""")
+  cast(floor({_FOLD_U} * 5) as integer) as fold5, cast(floor({_FOLD_U} * 3) as integer) as fold3 from silver""")
 def kfold_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     five = sampling.kfold_assign(_rows(spark, sf_dir), KEYS, 5, column="fold5")
     return sampling.kfold_assign(five, KEYS, 3, column="fold3")

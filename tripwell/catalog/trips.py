@@ -182,8 +182,8 @@ silver as (
   where trip_duration_min > 0 and trip_distance > 0 and fare_amount > 0)"""
 
 
-def sql_unit(keys: list[str], seed: int = 42, lane: int = 0) -> str:
-    """The hash draw of a row in SQL."""
+def sql_unit(keys: list[str], seed: int = 42, lane: int = 1) -> str:
+    """The hash draw of a row in SQL: lane 0 for splits, 1 for samples, 2 for folds."""
     digest = f"md5(concat_ws(':', '{seed}', {', '.join(keys)}))"
     return f"(('0x' || substr({digest}, {1 + 8 * lane}, 8))::bigint / 4294967296::double)"
 

@@ -13,6 +13,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LANES = 4
+# Splits, samples and folds each read their own lane, so that a sample or a fold
+# of a split does not depend on how the split was drawn.
+SPLIT_LANE, SAMPLE_LANE, FOLD_LANE = 0, 1, 2
 TWO_POW_32 = 4294967296.0
 
 # Cumulative probabilities of a Poisson(1) count of 0, 1, 2, ...
@@ -39,8 +42,8 @@ def lane_unit(digest: Column, lane: int = 0) -> Column:
     return F.conv(piece, 16, 10).cast("bigint") / F.lit(TWO_POW_32)
 
 
-def unit_hash(keys: Sequence[str | Column], seed: int | Column = 42) -> Column:
-    return lane_unit(key_digest(keys, seed))
+def unit_hash(keys: Sequence[str | Column], seed: int | Column = 42, lane: int = SAMPLE_LANE) -> Column:
+    return lane_unit(key_digest(keys, seed), lane)
 
 
 def poisson_weight(u: Column) -> Column:

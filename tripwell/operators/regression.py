@@ -8,10 +8,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,39 +122,55 @@ def best_entry(entries: Sequence[BakeoffEntry]) -> BakeoffEntry:
     return min(entries, key=lambda e: (e.rmse, e.position))
 
 
+@dataclass
+class GridPoint:
+    depth: int
+    iterations: int
+    rmse: float
+    deviation: float
+
+
+def best_grid_point(points: Sequence[GridPoint]) -> GridPoint:
+    """Lowest mean RMSE; the earlier grid point wins a tie."""
+    return min(points, key=lambda p: p.rmse)
+
+
 def cv_grid_search(train: DataFrame, features: Sequence[str], keys: Sequence[str],
                    depths: Sequence[int] = (5, 10), iterations: Sequence[int] = (20, 50),
                    folds: int = 3, label: str = LABEL, seed: int = 42,
-                   parallelism: int = 4) -> CrossValidatorModel:
-    """Grid over depth and boosting rounds with folds taken from the row keys.
+                   parallelism: int = 6) -> list[GridPoint]:
+    """Cross-validated grid over depth and boosting rounds of boosted trees.
 
-    The scaler is part of the tuned pipeline, so no fold sees statistics of its
-    own hold-out rows.
+    Boosting adds trees one after the other, so the model with the most rounds
+    contains all shorter ones: each depth and fold is fitted once and its
+    hold-out error is read off after every number of rounds. The scaler is
+    fitted inside each fold, which keeps hold-out rows out of its statistics.
     """
-    booster = gradient_boosted_trees(label, seed)
-    grid = (ParamGridBuilder().addGrid(booster.maxDepth, list(depths))
-            .addGrid(booster.maxIter, list(iterations)).build())
-    evaluator = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
-    search = CrossValidator(estimator=Pipeline(stages=[*preparation(features), booster]),
-                            estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-                            foldCol="_fold", seed=seed, parallelism=parallelism)
-    folded = cached(kfold_assign(train, keys, folds, seed, "_fold")
-                    .select(*features, label, "_fold"))
+    folded = cached(kfold_assign(train, keys, folds, seed, "_fold").select(*features, label, "_fold"))
+
+    def run(depth: int, fold: int) -> list[float]:
+        booster = gradient_boosted_trees(label, seed, maxDepth=depth, maxIter=max(iterations))
+        model = fit_pipeline(folded.filter(F.col("_fold") != fold), features, booster)
+        prepared = PipelineModel(model.stages[:-1]).transform(folded.filter(F.col("_fold") == fold))
+        squared = model.stages[-1].evaluateEachIteration(prepared, "squared")
+        return [math.sqrt(squared[n - 1]) for n in iterations]
+
+    plan = [(d, f) for d in depths for f in range(folds)]
     try:
-        return search.fit(folded)
+        found = dict(zip(plan, in_parallel([lambda d=d, f=f: run(d, f) for d, f in plan], parallelism)))
     finally:
         folded.unpersist()
+    points = []
+    for d in depths:
+        for i, n in enumerate(iterations):
+            scores = [{"rmse": found[d, f][i]} for f in range(folds)]
+            points.append(GridPoint(d, n, *mean_and_deviation(scores, "rmse")))
+    return points
 
 
-def grid_table(model: CrossValidatorModel) -> list[tuple]:
-    """(maxDepth, maxIter, mean rmse, deviation, chosen) per grid point."""
-    best = min(range(len(model.avgMetrics)), key=model.avgMetrics.__getitem__)
-    rows = []
-    for i, params in enumerate(model.getEstimatorParamMaps()):
-        named = {p.name: v for p, v in params.items()}
-        rows.append((named["maxDepth"], named["maxIter"], float(model.avgMetrics[i]),
-                     float(model.stdMetrics[i]), i == best))
-    return rows
+def tuned_booster(point: GridPoint, label: str = LABEL, seed: int = 42) -> GBTRegressor:
+    """Estimator with the parameters of a grid point, for the final fit."""
+    return gradient_boosted_trees(label, seed, maxDepth=point.depth, maxIter=point.iterations)
 
 
 @dataclass
@@ -186,7 +200,7 @@ def param_random_search(train: DataFrame, validation: DataFrame, features: Seque
         return SearchTrial(i, n, d, m, model_metrics(model, check, label, ["rmse"])["rmse"])
 
     try:
-        return in_parallel([lambda p=p: run(p) for p in plans], 2)
+        return in_parallel([lambda p=p: run(p) for p in plans])
     finally:
         fit_input.unpersist()
         check.unpersist()

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwell.functions.hashing import unit_hash
+from tripwell.functions.hashing import FOLD_LANE, SPLIT_LANE, unit_hash
 
 DEFAULT_SPLIT = {"train": 0.70, "validation": 0.15, "test": 0.15}
 
@@ -25,7 +25,8 @@ def assign_split(df: DataFrame, keys: Sequence[str], shares: Mapping[str, float]
         hit = u < F.lit(round(edge, 12))
         label = F.when(hit, F.lit(name)) if label is None else label.when(hit, F.lit(name))
     label = F.lit(names[-1]) if label is None else label.otherwise(F.lit(names[-1]))
-    return df.withColumn("_u", unit_hash(keys, seed)).withColumn(column, label).drop("_u")
+    return (df.withColumn("_u", unit_hash(keys, seed, SPLIT_LANE))
+            .withColumn(column, label).drop("_u"))
 
 
 def random_split(df: DataFrame, keys: Sequence[str], shares: Mapping[str, float] = DEFAULT_SPLIT,
@@ -35,7 +36,10 @@ def random_split(df: DataFrame, keys: Sequence[str], shares: Mapping[str, float]
 
 
 def sample_fraction(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 42) -> DataFrame:
-    """Each row is kept with the given probability."""
+    """Each row is kept with the given probability.
+
+    A sample of a sample needs another seed than the first one.
+    """
     return df.filter(unit_hash(keys, seed) < F.lit(fraction))
 
 
@@ -77,6 +81,6 @@ def sample_capped(df: DataFrame, keys: Sequence[str], cap: int, seed: int = 42)
 
 def kfold_assign(df: DataFrame, keys: Sequence[str], folds: int = 5, seed: int = 42,
                  column: str = "fold") -> DataFrame:
-    return df.withColumn(column, F.floor(unit_hash(keys, seed) * folds).cast("int"))
+    return df.withColumn(column, F.floor(unit_hash(keys, seed, FOLD_LANE) * folds).cast("int"))
 
 
