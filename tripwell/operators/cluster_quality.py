@@ -78,10 +78,11 @@ def davies_bouldin(df: DataFrame, features: Sequence[str], label: str,
     """Mean over clusters of the worst (s_i + s_j) / d_ij."""
     table = pin_small(cluster_table(df, features, label)) if table is None else table
     own = sum(((F.col(f) - F.col(f"m_{f}")) ** 2 for f in features), F.lit(0.0))
-    scatter = (df.join(table, F.col(label) == F.col("label"))
-               .groupBy("label", *[f"m_{f}" for f in features])
-               .agg(F.avg(F.sqrt(own)).alias("s")))
-    cluster = F.struct("label", "s", *[f"m_{f}" for f in features])
+    means = [f"m_{f}" for f in features]
+    scatter = (df.select(*features, F.col(label).alias("_own"))
+               .join(table.select("label", *means), F.col("_own") == F.col("label"))
+               .groupBy("label", *means).agg(F.avg(F.sqrt(own)).alias("s")))
+    cluster = F.struct("label", "s", *means)
     everyone = scatter.agg(F.collect_list(cluster).alias("all"))
 
     def ratio(a: Column, b: Column) -> Column:
