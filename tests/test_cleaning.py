@@ -95,13 +95,16 @@ def test_zone_join_fans_out_and_keeps_unmatched(spark):
     assert broadcast_zone_join(trips, None).columns == ["PULocationID"]
 
 
-def test_zone_join_beyond_the_bound_gives_the_same_rows(spark):
-    trips = spark.createDataFrame([("1",)] * 50 + [("2",), ("9",)], "PULocationID string")
-    zones = spark.createDataFrame([(str(i), "A", f"z{i}", "s") for i in range(5)],
+@pytest.mark.parametrize("bound", [2, 5])
+def test_zone_join_beyond_the_bound_gives_the_same_rows(spark, bound):
+    # One key holds most of the trips, some trips have no key, one key fans out.
+    trips = spark.createDataFrame([("1",)] * 300 + [("2",)] * 20 + [("9",), (None,), (None,)]
+                                  + [(str(i),) for i in range(1000, 1150)], "PULocationID string")
+    zones = spark.createDataFrame([(str(i), "A", f"z{i}", "s") for i in range(5)] + [("1", "B", "y", "s")],
                                   "LocationID string, Borough string, Zone string, service_zone string")
     small = sorted(map(str, broadcast_zone_join(trips, zones).collect()))
-    large = sorted(map(str, broadcast_zone_join(trips, zones, max_broadcast_rows=2).collect()))
-    assert small == large
+    large = sorted(map(str, broadcast_zone_join(trips, zones, max_broadcast_rows=bound).collect()))
+    assert small == large and len(small) == 773
 
 
 def test_lookup_keeps_unmapped_values(spark):

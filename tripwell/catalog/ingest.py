@@ -22,14 +22,18 @@ FIELDS = [*KEYS, *TRIP_COLUMNS]
 HEADER = ",".join(FIELDS)
 
 
+# Planted faults: which trip distance marks which kind of malformed line.
+_FAULTS = {"header": "49.00", "surplus": "48.00", "short": "47.00", "quoted": "46.00"}
+
+
 def _line() -> Column:
     """One trip as a delimited line, some of them malformed on purpose."""
     clean = F.concat_ws(",", *FIELDS)
-    order = F.col("l_orderkey")
-    return (F.when(order % 997 == 0, F.lit(HEADER))
-            .when(order % 101 == 0, F.concat(clean, F.lit(",surplus")))
-            .when(order % 103 == 0, F.concat_ws(",", *FIELDS[:-1]))
-            .when(order % 107 == 0, F.concat(clean, F.lit('"a,b"')))
+    mark = F.col("trip_distance")
+    return (F.when(mark == _FAULTS["header"], F.lit(HEADER))
+            .when(mark == _FAULTS["surplus"], F.concat(clean, F.lit(",surplus")))
+            .when(mark == _FAULTS["short"], F.concat_ws(",", *FIELDS[:-1]))
+            .when(mark == _FAULTS["quoted"], F.concat(clean, F.lit('"a,b"')))
             .otherwise(clean))
 
 
@@ -67,13 +71,13 @@ def zone_csv(spark: SparkSession, sf_dir: str) -> str:
 
 _CLEAN_SQL = "concat_ws(',', " + ", ".join(FIELDS) + ")"
 _RAW_SQL = f"""with {TRIPS_SQL}, texts as ({text_columns_sql('trips')}), raw as (
-  select *, case when l_orderkey % 997 = 0 then '{HEADER}'
-     when l_orderkey % 101 = 0 then {_CLEAN_SQL} || ',surplus'
-     when l_orderkey % 103 = 0 then concat_ws(',', {', '.join(FIELDS[:-1])})
-     when l_orderkey % 107 = 0 then {_CLEAN_SQL} || '"a,b"'
+  select *, case trip_distance when '{_FAULTS['header']}' then '{HEADER}'
+     when '{_FAULTS['surplus']}' then {_CLEAN_SQL} || ',surplus'
+     when '{_FAULTS['short']}' then concat_ws(',', {', '.join(FIELDS[:-1])})
+     when '{_FAULTS['quoted']}' then {_CLEAN_SQL} || '"a,b"'
      else {_CLEAN_SQL} end as line from texts)"""
-_KEPT = ("l_orderkey % 997 <> 0 and l_orderkey % 101 <> 0 and l_orderkey % 103 <> 0 "
-         "and l_orderkey % 107 <> 0")
+# A line survives when it is not the header and has as many fields as the header.
+_KEPT = f"line <> '{HEADER}' and len(string_split(line, ',')) = {len(FIELDS)}"
 _TEXT_FIELDS = ", ".join(f"cast({c} as varchar) as {c}" for c in FIELDS)
 
 

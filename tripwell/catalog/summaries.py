@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from tripwell.catalog.ingest import HOURLY_SQL, rounded
 from tripwell.catalog.registry import query
 from tripwell.catalog.trips import (
-    ANCHORS, CLUSTER_COLUMNS, KEYS, PREDICTED_SQL, SILVER_SQL, TRIPS_SQL, ZONES_SQL, labelled,
-    label_sql, predicted, silver, sql_unit, trips, zones)
+    ANCHORS, CLUSTER_COLUMNS, KEYS, PREDICTED_SQL, SILVER_SQL, TRIPS_SQL, ZONES_SQL, bronze,
+    labelled, label_sql, predicted, silver, sql_unit, trips, zones)
 from tripwell.operators import aggregates, cluster_quality, ranking
 from tripwell.operators.bounded import in_parallel, pin_small
+from tripwell.operators.cleaning import cast_double_columns
 from tripwell.operators.joins import broadcast_zone_join
 from tripwell.operators.projection import MODEL_FEATURES
 from tripwell.operators.regression_quality import metric_columns
@@ -124,7 +125,8 @@ def _quality_sql(tier: str, source: str, column: str) -> str:
     _quality_sql(tier, source, c) for tier, source in (("raw", "trips"), ("silver", "silver"))
     for c in _PROFILED))
 def null_outlier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = aggregates.quality_profile(trips(spark, sf_dir), _PROFILED, "raw")
+    typed = cast_double_columns(bronze(spark, sf_dir).select(*_PROFILED), _PROFILED)
+    raw = aggregates.quality_profile(typed, _PROFILED, "raw")
     refined = aggregates.quality_profile(silver(spark, sf_dir), _PROFILED, "silver")
     return rounded(raw.unionByName(refined), "clip_lower", "clip_upper")
 

@@ -7,6 +7,7 @@ task order, so a recomputed task draws the same numbers and any SQL engine with
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -48,11 +49,26 @@ def unit_hash(keys: Sequence[str | Column], seed: int | Column = 42, lane: int =
 
 def poisson_weight(u: Column) -> Column:
     """Poisson(1) count for a uniform draw, by inverting its distribution."""
+    return _count_below(u, [F.lit(cut) for cut in POISSON_CUTS])
+
+
+def lane_poisson_weight(digest: Column, lane: int) -> Column:
+    """``poisson_weight`` of a lane, read straight from its hex digits.
+
+    Eight lower-case hex digits sort like the number they stand for, so the
+    draw need not be parsed: ``u < cut`` holds when the digits sort before
+    those of ``cut * 2**32`` rounded up.
+    """
+    piece = F.substring(digest, 1 + 8 * lane, 8)
+    return _count_below(piece, [F.lit(f"{math.ceil(cut * TWO_POW_32):08x}") for cut in POISSON_CUTS])
+
+
+def _count_below(draw: Column, cuts: Sequence[Column]) -> Column:
     weight = None
-    for count, cut in enumerate(POISSON_CUTS):
-        hit = u < F.lit(cut)
-        weight = F.when(hit, F.lit(count)) if weight is None else weight.when(hit, F.lit(count))
-    return weight.otherwise(F.lit(len(POISSON_CUTS)))
+    for count, cut in enumerate(cuts):
+        weight = (F.when(draw < cut, F.lit(count)) if weight is None
+                  else weight.when(draw < cut, F.lit(count)))
+    return weight.otherwise(F.lit(len(cuts)))
 
 
 def row_fingerprint(columns: Sequence[str]) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwell.functions.hashing import LANES, key_digest, lane_unit, poisson_weight
+from tripwell.functions.hashing import LANES, lane_poisson_weight
 
 
 def _blocks(replicates: int) -> int:
@@ -21,11 +21,12 @@ def _blocks(replicates: int) -> int:
 
 def with_block_weights(df: DataFrame, keys: Sequence[str], replicates: int, seed: int) -> DataFrame:
     """One row per input row and block, with the weights ``w0``..``w3`` of its replicates."""
-    exploded = df.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(_blocks(replicates) - 1))))
-    digest = key_digest([*keys, F.col("_block")], seed)
-    return (exploded.withColumn("_digest", digest)
-            .withColumns({f"w{i}": poisson_weight(lane_unit(F.col("_digest"), i)) for i in range(LANES)})
-            .drop("_digest"))
+    # The text of the keys is put together once per row, not once per block.
+    texts = df.withColumn("_text", F.concat_ws(":", F.lit(str(seed)), *keys))
+    exploded = texts.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(_blocks(replicates) - 1))))
+    return (exploded.withColumn("_digest", F.md5(F.concat_ws(":", "_text", "_block")))
+            .withColumns({f"w{i}": lane_poisson_weight(F.col("_digest"), i) for i in range(LANES)})
+            .drop("_digest", "_text"))
 
 
 def bootstrap_weights(df: DataFrame, keys: Sequence[str], replicates: int, seed: int = 42) -> DataFrame:

@@ -12,14 +12,18 @@ from pyspark.storagelevel import StorageLevel
 BROADCAST_ROW_LIMIT = 100_000
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
+    """Count at most ``max_rows + 1`` rows and say whether that was all."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Hint a broadcast when a bounded count proves the side small.
 
-    The count stops at ``max_rows + 1``. A larger side is returned without a
-    hint: it is then joined by shuffling on the key, where adaptive execution
-    splits the partitions of hot keys.
+    A larger side is returned without a hint: it is then joined by shuffling on
+    the key, where adaptive execution splits the partitions of hot keys.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def pin_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
@@ -43,3 +47,11 @@ def in_parallel(tasks: Sequence[Callable], width: int = 4) -> list:
     """Run independent fits side by side so that their stages share the cluster."""
     with ThreadPoolExecutor(max_workers=width) as pool:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Share a small sample out to all cores before it is worked on or multiplied.
+
+    A sample taken by order arrives in a single partition.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 1))

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwell.operators.bounded import cached, in_parallel, pin_small
+from tripwell.operators.bounded import cached, in_parallel, pin_small, spread_rows
 from tripwell.operators.sampling import sample_exact
 
 
@@ -192,17 +192,37 @@ def silhouette_euclid(df: DataFrame, features: Sequence[str], label: str, keys:
 
 
 def quality_row(df: DataFrame, features: Sequence[str], label: str) -> dict:
-    """Clusters, rows, squared silhouette, and the other four metrics of a labelling."""
-    table = pin_small(cluster_table(df, features, label))
-    row = table.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("rows"),
-                    F.sum("ss").alias("wssse")).first().asDict()
-    if row["k"] < 2:
+    """Clusters, rows, squared silhouette and the other four metrics of a labelling.
+
+    Two passes over the rows: one for the cluster table, one for everything that
+    needs the centers. What remains is arithmetic on k rows.
+    """
+    clusters = sorted(cluster_table(df, features, label).collect(), key=lambda c: c["label"])
+    if len(clusters) < 2:
         raise ValueError("cluster quality needs at least two clusters")
-    return {**row,
-            "silhouette": silhouette_sq(df, features, label, table).first()[0],
-            "calinski_harabasz": calinski_harabasz(table, features).first()[0],
-            "davies_bouldin": davies_bouldin(df, features, label, table).first()[0],
-            "entropy": cluster_entropy(table).first()[0]}
+    own = None
+    for c in clusters:
+        gap = sum(((F.col(f) - F.lit(c[f"m_{f}"])) ** 2 for f in features), F.lit(0.0))
+        hit = F.col(label) == F.lit(c["label"])
+        own = F.when(hit, gap) if own is None else own.when(hit, gap)
+    second = {r["label"]: r for r in df.groupBy(F.col(label).alias("label")).agg(
+        F.avg(F.sqrt(own)).alias("scatter"),
+        F.sum(silhouette_sq_column(features, F.col(label), clusters)).alias("silhouette")).collect()}
+    sizes = np.array([c["n"] for c in clusters], dtype="float64")
+    means = np.array([[c[f"m_{f}"] for f in features] for c in clusters])
+    scatter = np.array([second[c["label"]]["scatter"] for c in clusters])
+    k, n, within = len(clusters), sizes.sum(), sum(c["ss"] for c in clusters)
+    middle = (sizes[:, None] * means).sum(axis=0) / n
+    between = (sizes * ((means - middle) ** 2).sum(axis=1)).sum()
+    gaps = np.sqrt(((means[:, None, :] - means[None, :, :]) ** 2).sum(axis=2))
+    with np.errstate(divide="ignore"):
+        ratios = (scatter[:, None] + scatter[None, :]) / gaps
+    np.fill_diagonal(ratios, 0.0)
+    return {"k": k, "rows": int(n), "wssse": float(within),
+            "silhouette": sum(r["silhouette"] for r in second.values()) / float(n),
+            "calinski_harabasz": float((between / (k - 1)) / (within / (n - k))) if within > 0 and n > k else None,
+            "davies_bouldin": float(ratios.max(axis=1).mean()),
+            "entropy": float(-(sizes / n * np.log(sizes / n)).sum())}
 
 
 def cluster_report(labelled: dict[str, DataFrame], features: Sequence[str], label: str,
@@ -213,7 +233,8 @@ def cluster_report(labelled: dict[str, DataFrame], features: Sequence[str], labe
     silhouette uses Euclidean distance. Models are evaluated side by side.
     """
     def evaluate(position: int, name: str, df: DataFrame) -> tuple:
-        sample = cached(sample_exact(df.select(*keys, *features, label), keys, cap, seed))
+        sample = cached(spread_rows(
+            sample_exact(df.select(*keys, *features, label), keys, cap, seed)))
         try:
             row = quality_row(sample, features, label)
             row["silhouette"] = silhouette_euclid(sample, features, label, keys, cap, seed).first()[0]

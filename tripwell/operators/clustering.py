@@ -14,7 +14,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwell.functions.hashing import LANES, key_digest, lane_unit, poisson_weight, unit_hash
+from tripwell.functions.hashing import LANES, key_digest, lane_poisson_weight, unit_hash
 from tripwell.operators.bounded import cached, in_parallel
 from tripwell.operators.sampling import sample_exact
 
@@ -286,7 +286,7 @@ def replicate_weights(df: DataFrame, keys: Sequence[str], bootstraps: int, seed:
     digests = df.withColumns({f"_h{b}": key_digest([*keys, F.lit(b)], seed) for b in range(blocks)})
     weights = {"_w0": F.lit(1)}
     for i in range(bootstraps):
-        weights[f"_w{i + 1}"] = poisson_weight(lane_unit(F.col(f"_h{i // LANES}"), i % LANES))
+        weights[f"_w{i + 1}"] = lane_poisson_weight(F.col(f"_h{i // LANES}"), i % LANES)
     return digests.withColumns(weights).drop(*[f"_h{b}" for b in range(blocks)])
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripwell.functions.hashing import key_digest, lane_unit
+from tripwell.operators.bounded import spread_rows
 from tripwell.operators.regression import mean_profile
 
 
@@ -28,7 +29,7 @@ def shapley_values(model: Transformer, rows: DataFrame, background: DataFrame,
     """
     profile = mean_profile(background, features)
     count = len(features)
-    walks = (rows.select(*keys, *features)
+    walks = (spread_rows(rows.select(*keys, *features))
              .withColumn("_walk", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
              .withColumn("_order", F.array_sort(F.array(*[
                  F.struct(key_digest([*keys, F.col("_walk"), F.lit(j)], seed).alias("h"),
@@ -76,6 +77,7 @@ def perturbations(row: DataFrame, background: DataFrame, features: Sequence[str]
     spread = background.agg(F.struct(*[F.stddev_pop(f).alias(f) for f in features]).alias("s")).scalar()
     draws = (row.select(*keys, *features)
              .withColumn("_sample", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))))
+    draws = spread_rows(draws)
     digests = draws.withColumns({
         f"_h{j}": key_digest([*keys, F.col("_sample"), F.lit(j)], seed) for j in range(len(features))})
     offsets = digests.withColumns({

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwell.operators.bounded import cached, pin_small
+from tripwell.operators.bounded import cached, pin_small, spread_rows
 from tripwell.operators.cleaning import drop_nulls, filter_below, filter_logical
 from tripwell.operators.clustering import (
     CLUSTER_FEATURES, assign_nearest, centers_frame, kmeans_restarts)
@@ -31,7 +31,7 @@ def personas_pipeline(trips: DataFrame, keys: Sequence[str], k: int = 4, sample_
     features = list(CLUSTER_FEATURES)
     scaled_names = [f"{f}_scaled" for f in features]
     kept = filter_below(filter_logical(drop_nulls(trips, features)), PLOT_BOUNDS)
-    sample = cached(sample_exact(kept, keys, sample_rows, seed))
+    sample = cached(spread_rows(sample_exact(kept, keys, sample_rows, seed)))
     try:
         scaled = standard_scale(sample, features, population=True)
         vectors = cached(vector_assemble(scaled, scaled_names).select("features"))
