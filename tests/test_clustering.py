@@ -95,6 +95,18 @@ def test_other_metrics(blobs):
     assert row["entropy"] == pytest.approx(-(shares * np.log(shares)).sum())
 
 
+def test_quality_of_degenerate_clusters(spark):
+    # Two clusters of copies on the same spot and one apart: no spread anywhere.
+    rows = [(0.0, 0.0, 0), (0.0, 0.0, 0), (0.0, 0.0, 1), (0.0, 0.0, 1), (5.0, 5.0, 2), (5.0, 5.0, 2)]
+    df = spark.createDataFrame(rows, "a double, b double, label int")
+    row = quality.quality_row(df, FEATURES, "label")
+    assert row["davies_bouldin"] == 0.0 and row["calinski_harabasz"] == 1.0
+    assert quality.davies_bouldin(df, FEATURES, "label").first()[0] == 0.0
+    assert quality.calinski_harabasz(quality.cluster_table(df, FEATURES, "label"), FEATURES).first()[0] == 1.0
+    assert row["silhouette"] == pytest.approx(np.mean([0, 0, 0, 0, 1, 1]))
+    assert quality.silhouette_sq(df, FEATURES, "label").first()[0] == pytest.approx(row["silhouette"])
+
+
 def test_nearest_center_takes_the_lowest_index_on_a_tie(spark):
     df = spark.createDataFrame([(0.0, 0.0), (1.0, 0.0), (2.0, 0.0)], "a double, b double")
     rows = clustering.assign_nearest(df, FEATURES, [(0, 0), (2, 0)], distance="d").collect()

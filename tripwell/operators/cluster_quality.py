@@ -62,20 +62,21 @@ def cluster_entropy(table: DataFrame) -> DataFrame:
 
 
 def calinski_harabasz(table: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(between / (k - 1)) / (within / (n - k))."""
+    """(between / (k - 1)) / (within / (n - k)); 1 when no cluster has any spread."""
     center = table.agg(F.struct(*[
         (F.sum(F.col("n") * F.col(f"m_{f}")) / F.sum("n")).alias(f) for f in features]).alias("c")).scalar()
     offset = sum(((F.col(f"m_{f}") - center[f]) ** 2 for f in features), F.lit(0.0))
     sums = table.agg(F.sum(F.col("n") * offset).alias("between"), F.sum("ss").alias("within"),
                      F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
-    score = ((F.col("between") / F.nullif(F.col("k") - 1, F.lit(0)))
+    ratio = ((F.col("between") / F.nullif(F.col("k") - 1, F.lit(0)))
              / F.nullif(F.col("within") / F.nullif(F.col("n") - F.col("k"), F.lit(0)), F.lit(0.0)))
+    score = F.when(F.col("within") == 0, F.lit(1.0)).otherwise(ratio)
     return sums.select(score.alias("calinski_harabasz"))
 
 
 def davies_bouldin(df: DataFrame, features: Sequence[str], label: str,
                    table: DataFrame | None = None) -> DataFrame:
-    """Mean over clusters of the worst (s_i + s_j) / d_ij."""
+    """Mean over clusters of the worst (s_i + s_j) / d_ij; coinciding centers count as 0."""
     table = pin_small(cluster_table(df, features, label)) if table is None else table
     own = sum(((F.col(f) - F.col(f"m_{f}")) ** 2 for f in features), F.lit(0.0))
     means = [f"m_{f}" for f in features]
@@ -87,31 +88,35 @@ def davies_bouldin(df: DataFrame, features: Sequence[str], label: str,
 
     def ratio(a: Column, b: Column) -> Column:
         gap = F.sqrt(sum(((a[f"m_{f}"] - b[f"m_{f}"]) ** 2 for f in features), F.lit(0.0)))
-        return F.when(a["label"] == b["label"], F.lit(0.0)).when(
-            gap == 0, F.lit(float("inf"))).otherwise((a["s"] + b["s"]) / F.nullif(gap, F.lit(0.0)))
+        return F.coalesce((a["s"] + b["s"]) / F.nullif(gap, F.lit(0.0)), F.lit(0.0))
 
     return (everyone.select(F.explode("all").alias("me"), "all")
             .select(F.array_max(F.transform("all", lambda other: ratio(F.col("me"), other))).alias("worst"))
             .agg(F.avg("worst").alias("davies_bouldin")))
 
 
-def silhouette_sq_column(features: Sequence[str], label: Column, clusters: list) -> Column:
-    """Silhouette of a row under squared Euclidean distance, given the cluster rows.
+def with_silhouette_sq(df: DataFrame, features: Sequence[str], label: str, clusters: list) -> DataFrame:
+    """Per row: ``_label``, squared distance to its own center ``_gap`` and ``_silhouette``.
 
-    A row alone in its cluster scores 0. Codegen sees plain arithmetic.
+    The silhouette uses squared Euclidean distance; a row alone in its cluster
+    scores 0. The steps build on each other so that no distance is computed twice.
     """
-    own, others = None, []
-    for c in clusters:
-        gap = sum(((F.col(f) - F.lit(c[f"m_{f}"])) ** 2 for f in features), F.lit(0.0))
-        mean_sq = gap + F.lit(c["ss"] / c["n"])
-        inside = mean_sq * F.lit(c["n"] / (c["n"] - 1)) if c["n"] > 1 else F.lit(None).cast("double")
-        hit = label == F.lit(c["label"])
-        own = F.when(hit, inside) if own is None else own.when(hit, inside)
+    gaps = {f"_g{i}": sum(((F.col(f) - F.lit(c[f"m_{f}"])) ** 2 for f in features), F.lit(0.0))
+            for i, c in enumerate(clusters)}
+    own, inside, others = None, None, []
+    for i, c in enumerate(clusters):
+        hit = F.col("_label") == F.lit(c["label"])
+        mean_sq = F.col(f"_g{i}") + F.lit(c["ss"] / c["n"])
+        within = mean_sq * F.lit(c["n"] / (c["n"] - 1)) if c["n"] > 1 else F.lit(None).cast("double")
+        own = F.when(hit, F.col(f"_g{i}")) if own is None else own.when(hit, F.col(f"_g{i}"))
+        inside = F.when(hit, within) if inside is None else inside.when(hit, within)
         others.append(F.when(~hit, mean_sq))
-    nearest = F.least(*others) if len(others) > 1 else others[0]
-    top = F.greatest(own, nearest)
-    return F.when(own.isNull(), F.lit(0.0)).when(top == 0, F.lit(0.0)).otherwise(
-        (nearest - own) / F.nullif(top, F.lit(0.0)))
+    top = F.greatest("_inside", "_nearest")
+    score = F.when(F.col("_inside").isNull() | (top == 0), F.lit(0.0)).otherwise(
+        (F.col("_nearest") - F.col("_inside")) / F.nullif(top, F.lit(0.0)))
+    return (df.select(F.col(label).alias("_label"), *[g.alias(n) for n, g in gaps.items()])
+            .select("_label", own.alias("_gap"), inside.alias("_inside"), F.least(*others).alias("_nearest"))
+            .select("_label", "_gap", score.alias("_silhouette")))
 
 
 def silhouette_sq(df: DataFrame, features: Sequence[str], label: str,
@@ -120,7 +125,8 @@ def silhouette_sq(df: DataFrame, features: Sequence[str], label: str,
     clusters = (cluster_table(df, features, label) if table is None else table).collect()
     if len(clusters) < 2:
         raise ValueError("a silhouette needs at least two clusters")
-    return df.agg(F.avg(silhouette_sq_column(features, F.col(label), clusters)).alias("silhouette"))
+    return (with_silhouette_sq(df, features, label, clusters)
+            .agg(F.avg("_silhouette").alias("silhouette")))
 
 
 def _distance_sums(mine: np.ndarray, everyone: np.ndarray, first: np.ndarray, count: np.ndarray,
@@ -200,14 +206,9 @@ def quality_row(df: DataFrame, features: Sequence[str], label: str) -> dict:
     clusters = sorted(cluster_table(df, features, label).collect(), key=lambda c: c["label"])
     if len(clusters) < 2:
         raise ValueError("cluster quality needs at least two clusters")
-    own = None
-    for c in clusters:
-        gap = sum(((F.col(f) - F.lit(c[f"m_{f}"])) ** 2 for f in features), F.lit(0.0))
-        hit = F.col(label) == F.lit(c["label"])
-        own = F.when(hit, gap) if own is None else own.when(hit, gap)
-    second = {r["label"]: r for r in df.groupBy(F.col(label).alias("label")).agg(
-        F.avg(F.sqrt(own)).alias("scatter"),
-        F.sum(silhouette_sq_column(features, F.col(label), clusters)).alias("silhouette")).collect()}
+    second = {r["_label"]: r for r in with_silhouette_sq(df, features, label, clusters)
+              .groupBy("_label").agg(F.avg(F.sqrt("_gap")).alias("scatter"),
+                                     F.sum("_silhouette").alias("silhouette")).collect()}
     sizes = np.array([c["n"] for c in clusters], dtype="float64")
     means = np.array([[c[f"m_{f}"] for f in features] for c in clusters])
     scatter = np.array([second[c["label"]]["scatter"] for c in clusters])
@@ -215,12 +216,11 @@ def quality_row(df: DataFrame, features: Sequence[str], label: str) -> dict:
     middle = (sizes[:, None] * means).sum(axis=0) / n
     between = (sizes * ((means - middle) ** 2).sum(axis=1)).sum()
     gaps = np.sqrt(((means[:, None, :] - means[None, :, :]) ** 2).sum(axis=2))
-    with np.errstate(divide="ignore"):
-        ratios = (scatter[:, None] + scatter[None, :]) / gaps
-    np.fill_diagonal(ratios, 0.0)
+    gaps[gaps == 0] = np.inf  # a cluster and itself, and centers that coincide
+    ratios = (scatter[:, None] + scatter[None, :]) / gaps
     return {"k": k, "rows": int(n), "wssse": float(within),
             "silhouette": sum(r["silhouette"] for r in second.values()) / float(n),
-            "calinski_harabasz": float((between / (k - 1)) / (within / (n - k))) if within > 0 and n > k else None,
+            "calinski_harabasz": float((between / (k - 1)) / (within / (n - k))) if within > 0 else 1.0,
             "davies_bouldin": float(ratios.max(axis=1).mean()),
             "entropy": float(-(sizes / n * np.log(sizes / n)).sum())}
 
