@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tripwell.functions.hashing import POISSON_CUTS, poisson_weight, row_fingerprint, unit_hash
 from tripwell.operators import bootstrap, sampling
+from tripwell.session import initial_shuffle_partitions
 
 
 @pytest.fixture(scope="module")
@@ -44,6 +45,12 @@ def test_exact_sample_equals_the_ordered_limit(rows, n):
     assert len(got) == min(n, 20_000) and got == want
 
 
+def test_shuffle_partitions_follow_the_input():
+    assert initial_shuffle_partitions(10) == 200
+    assert initial_shuffle_partitions(1024 ** 4) == 4096
+    assert initial_shuffle_partitions(100 * 1024 ** 4) == 100_000
+
+
 def test_exact_sample_of_copies(spark):
     df = spark.createDataFrame([(1,)] * 1000, "id int")
     assert sampling.sample_exact(df, ["id"], 10).count() == 10

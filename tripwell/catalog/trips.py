@@ -59,7 +59,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Shuffle a scan that yields fewer tasks than the cluster has cores."""
     width = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(width) if df.rdd.getNumPartitions() < width else df
+    return df.repartition(width, *KEYS) if df.rdd.getNumPartitions() < width else df
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,13 +7,27 @@ import os
 from pyspark.sql import SparkSession
 
 
+SHUFFLE_TARGET_BYTES = 256 * 1024 ** 2
+
+
+def initial_shuffle_partitions(input_bytes: int) -> int:
+    """Partitions that keep a shuffle of the whole input near the target size each.
+
+    Adaptive execution merges small partitions but never splits the initial
+    number up, so it has to suit the largest shuffle. Above a hundred thousand
+    the bookkeeping costs more than larger partitions, which spill.
+    """
+    return max(200, min(100_000, -(-input_bytes // SHUFFLE_TARGET_BYTES)))
+
+
 def build_session(app_name: str = "tripwell", master: str | None = None,
-                  shuffle_partitions: int | None = None) -> SparkSession:
+                  shuffle_partitions: int | None = None,
+                  input_bytes: int | None = None) -> SparkSession:
     """Session with adaptive execution, UTC and ANSI semantics.
 
-    On a cluster leave ``master`` unset (spark-submit supplies it) and leave
-    ``shuffle_partitions`` unset too: adaptive execution coalesces from a
-    generous initial number, so nothing has to be tuned per data volume.
+    On a cluster leave ``master`` unset (spark-submit supplies it) and pass the
+    size of the input, from which the initial number of shuffle partitions
+    follows.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -25,10 +39,10 @@ def build_session(app_name: str = "tripwell", master: str | None = None,
     if master is not None:
         builder = builder.master(master).config("spark.ui.enabled", "false")
         builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "12g"))
+    if shuffle_partitions is None and input_bytes is not None:
+        shuffle_partitions = initial_shuffle_partitions(input_bytes)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    else:
-        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "4000")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
