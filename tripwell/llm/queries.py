@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwell.llm import license_scan
+from tripwell.llm import license_scan, pii
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base kinds, and all spans."""
+    return pii.scan_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every document, with the sentence identifiers that show them."""
     found = license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
