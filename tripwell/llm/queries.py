@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwell.llm import license_scan, pii, simhash
+from tripwell.llm import license_scan, packing, pii, simhash
+
+
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +26,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids cut into sequences of at most 2048 along a Hilbert curve."""
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), with_ids=False)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: counts and digest of the base kinds, and all spans."""
     return pii.scan_personal_data(table(spark, sf_dir, "documents"))
