@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwell.llm import license_scan, packing, pii, simhash
+from tripwell.llm import license_scan, mixing, packing, pii, simhash
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -26,6 +26,20 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, with its source's size and target."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    rows = mixing.sized_rows(docs, mixing.word_count(F.col("text")), F.array("source"))
+    mix = mixing.plan_mix(rows)
+    sources = spark.createDataFrame([(s, *v) for s, v in mix.sources.items()] or [(None, 0, 0.0)],
+                                    "source string, source_size long, target double")
+    taken = rows.withColumn("source", F.get(F.from_json("_mix_pattern", "array<string>"), F.lit(0))).join(
+        F.broadcast(mix.decisions), "_mix_pattern").join(
+        F.broadcast(sources.withColumnRenamed("source", "name")), F.col("source").eqNullSafe(F.col("name")))
+    return taken.select("doc_id", F.col("_mix_size").alias("size"), "source_size", "target",
+                        (mixing.copies_of_keyed() * F.col("_mix_size")).alias("taken"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's token ids cut into sequences of at most 2048 along a Hilbert curve."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), with_ids=False)
