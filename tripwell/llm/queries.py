@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwell.llm import license_scan, mixing, packing, pii, simhash
+from tripwell.llm import license_scan, mixing, packing, pii, quality, simhash
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -20,6 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of documents labelled good and not toxic."""
+    return table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the model of its language, and whether it is kept."""
+    return quality.classify(table(spark, sf_dir, "documents"), trusted(spark, sf_dir))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and the smallest doc_id reachable by links of at most 4 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
