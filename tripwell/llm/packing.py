@@ -235,7 +235,9 @@ class _Sequences:
         names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
         made = {n: pa.array(c, pa.int64()) for n, c in zip(names, columns)}
         if with_ids:
-            made["ids"] = pa.array([p.astype(np.int32) for p in columns[7]], pa.list_(pa.int32()))
+            cuts = np.cumsum([0, *map(len, columns[7])], dtype=np.int32)
+            values = np.concatenate([np.zeros(0, np.int32), *columns[7]]).astype(np.int32)
+            made["ids"] = pa.ListArray.from_arrays(pa.array(cuts), pa.array(values))
         self.rows = []
         return pa.RecordBatch.from_pydict(made)
 

@@ -390,3 +390,13 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, quantiles: tuple[float, fl
     return scores.join(limits, F.col("lang") == F.col("of"), "left").select(
         "doc_id", "lang", "perplexity", F.col("limit")[0].alias("low"), F.col("limit")[1].alias("high"),
         F.coalesce(F.col("perplexity").between(F.col("limit")[0], F.col("limit")[1]), F.lit(True)).alias("keep"))
+
+
+def keep_good(docs: DataFrame, trusted_ids: DataFrame, quantiles: tuple[float, float] = QUANTILES) -> DataFrame:
+    """The rows of ``docs`` (doc_id, lang, text and others) that the classifier keeps.
+
+    Rows that share an id share the decision: they go only if all of them are rejected.
+    Rows without an id stay.
+    """
+    judged = classify(docs, trusted_ids, quantiles).groupBy("doc_id").agg(F.max("keep").alias("keep"))
+    return docs.join(judged.where("not keep").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
