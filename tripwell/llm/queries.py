@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwell.llm import license_scan, mixing, packing, pii, quality, simhash
+from tripwell.llm import license_scan, mixing, neighbours, packing, pii, quality, simhash
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -60,6 +60,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 vectors of largest inner product for every vector whose id is divisible by 20."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every document, with the sentence identifiers that show them."""
     found = license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
