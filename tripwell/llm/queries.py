@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwell.llm import license_scan, mixing, neighbours, packing, pii, quality, simhash
+from tripwell.llm import lattice, license_scan, mixing, neighbours, packing, pii, quality, simhash
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -55,6 +55,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), with_ids=False)
 
 
+def op5_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.9 or more of every vector and the smallest id reachable by them."""
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: counts and digest of the base kinds, and all spans."""
     return pii.scan_personal_data(table(spark, sf_dir, "documents"))
