@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwell.llm import lattice, license_scan, mixing, neighbours, packing, pii, quality, simhash
+from tripwell.llm import language, lattice, license_scan, mixing, neighbours, packing, pii, quality, simhash
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -70,6 +70,15 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from documents whose id's checksum leaves another rest than 2."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    net = language.learn(docs, F.coalesce(~held_out, F.lit(False)))
+    found = language.identify(docs, net, spans=False)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every document, with the sentence identifiers that show them."""
     found = license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
