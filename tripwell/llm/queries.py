@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwell.llm import language, lattice, license_scan, mixing, neighbours, packing, pii, quality, simhash
+from tripwell.llm import language, lattice, license_scan, mixing, neighbours, packing, pii, quality, simhash, substrings
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -65,6 +65,11 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document without those in windows of 50 words that an earlier document holds."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 vectors of largest inner product for every vector whose id is divisible by 20."""
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
