@@ -231,8 +231,9 @@ def sized_rows(docs: DataFrame, size: Column, sources: Column, id_column: str =
 def mix_documents(docs: DataFrame, text: str = "text", source: str = "source", id_column: str = "doc_id",
                   weights: tuple[float, ...] | dict = WEIGHTS, max_repeats: int = 3, seed: int = 20) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    size = word_count(F.col(text))
-    sources = F.col(source) if docs.schema[source].dataType.typeName() == "array" else F.array(source)
-    mix = plan_mix(sized_rows(docs, size, sources, id_column, seed), weights, max_repeats)
-    repeated = with_copies(docs, mix, size, sources, id_column, seed)
-    return repeated.withColumn("_mix_copy", F.explode(F.expr("array_repeat(0, copies)"))).select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # names cannot clash inside
+    size, member, name = word_count(F.col(f"row.`{text}`")), F.col(f"row.`{source}`"), f"row.`{id_column}`"
+    sources = member if docs.schema[source].dataType.typeName() == "array" else F.array(member)
+    mix = plan_mix(sized_rows(rows, size, sources, name, seed), weights, max_repeats)
+    repeated = with_copies(rows, mix, size, sources, name, seed)
+    return repeated.withColumn("copy", F.explode(F.expr("array_repeat(0, copies)"))).select("row.*")

@@ -214,7 +214,7 @@ def redact_documents(docs: DataFrame, text: str = "text", length: str | None = "
             new = [redact(t) for t in old]
             if new != old:
                 batch = batch.set_column(names.index(text), text, pa.array(new, batch.schema.field(text).type))
-                if length in names:
+                if length in names and pa.types.is_integer(batch.schema.field(length).type):
                     was = batch.column(length).to_pylist()
                     batch = batch.set_column(names.index(length), length, pa.array(
                         [w if a == b else len(b) for w, a, b in zip(was, old, new)], batch.schema.field(length).type))
