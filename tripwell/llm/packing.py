@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +33,22 @@ DIMENSIONS, BITS, BUCKETS = 3, 16, 4096
 CACHED_WORDS = 500_000
 BATCH_CHARS = 2_000_000
 
-_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\\[-`{-~]*)")
+# A run of Latin letters or of marks with a certain end, or else the rest of the word.
+_PIECE = re.compile("[a-zß-öø-ÿ]++(?![^\\x00-\\x7f])|[!-&(-/:-@\\[-`{-~]++(?![^\\x00-\\x7f]|['\\x00-\\x08\\x0e-\\x1f\\x7f])"
+                    "|[^ \\t\\n\\r\\x0b\\x0c]+")
+_SIMPLE = re.compile("[a-zß-öø-ÿ]+|[!-&(-/:-@\\[-`{-~]+")
+_WORD = re.compile("[^ \\t\\n\\r\\x0b\\x0c]+")
 _tokenizers: dict[str, "WordTokenizer"] = {}
 
 
 class WordTokenizer:
-    """The ids of a vocabulary file whose pieces never span white space.
+    """The ids of a vocabulary file whose words end at white space and between letters and marks.
 
-    Texts are cut at ASCII white space, and the ids of each different word are
-    computed once and kept. When the number of kept words passes a bound, all are
-    forgotten. A Latin word followed by marks is two pieces with known ends; any
-    other word goes to the tokenizer on its own.
+    Texts are cut into lower-case pieces, and the ids of each different piece are
+    computed once and kept. When the number of kept pieces passes a bound, all are
+    forgotten. Runs of Latin letters or of marks whose end is certain are pieces;
+    whatever else a word holds (digits, apostrophes, other scripts) goes to the
+    tokenizer as it is, and so does a whole text that holds a special id's string.
     """
 
     def __init__(self, path: str):
@@ -54,51 +60,61 @@ class WordTokenizer:
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.closes = np.zeros(self.size, bool)
         self.closes[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.pieces: dict[str, np.ndarray] = {}
-        self.ids: list[np.ndarray] = []
         self.starts, self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, self.dtype)
 
-    def _learn(self, words: list[str]) -> None:
-        split, fresh = [], {}
-        for w in words:
-            m = _WORD.fullmatch(w)
-            split.append((m.group(1).lower(), m.group(2)) if m else None)
-            if m:
-                fresh.update((p, None) for p in split[-1] if p and p not in self.pieces)
-        for at in range(0, len(fresh), 5000):
-            some = list(fresh)[at:at + 5000] if len(fresh) > 5000 else list(fresh)
-            ids = self._encode(" ".join(some))
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            parts = np.split(ids, ends)[:-1] if len(ends) == len(some) and ends[-1] == len(ids) else map(self._encode, some)
-            self.pieces.update(zip(some, parts))
-        none = np.zeros(0, self.dtype)
-        new = [self._encode(w) if s is None else np.concatenate([self.pieces[s[0]] if s[0] else none,
-                                                                 self.pieces[s[1]] if s[1] else none])
-               for w, s in zip(words, split)]
-        self.known.update(zip(words, range(len(self.lengths), len(self.lengths) + len(words))))
-        lengths = np.fromiter(map(len, new), np.int64, len(new))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, *new])
+    def _learn(self, pieces: list[str]) -> None:
+        simple = [p for p in pieces if _SIMPLE.fullmatch(p)]
+        names, ids, lengths = [], [], []
+        for at in range(0, len(simple), 5000):
+            some = simple[at:at + 5000]
+            found = self._encode(" ".join(some))
+            ends = np.flatnonzero(self.closes[found]) + 1
+            if len(ends) != len(some) or ends[-1] != len(found):
+                parts = [self._encode(p) for p in some]
+                found, ends = np.concatenate(parts), np.cumsum([len(p) for p in parts])
+            names += some
+            ids.append(found)
+            lengths.append(np.diff(ends, prepend=0))
+        for p in set(pieces).difference(simple):
+            names.append(p)
+            ids.append(self._encode(p))
+            lengths.append(np.array([len(ids[-1])]))
+        added = np.concatenate(lengths)
+        self.known.update(zip(names, range(len(self.lengths), len(self.lengths) + len(names))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(added) - added])
+        self.lengths = np.concatenate([self.lengths, added])
+        self.flat = np.concatenate([self.flat, *ids])
+
+    def _pieces(self, text: str) -> list[str]:
+        if any(s in text for s in self.special):
+            return _WORD.findall(text)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            found = []
+            for word in _WORD.findall(text):
+                found += self._pieces(word) if max(word) < "\u0100" else [word]
+            return found
+        return _PIECE.findall(text.lower())
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text, without special ids."""
         if len(self.known) > CACHED_WORDS:
             self.forget()
-        words = [t.split() if t.isascii() else re.split(r"[ \t\n\r\x0b\x0c]+", t.strip(" \t\n\r\x0b\x0c")) for t in texts]
-        flat = [w for ws in words for w in ws]
-        missing = {w for w in flat if w not in self.known}
+        words = [self._pieces(t) for t in texts]
+        flat = list(chain.from_iterable(words))
+        missing = set(flat).difference(self.known)
         if missing:
             self._learn(sorted(missing))
-        known = self.known
-        index = np.fromiter((known[w] for w in flat), np.int64, len(flat))
+        index = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
         lengths = self.lengths[index]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
