@@ -141,3 +141,32 @@ def test_quantiles_of_an_empty_column(spark):
 def test_quantile_band_includes_both_ends(spark):
     df = spark.createDataFrame([(float(i),) for i in range(101)], "x double")
     assert sorted(values(filter_quantile_band(df, "x"), "x")) == [float(i) for i in range(1, 100)]
+
+
+# ---------------------------------------------------------------- quantiles
+
+@pytest.mark.parametrize("values", [
+    [float("inf"), float("-inf"), 1.0, 2.0, 3.0, 4.0, None, float("nan"), float("inf"), 5.0, 6.0],
+    [10.0 ** e for e in range(-300, 301)] + [-(10.0 ** e) for e in range(-300, 301, 7)],
+    [7.0] * 50, [float("inf")] * 3, [3.0],
+])
+def test_quantiles_of_awkward_values(spark, values):
+    from tripwell.operators.quantiles import exact_quantiles
+
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    usable = np.sort(np.array([v for v in values if v is not None and v == v]))
+    got = exact_quantiles(df, ["v"], [0.0, 0.01, 0.5, 0.99, 1.0])["v"]
+    for p, g in zip([0.0, 0.01, 0.5, 0.99, 1.0], got):
+        at = p * (len(usable) - 1)
+        low, high = usable[int(np.floor(at))], usable[int(np.ceil(at))]
+        want = low if low == high else low + (high - low) * (at - np.floor(at))
+        assert g == pytest.approx(want, rel=1e-12, nan_ok=True)
+
+
+def test_quantiles_narrow_large_columns(spark, monkeypatch):
+    from tripwell.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "MAX_VALUES", 200)
+    df = spark.range(60_000).selectExpr("cast(pmod(id * 7919, 60000) as double) * 1.5 as v", "cast(null as double) as w")
+    got = quantiles.exact_quantiles(df, ["v", "w"], [0.25, 0.99])
+    assert got["v"] == pytest.approx([0.25 * 59_999 * 1.5, 0.99 * 59_999 * 1.5]) and got["w"] == [None, None]

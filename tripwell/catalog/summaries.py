@@ -110,7 +110,9 @@ def min_max_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.min_max_limits(predicted(spark, sf_dir), ["fare_amount", "prediction"])
 
 
-_PROFILED = ["passenger_count", "trip_distance", "fare_amount", "total_amount"]
+_PROFILED = ["VendorID", "passenger_count", "trip_distance", "RatecodeID", "payment_type", "fare_amount", "extra",
+             "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount", "congestion_surcharge",
+             "airport_fee"]
 
 
 def _quality_sql(tier: str, source: str, column: str) -> str:

@@ -1,9 +1,11 @@
-"""Exact quantiles by repeated histogram narrowing.
-
-A sort or a value buffer would bring a whole column together somewhere. Here
-every round is one aggregation of at most ``BINS`` buckets per open bracket:
-find the bucket that holds the wanted rank, shrink the bracket to the values in
-it, and repeat until the bracket is a single value.
+"""Exact quantiles by narrowing brackets around the wanted ranks.
+
+A sort or a value buffer would bring a whole column together somewhere. Here a
+round is one aggregation: approximate percentiles, whose rank error is bounded,
+propose a bracket around each rank, and the next round counts what lies below and
+inside. A bracket holds about a thousandth of its predecessor, whatever the scale
+of the values. Once few enough values are left inside, they are counted by value.
+Infinite values take their ranks at either end without entering a bracket.
 """
 
 from __future__ import annotations
@@ -15,41 +17,64 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BINS = 1024
+ACCURACY = 10_000
+MAX_VALUES = 20_000
 
 
 @dataclass
 class _Bracket:
     column: str
-    rank: int      # zero-based rank still to be found, counted from ``lo``
+    rank: int      # zero-based rank among the finite values
     lo: float
     hi: float
-
-
-def _narrow(df: DataFrame, open_brackets: list[_Bracket]) -> None:
-    spans = sorted({(b.column, b.lo, b.hi) for b in open_brackets})
-    cells = []
-    for i, (column, lo, hi) in enumerate(spans):
-        value = F.col(column).cast("double")
-        # Halving first keeps the width finite for extreme values.
-        share = (value / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2)
-        bin_no = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
-        cells.append(F.when((value >= F.lit(lo)) & (value <= F.lit(hi)),
-                            F.struct(F.lit(i).alias("span"), bin_no.alias("bin"), value.alias("v"))))
-    buckets = (df.select(F.explode(F.array_compact(F.array(*cells))).alias("c"))
-               .groupBy("c.span", "c.bin")
-               .agg(F.count(F.lit(1)).alias("n"), F.min("c.v").alias("lo"), F.max("c.v").alias("hi"))
-               .collect())
-    by_span: dict[int, list] = {}
-    for row in sorted(buckets, key=lambda r: (r["span"], r["bin"])):
-        by_span.setdefault(row["span"], []).append(row)
-    index = {span: i for i, span in enumerate(spans)}
-    for b in open_brackets:
-        for row in by_span[index[(b.column, b.lo, b.hi)]]:
-            if b.rank < row["n"]:
-                b.lo, b.hi = row["lo"], row["hi"]
+    below: int     # finite values under ``lo``
+    inside: int
+
+    @property
+    def open(self) -> bool:
+        return self.lo < self.hi
+
+
+def _inside(b: _Bracket):
+    return (F.col(b.column) >= F.lit(b.lo)) & (F.col(b.column) <= F.lit(b.hi))
+
+
+def _propose(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Shrink open brackets by approximate percentiles of what they hold, keeping the rank inside."""
+    slack = 4 / ACCURACY
+    shares = [[max(0.0, (b.rank - b.below) / max(1, b.inside - 1) - slack),
+               min(1.0, (b.rank - b.below) / max(1, b.inside - 1) + slack)] for b in brackets]
+    row = df.agg(*[F.percentile_approx(F.when(_inside(b), F.col(b.column)), s, F.lit(ACCURACY)).alias(f"p{i}")
+                   for i, (b, s) in enumerate(zip(brackets, shares))]).first()
+    before = [(b.lo, b.hi, b.below, b.inside) for b in brackets]
+    for i, (b, s) in enumerate(zip(brackets, shares)):
+        b.lo = b.lo if s[0] == 0 else row[f"p{i}"][0]
+        b.hi = b.hi if s[1] == 1 else row[f"p{i}"][1]
+    counts = df.agg(*[x for i, b in enumerate(brackets) for x in (
+        F.count(F.when(F.col(b.column) < F.lit(b.lo), 1)).alias(f"u{i}"),
+        F.count(F.when(_inside(b), 1)).alias(f"n{i}"))]).first()
+    for i, (b, old) in enumerate(zip(brackets, before)):
+        b.below, b.inside = counts[f"u{i}"], counts[f"n{i}"]
+        if b.rank < b.below:  # outside the stated error: take the other part of the old bracket
+            b.lo, b.hi, b.below, b.inside = old[0], math.nextafter(b.lo, -math.inf), old[2], b.below - old[2]
+        elif b.rank >= b.below + b.inside:
+            b.lo, b.below, b.inside = (math.nextafter(b.hi, math.inf), b.below + b.inside,
+                                       old[2] + old[3] - b.below - b.inside)
+            b.hi = old[1]
+
+
+def _finish(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Count the few values inside by value and pick the rank's one."""
+    cells = F.array_compact(F.array(*[
+        F.when(_inside(b), F.struct(F.lit(i).alias("bracket"), F.col(b.column).alias("v"))) for i, b in enumerate(brackets)]))
+    rows = df.select(F.explode(cells).alias("c")).groupBy("c.bracket", "c.v").count().collect()
+    for i, b in enumerate(brackets):
+        at = b.below
+        for r in sorted((r for r in rows if r["bracket"] == i), key=lambda r: r["v"]):
+            at += r["count"]
+            if b.rank < at:
+                b.lo = b.hi = r["v"]
                 break
-            b.rank -= row["n"]
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str],
@@ -59,30 +84,43 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
     Nulls and NaNs do not count. A column without values yields ``None``.
     """
     usable = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+    finite = {c: F.when(F.abs(c) < F.lit(math.inf), F.col(c)) for c in columns}
     bounds = usable.agg(*[f for i, c in enumerate(columns) for f in (
-        F.count(c).alias(f"n{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"))]).first()
+        F.count(F.when(F.col(c) == F.lit(-math.inf), 1)).alias(f"under{i}"), F.count(finite[c]).alias(f"n{i}"),
+        F.count(c).alias(f"all{i}"), F.min(finite[c]).alias(f"lo{i}"), F.max(finite[c]).alias(f"hi{i}"))]).first()
     brackets: dict[tuple[str, int], _Bracket] = {}
     for i, c in enumerate(columns):
-        n = bounds[f"n{i}"]
-        for p in probabilities if n else ():
-            position = p * (n - 1)
+        under, n = bounds[f"under{i}"], bounds[f"n{i}"]
+        for p in probabilities if bounds[f"all{i}"] else ():
+            position = p * (bounds[f"all{i}"] - 1)
             for rank in {math.floor(position), math.ceil(position)}:
-                brackets[c, rank] = _Bracket(c, rank, bounds[f"lo{i}"], bounds[f"hi{i}"])
-    while open_brackets := [b for b in brackets.values() if b.lo < b.hi]:
-        _narrow(usable, open_brackets)
+                if rank < under:
+                    lo = hi = -math.inf
+                elif rank >= under + n:
+                    lo = hi = math.inf
+                else:
+                    lo, hi = bounds[f"lo{i}"], bounds[f"hi{i}"]
+                brackets[c, rank] = _Bracket(c, rank - under, lo, hi, 0, n)
+    numbers = usable.select(*[finite[c].alias(c) for c in columns])
+    while open_brackets := [b for b in brackets.values() if b.open]:
+        few = [b for b in open_brackets if b.inside <= MAX_VALUES]
+        if few:
+            _finish(numbers, few)
+        if many := [b for b in open_brackets if b.inside > MAX_VALUES]:
+            _propose(numbers, many)
 
     result: dict[str, list[float | None]] = {}
     for i, c in enumerate(columns):
-        n = bounds[f"n{i}"]
-        if not n:
-            result[c] = [None] * len(probabilities)
-            continue
+        n = bounds[f"all{i}"]
         result[c] = []
         for p in probabilities:
+            if not n:
+                result[c].append(None)
+                continue
             position = p * (n - 1)
             below, above = math.floor(position), math.ceil(position)
             low, high = brackets[c, below].lo, brackets[c, above].lo
-            result[c].append(low + (high - low) * (position - below))
+            result[c].append(low if low == high else low + (high - low) * (position - below))
     return result
 
 
