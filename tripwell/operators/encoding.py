@@ -10,27 +10,28 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Columns that are indexed, and columns that are scaled.
 CATEGORY_COLUMNS = ("VendorID", "RatecodeID", "payment_type", "store_and_fwd_flag")
 SCALED_COLUMNS = ("trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
                   "improvement_surcharge", "congestion_surcharge", "airport_fee", "passenger_count")
 
 
-def indexers(columns: Sequence[str]) -> list[StringIndexer]:
-    """Index by falling frequency; null and unseen values share one extra index."""
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in columns]
+def indexer(columns: Sequence[str]) -> StringIndexer:
+    """Index by falling frequency; null and unseen values share one extra index. One scan fits all columns."""
+    return StringIndexer(inputCols=list(columns), outputCols=[f"{c}_idx" for c in columns], handleInvalid="keep")
 
 
-def encoders(columns: Sequence[str]) -> list[OneHotEncoder]:
-    return [OneHotEncoder(inputCols=[f"{c}_idx"], outputCols=[f"{c}_ohe"], dropLast=False)
-            for c in columns]
+def encoder(columns: Sequence[str]) -> OneHotEncoder:
+    return OneHotEncoder(inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_ohe" for c in columns],
+                         dropLast=False)
 
 
 def string_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return Pipeline(stages=indexers(columns)).fit(df).transform(df)
+    return indexer(columns).fit(df).transform(df)
 
 
 def one_hot_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return Pipeline(stages=[*indexers(columns), *encoders(columns)]).fit(df).transform(df)
+    return Pipeline(stages=[indexer(columns), encoder(columns)]).fit(df).transform(df)
 
 
 def vector_assemble(df: DataFrame, columns: Sequence[str], output: str = "features",
@@ -60,11 +61,11 @@ def feature_pipeline(df: DataFrame, categories: Sequence[str] = CATEGORY_COLUMNS
     Returns the model and the table with ``<c>_ohe`` and ``scaled_features``;
     the intermediate indexes and the raw vector are dropped.
     """
-    stages = [s for pair in zip(indexers(categories), encoders(categories)) for s in pair]
-    stages += [VectorAssembler(inputCols=list(numbers), outputCol="numerical_features",
-                               handleInvalid="skip"),
-               StandardScaler(inputCol="numerical_features", outputCol="scaled_features",
-                              withStd=True, withMean=True)]
+    stages = [indexer(categories), encoder(categories),
+              VectorAssembler(inputCols=list(numbers), outputCol="numerical_features",
+                              handleInvalid="skip"),
+              StandardScaler(inputCol="numerical_features", outputCol="scaled_features",
+                             withStd=True, withMean=True)]
     model = Pipeline(stages=stages).fit(df)
     out = model.transform(df).drop(*[f"{c}_idx" for c in categories], "numerical_features")
     return model, out
