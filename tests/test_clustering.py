@@ -61,11 +61,11 @@ def test_euclidean_silhouette(blobs):
     x, labels = matrix(blobs)
     row = quality.silhouette_euclid(blobs, FEATURES, "label", ["id"]).first()
     assert row["silhouette"] == pytest.approx(brute_silhouette(x, labels, False), abs=1e-9)
-    assert row["sample_size"] == len(x)
+    assert row["points"] == len(x)
 
 
 def test_euclidean_silhouette_of_a_sample_respects_the_cap(blobs):
-    assert quality.silhouette_euclid(blobs, FEATURES, "label", ["id"], cap=50).first()["sample_size"] == 50
+    assert quality.silhouette_euclid(blobs, FEATURES, "label", ["id"], points=50).first()["points"] == 50
 
 
 def test_silhouette_needs_two_clusters(blobs):

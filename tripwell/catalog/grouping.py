@@ -10,10 +10,11 @@ from tripwell.catalog.ingest import rounded
 from tripwell.catalog.registry import query
 from tripwell.catalog.summaries import calinski_sql, centers_sql, davies_sql, silhouette_sql
 from tripwell.catalog.trips import (
-    ANCHORS, CLUSTER_COLUMNS, KEYS, SILVER_SQL, labelled, label_sql, silver, sql_unit)
+    ANCHORS, CLUSTER_COLUMNS, KEYS, SILVER_SQL, labelled, label_sql, once, silver, sql_unit)
 from tripwell.operators import cluster_quality, clustering, scaling
 from tripwell.operators.bounded import cached
 from tripwell.plans.personas import personas_pipeline
+from tripwell.sources.storage import store
 
 _KEYS = ", ".join(KEYS)
 SCALED = [f"{c}_scaled" for c in CLUSTER_COLUMNS]
@@ -166,7 +167,7 @@ def center_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("personas_pipeline")
 def personas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return personas_pipeline(silver(spark, sf_dir).select(*KEYS, *CLUSTER_COLUMNS), KEYS)
+    return personas_pipeline(silver(spark, sf_dir).select(*CLUSTER_COLUMNS))
 
 
 # ---- quality ---------------------------------------------------------------
@@ -191,9 +192,24 @@ def silhouette_sq(spark: SparkSession, sf_dir: str) -> DataFrame:
                    "silhouette")
 
 
-@query("silhouette_euclid")
+def euclid_sql(source: str, name: str, columns: list[str], points: int = cluster_quality.SILHOUETTE_POINTS) -> str:
+    """Mean Euclidean silhouette of the rows first in hash order, each measured against all rows."""
+    gap = " + ".join(f"(p.{c} - q.{c}) * (p.{c} - q.{c})" for c in columns)
+    return f"""{name}_points as (select *, row_number() over () as id from (
+  select * from {source} order by {sql_unit(KEYS)}, {_KEYS} limit {points})),
+{name}_sums as (select p.id, p.cluster as own, q.cluster, sum(sqrt({gap})) as total, count(*) as n
+  from {name}_points p, {source} q group by all),
+{name}_scores as (select id, max(case when own = cluster and n > 1 then total / (n - 1) end) as a,
+  min(case when own <> cluster then total / n end) as b from {name}_sums group by id),
+{name} as (select avg(case when a is null or greatest(a, b) = 0 then 0 else (b - a) / greatest(a, b) end) as silhouette,
+  count(*) as points from {name}_scores)"""
+
+
+@query("silhouette_euclid", f"""with {SILVER_SQL}, {label_sql()}, {euclid_sql('labelled', 'score', CLUSTER_COLUMNS)}
+select round(silhouette, 6) as silhouette, points from score""")
 def silhouette_euclid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cluster_quality.silhouette_euclid(labelled(spark, sf_dir), CLUSTER_COLUMNS, "cluster", KEYS)
+    return rounded(cluster_quality.silhouette_euclid(labelled(spark, sf_dir), CLUSTER_COLUMNS, "cluster", KEYS),
+                   "silhouette")
 
 
 def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,7 +242,71 @@ def cluster_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(cluster_quality.cluster_entropy(_table(spark, sf_dir)), "entropy")
 
 
-@query("cluster_report")
+_REPORT_METRICS = ("silhouette", "calinski_harabasz", "davies_bouldin", "wssse", "entropy")
+
+
+def _report_sql() -> str:
+    parts, rows = [f"with {SILVER_SQL}"], []
+    for i, k in enumerate(sorted(ANCHORS)):
+        parts += [label_sql(k, f"l{k}"), centers_sql(f"l{k}", f"c{k}", CLUSTER_COLUMNS),
+                  euclid_sql(f"l{k}", f"e{k}", CLUSTER_COLUMNS), calinski_sql(f"c{k}", CLUSTER_COLUMNS, f"h{k}"),
+                  davies_sql(f"l{k}", f"c{k}", CLUSTER_COLUMNS, f"b{k}"),
+                  f"""t{k} as (select sum(n) as total, count(*) as k, sum(n * v) as wssse,
+  -sum(n / (select sum(n) from c{k})::double * ln(n / (select sum(n) from c{k})::double)) as entropy,
+  string_agg(label || ':' || n, ',' order by label) as sizes from c{k})"""]
+        rows.append(f"""select {i}::integer as position, 'k={k}' as model, k::bigint as k, total::bigint as n_rows,
+  points as silhouette_points, {', '.join(f'round({m}, {3 if m == "wssse" else 6}) as {m}' for m in _REPORT_METRICS)},
+  sizes from e{k}, h{k}, b{k}, t{k}""")
+    return ", ".join(parts) + " " + " union all ".join(rows)
+
+
+@query("cluster_report", _report_sql())
 def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of clusterings by fixed centers, which SQL can repeat; see also ``fitted_cluster_report``."""
     models = {f"k={k}": labelled(spark, sf_dir, k) for k in sorted(ANCHORS)}
+    report = cluster_quality.cluster_report(models, CLUSTER_COLUMNS, "cluster", KEYS)
+    sizes = F.array_join(F.transform("sizes", lambda s: F.concat(s["cluster"], F.lit(":"), s["size"])), ",")
+    return rounded(rounded(report.withColumn("sizes", sizes), *(m for m in _REPORT_METRICS if m != "wssse")),
+                   "wssse", digits=3)
+
+
+# ---- fitted models ---------------------------------------------------------
+
+def fitted_labels(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """Stored trips labelled by the best K-Means, the bisecting or the mixture model."""
+    def build() -> DataFrame:
+        rows = cluster_input(spark, sf_dir)
+        vectors = cached(clustering.scaled_vectors(rows, centered=kind != "bisecting"))
+        try:
+            if kind == "kmeans":
+                model = clustering.best_trial(clustering.kmeans_search(vectors.select("features"))).model
+            elif kind == "bisecting":
+                model = clustering.fit_bisecting(vectors.select("features"))
+            else:
+                model = clustering.fit_gaussian_mixture(vectors.select("features"))
+            labels = model.transform(vectors).select(*KEYS, *CLUSTER_COLUMNS, F.col("prediction").alias("cluster"))
+            return store(labels, f"labels-{kind}")
+        finally:
+            vectors.unpersist()
+
+    return once(spark, sf_dir, f"labels-{kind}", build)
+
+
+FITTED = ("kmeans", "bisecting", "mixture")
+
+
+def _register_labels(kind: str) -> None:
+    @query(f"clustered_trips_{kind}")
+    def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fitted_labels(spark, sf_dir, kind)
+
+
+for _kind in FITTED:
+    _register_labels(_kind)
+
+
+@query("fitted_cluster_report")
+def fitted_cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fitted models side by side: clusters, sizes, shares and quality over all rows."""
+    models = {kind: fitted_labels(spark, sf_dir, kind) for kind in FITTED}
     return cluster_quality.cluster_report(models, CLUSTER_COLUMNS, "cluster", KEYS)

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwell.operators.bounded import cached, in_parallel, pin_small, spread_rows
+from tripwell.operators.bounded import cached, in_parallel, pin_small
 from tripwell.operators.sampling import sample_exact
 
 
@@ -32,7 +32,7 @@ def cluster_table(df: DataFrame, features: Sequence[str], label: str) -> DataFra
 def cluster_size_share(df: DataFrame, label: str) -> DataFrame:
     """Size and share of every cluster that has rows."""
     sizes = df.groupBy(F.col(label).alias("cluster")).agg(F.count(F.lit(1)).alias("size"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    total = sizes.agg(F.sum("size")).scalar()
     return sizes.select("cluster", "size", (F.col("size") / total).alias("share"))
 
 
@@ -153,48 +153,47 @@ def _distance_sums(mine: np.ndarray, everyone: np.ndarray, first: np.ndarray, co
     return sums
 
 
+SILHOUETTE_POINTS = 500
+
+
 def silhouette_euclid(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
-                      cap: int = 50_000, seed: int = 42) -> DataFrame:
-    """Mean silhouette with Euclidean distance on a sample of at most ``cap`` rows.
+                      points: int = SILHOUETTE_POINTS, seed: int = 42) -> DataFrame:
+    """Mean silhouette with Euclidean distance of ``points`` sampled rows, each measured against all rows.
 
-    The measure compares every sampled point with every other one. The sample,
-    whose size ``cap`` bounds, is shipped once to each executor; the points to
-    score are spread over the tasks, which compare them in blocks.
+    Only the sampled points, whose number the parameter bounds, travel to the tasks.
+    Every task adds up distances by point and cluster, and one small aggregate joins
+    the tasks' sums. With as many points as rows this is the full silhouette.
     """
     spark = df.sparkSession
-    sample = sample_exact(df.select(*keys, *features, F.col(label).alias("_label")), keys, cap, seed)
-    local = sample.select(*features, "_label").toPandas()
-    codes, names = pd.factorize(local["_label"], sort=True)
-    if len(names) < 2:
+    labelled = df.select(*keys, *features, F.col(label).alias("_label"))
+    if labelled.select("_label").distinct().limit(2).count() < 2:
         raise ValueError("a silhouette needs at least two clusters")
-    order = np.argsort(codes, kind="stable")
-    points = local[list(features)].to_numpy(dtype="float64")[order]
-    codes = codes[order]
-    starts = np.searchsorted(codes, np.arange(len(names)))
-    sizes = np.diff(np.append(starts, len(codes)))
-    shipped = spark.sparkContext.broadcast((points, starts, sizes))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        everyone, first, count = shipped.value
+    picked = sample_exact(labelled, keys, points, seed).select("_label", *features).collect()
+    mine, own = np.array([list(r)[1:] for r in picked], dtype="float64"), [r["_label"] for r in picked]
+    kind = labelled.schema["_label"].dataType.simpleString()
+
+    def distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict = {}
         for batch in batches:
-            mine = batch[list(features)].to_numpy()
-            own = batch["_code"].to_numpy()
-            sums = _distance_sums(mine, everyone, first, count)
-            rows = np.arange(len(mine))
-            inside = sums[rows, own] / np.maximum(count[own] - 1, 1)
-            means = sums / count
-            means[rows, own] = np.inf
-            nearest = means.min(axis=1)
-            top = np.maximum(inside, nearest)
-            ratio = np.divide(nearest - inside, top, out=np.zeros(len(mine)), where=top > 0)
-            ratio[count[own] == 1] = 0.0
-            yield pd.DataFrame({"total": [ratio.sum()], "n": [len(mine)]})
-
-    to_score = pd.DataFrame(points, columns=list(features)).assign(_code=codes)
-    width = max(spark.sparkContext.defaultParallelism, 1)
-    spread = spark.createDataFrame(to_score).repartition(width)
-    return (spread.mapInPandas(score, "total double, n long")
-            .agg((F.sum("total") / F.sum("n")).alias("silhouette"), F.sum("n").alias("sample_size")))
+            for name, part in batch.groupby("_label"):
+                x = np.ascontiguousarray(part[list(features)].to_numpy(dtype="float64"))
+                total = _distance_sums(mine, x, np.array([0]), np.array([len(x)]))[:, 0]
+                n, before = sums.get(name, (0, 0.0))
+                sums[name] = (n + len(x), before + total)
+        for name, (n, total) in sums.items():
+            yield pd.DataFrame({"cluster": name, "n": n, "point": np.arange(len(mine)), "total": total})
+
+    partial = labelled.select("_label", *features).mapInPandas(
+        distances, f"cluster {kind}, n long, point int, total double")
+    sums = partial.groupBy("point", "cluster").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    owners = F.broadcast(spark.createDataFrame(list(enumerate(own)), f"point int, own {kind}"))
+    inside = F.col("cluster") == F.col("own")
+    scored = sums.join(owners, "point").groupBy("point").agg(
+        F.max(F.when(inside & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
+        F.min(F.when(~inside, F.col("total") / F.col("n"))).alias("b"))
+    top = F.greatest("a", "b")
+    score = F.when(F.col("a").isNull() | (top == 0), F.lit(0.0)).otherwise((F.col("b") - F.col("a")) / F.nullif(top, F.lit(0.0)))
+    return scored.agg(F.avg(score).alias("silhouette"), F.count(F.lit(1)).alias("points"))
 
 
 def quality_row(df: DataFrame, features: Sequence[str], label: str) -> dict:
@@ -226,26 +225,29 @@ def quality_row(df: DataFrame, features: Sequence[str], label: str) -> dict:
 
 
 def cluster_report(labelled: dict[str, DataFrame], features: Sequence[str], label: str,
-                   keys: Sequence[str], cap: int = 50_000, seed: int = 42) -> DataFrame:
-    """One row per model: clusters, sample size and five quality metrics.
+                   keys: Sequence[str], points: int = SILHOUETTE_POINTS, seed: int = 42) -> DataFrame:
+    """One row per model: clusters, rows, five quality metrics, and size and share of every cluster.
 
-    All metrics describe the same sample of at most ``cap`` rows, and the
-    silhouette uses Euclidean distance. Models are evaluated side by side.
+    All rows enter the metrics. The silhouette uses Euclidean distance and is the mean
+    over ``points`` sampled rows, each measured against all rows. Models are evaluated
+    side by side.
     """
     def evaluate(position: int, name: str, df: DataFrame) -> tuple:
-        sample = cached(spread_rows(
-            sample_exact(df.select(*keys, *features, label), keys, cap, seed)))
+        rows = cached(df.select(*keys, *features, label))
         try:
-            row = quality_row(sample, features, label)
-            row["silhouette"] = silhouette_euclid(sample, features, label, keys, cap, seed).first()[0]
+            row = quality_row(rows, features, label)
+            row["silhouette"], used = silhouette_euclid(rows, features, label, keys, points, seed).first()
+            sizes = [(r["cluster"], r["size"], r["share"]) for r in cluster_size_share(rows, label).collect()]
         finally:
-            sample.unpersist()
-        return (position, name, row["k"], row["rows"], row["silhouette"], row["calinski_harabasz"],
-                row["davies_bouldin"], row["wssse"], row["entropy"])
+            rows.unpersist()
+        return (position, name, row["k"], row["rows"], used, row["silhouette"], row["calinski_harabasz"],
+                row["davies_bouldin"], row["wssse"], row["entropy"], sorted(sizes))
 
     rows = in_parallel([lambda i=i, n=n, d=d: evaluate(i, n, d)
                         for i, (n, d) in enumerate(labelled.items())])
-    spark = next(iter(labelled.values())).sparkSession
-    return spark.createDataFrame(rows, "position int, model string, k long, sample_size long, "
-                                 "silhouette double, calinski_harabasz double, davies_bouldin double, "
-                                 "wssse double, entropy double")
+    first = next(iter(labelled.values()))
+    kind = first.schema[label].dataType.simpleString()
+    return first.sparkSession.createDataFrame(
+        rows, "position int, model string, k long, n_rows long, silhouette_points long, silhouette double, "
+              "calinski_harabasz double, davies_bouldin double, wssse double, entropy double, "
+              f"sizes array<struct<cluster:{kind},size:long,share:double>>")

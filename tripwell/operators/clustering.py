@@ -133,18 +133,13 @@ def first_rows_as_centers(df: DataFrame, features: Sequence[str], keys: Sequence
                           seed: int = 42) -> np.ndarray:
     """k distinct points as starting centers: those that come first in hash order.
 
-    Looks at a few rows more than k and widens only if they repeat too much.
+    Each distinct point counts once, with its smallest hash; k rows reach the driver.
     """
-    take = 32 * k
-    while True:
-        rows = (sample_exact(df, keys, take, seed)
-                .orderBy(unit_hash(keys, seed), *keys).select(*features).collect())
-        distinct = list(dict.fromkeys(tuple(r) for r in rows))[:k]
-        if len(distinct) == k:
-            return np.array(distinct, dtype="float64")
-        if len(rows) < take:
-            raise ValueError(f"fewer than {k} distinct points")
-        take *= 8
+    first = (df.groupBy(*features).agg(F.min(unit_hash(keys, seed)).alias("_u"))
+             .orderBy("_u", *features).limit(k).collect())
+    if len(first) < k:
+        raise ValueError(f"fewer than {k} distinct points")
+    return np.array([[r[f] for f in features] for r in first], dtype="float64")
 
 
 def plus_plus_centers(points: np.ndarray, k: int, seed: int) -> np.ndarray:

@@ -2,36 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwell.operators.bounded import cached, pin_small, spread_rows
+from tripwell.operators.bounded import cached, pin_small
 from tripwell.operators.cleaning import drop_nulls, filter_below, filter_logical
 from tripwell.operators.clustering import (
     CLUSTER_FEATURES, assign_nearest, centers_frame, kmeans_restarts)
 from tripwell.operators.encoding import vector_assemble
 from tripwell.operators.ranking import persona_rank
-from tripwell.operators.sampling import sample_exact
 from tripwell.operators.scaling import inverse_scale, standard_scale
 
 PLOT_BOUNDS = {"trip_distance": 50.0, "fare_amount": 150.0}
 
 
-def personas_pipeline(trips: DataFrame, keys: Sequence[str], k: int = 4, sample_rows: int = 50_000,
-                      restarts: int = 10, max_iter: int = 300, seed: int = 42) -> DataFrame:
+def personas_pipeline(trips: DataFrame, k: int = 4, restarts: int = 10, max_iter: int = 300, seed: int = 42) -> DataFrame:
     """One row per persona: name, size, mean fare and center in original units.
 
-    Rows outside the plotting bounds are left out, a sample of fixed size is
-    standardised and clustered with several restarts, and clusters are named by
-    rank of their mean fare.
+    Rows outside the plotting bounds are left out, all others are standardised and
+    clustered with several restarts, and clusters are named by rank of their mean fare.
     """
     features = list(CLUSTER_FEATURES)
     scaled_names = [f"{f}_scaled" for f in features]
     kept = filter_below(filter_logical(drop_nulls(trips, features)), PLOT_BOUNDS)
-    sample = cached(spread_rows(sample_exact(kept, keys, sample_rows, seed)))
+    sample = cached(kept.select(*features))
     try:
         scaled = standard_scale(sample, features, population=True)
         vectors = cached(vector_assemble(scaled, scaled_names).select("features"))
