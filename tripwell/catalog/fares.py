@@ -8,12 +8,10 @@ from pyspark.sql import functions as F
 from tripwell.catalog.registry import query
 from tripwell.catalog.trips import KEYS, SILVER_SQL, once, silver, sql_unit
 from tripwell.operators import explain, ranking, regression, sampling
-from tripwell.operators.aggregates import hourly_stats
 from tripwell.operators.bounded import cached
 from tripwell.operators.projection import MODEL_FEATURES
 from tripwell.operators.quantiles import exact_quantiles
 from tripwell.operators.regression import LABEL
-from tripwell.plans.extracts import scaling_extract
 from tripwell.plans.training import train_fare_model
 from tripwell.sources import sinks
 from tripwell.sources.storage import new_path, store
@@ -195,13 +193,7 @@ def shapley_values_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("local_surrogate")
 def local_surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = model_rows(spark, sf_dir)
-    sample = sampling.sample_exact(rows, KEYS, 100)
-    chosen = ranking.argmax_row(sample, LABEL, KEYS)
+    chosen = ranking.argmax_row(rows, LABEL, KEYS)
     weights = explain.local_surrogate(stored_forest(spark, sf_dir), chosen, rows, FEATURES, KEYS)
     return spark.createDataFrame([(i + 1, n, w) for i, (n, w) in enumerate(weights)],
                                  "rank int, feature_name string, weight double")
-
-
-@query("scaling_extract")
-def scaling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scaling_extract(silver(spark, sf_dir), KEYS, hourly_stats)

@@ -119,7 +119,7 @@ for _name, _sql in _METRIC_SQL.items():
 
 @query("actual_vs_predicted", f"""with {SILVER_SQL}, {PREDICTED_SQL}
 select {_KEYS}, fare_amount as actual_fare, prediction as predicted_fare,
-  fare_amount - prediction as residual from predicted order by {_U}, {_KEYS} limit 5000""")
+  fare_amount - prediction as residual from predicted""")
 def actual_vs_predicted_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = actual_vs_predicted(predicted(spark, sf_dir), "fare_amount", "prediction", KEYS)
-    return sampling.sample_exact(table, KEYS, 5_000)
+    """Every trip; for a plot, pass the table through ``sample_exact``."""
+    return actual_vs_predicted(predicted(spark, sf_dir), "fare_amount", "prediction", KEYS)
