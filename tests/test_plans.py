@@ -50,3 +50,33 @@ def test_ingest_stays_in_the_jvm(spark, small):
     for name in ("rows_to_table", "drop_malformed_rows", "cleaning_pipeline"):
         text = plan(catalog.queries()[name](spark, small))
         assert "Python" not in text
+
+
+def test_shared_tables_are_built_once_by_threads(spark, small):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tripwell.catalog import trips
+
+    built = []
+    with ThreadPoolExecutor(4) as pool:
+        results = list(pool.map(lambda _: trips.once(spark, small, "threads", lambda: built.append(1) or len(built)), range(8)))
+    assert built == [1] and results == [1] * 8
+
+
+def test_fitted_labels_are_the_nearest_centers(spark, small):
+    from pyspark.sql import functions as F
+
+    from tripwell.catalog import grouping
+    from tripwell.catalog.trips import CLUSTER_COLUMNS, silver
+
+    rows = grouping.fitted_labels(spark, small, "kmeans")
+    assert rows.count() == silver(spark, small).count() and rows.where("cluster is null").count() == 0
+    spread = rows.agg(*[F.stddev_samp(c).alias(c) for c in CLUSTER_COLUMNS]).first()
+    means = {r["cluster"]: [r[c] for c in CLUSTER_COLUMNS] for r in
+             rows.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in CLUSTER_COLUMNS]).collect()}
+    near = 0
+    points = rows.collect()
+    for r in points:
+        gaps = {k: sum(((r[c] - x) / spread[c]) ** 2 for c, x in zip(CLUSTER_COLUMNS, m)) for k, m in means.items()}
+        near += min(gaps, key=gaps.get) == r["cluster"]
+    assert near > 0.99 * len(points)  # the last move of the centers may leave a few rows on a border

@@ -10,6 +10,7 @@ regressions something to find. All fares are exact halves.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -134,14 +135,16 @@ def text_columns_sql(source: str) -> str:
 
 
 _stored: dict[tuple[str, str, str], object] = {}
+_storing = threading.RLock()
 
 
 def once(spark: SparkSession, sf_dir: str, label: str, build: Callable):
     """Build a stored table or model once per application and sample folder."""
     key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key not in _stored:
-        _stored[key] = build()
-    return _stored[key]
+    with _storing:  # fits run side by side and must not build the same table twice
+        if key not in _stored:
+            _stored[key] = build()
+        return _stored[key]
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:

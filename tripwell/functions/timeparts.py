@@ -32,4 +32,4 @@ def is_weekend(day: Column, weekend: str = "calendar") -> Column:
 
 def duration_minutes(start: Column, end: Column) -> Column:
     """Whole seconds between the two timestamps, divided by 60."""
-    return (F.unix_timestamp(end) - F.unix_timestamp(start)) / F.lit(60.0)
+    return F.timestamp_diff("SECOND", start, end) / F.lit(60.0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,11 +104,15 @@ def scan_parquet_imposed_schema(spark: SparkSession, path: str) -> DataFrame:
     """Read Parquet with the relaxed schema of its footer imposed on it.
 
     Timestamps arrive as their stored integers. Nanosecond timestamps, which
-    Spark has no type for, are readable once they count as plain longs; that
-    session switch only touches columns that could not be read before.
+    Spark has no type for, are readable once they count as plain longs. There is
+    no option of the reader for that, so the session switch is turned on, and only
+    for files that cannot be read without it.
     """
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    footer = spark.read.parquet(path).schema
+    try:
+        footer = spark.read.parquet(path).schema
+    except AnalysisException:
+        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+        footer = spark.read.parquet(path).schema
     own = {f.name: f.dataType for f in footer.fields}
     stamps = {n for n, d in own.items() if isinstance(d, (T.TimestampType, T.TimestampNTZType))}
     return spark.read.schema(footer).parquet(path).select(*[
