@@ -9,10 +9,12 @@ from tripwell.catalog.registry import query
 from tripwell.catalog.trips import KEYS, SILVER_SQL, once, silver, sql_unit
 from tripwell.operators import explain, ranking, regression, sampling
 from tripwell.operators.bounded import cached
-from tripwell.operators.projection import MODEL_FEATURES
+from tripwell.operators.bootstrap import rmse_bootstrap_ci
+from tripwell.operators.projection import FEATURE_LABELS, MODEL_FEATURES, map_values
 from tripwell.operators.quantiles import exact_quantiles
 from tripwell.operators.regression import LABEL
-from tripwell.plans.training import train_fare_model
+from tripwell.operators.regression_quality import actual_vs_predicted
+from tripwell.plans.training import standard_algorithms, train_fare_model
 from tripwell.sources import sinks
 from tripwell.sources.storage import new_path, store
 
@@ -98,9 +100,15 @@ def gbt_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fit_and_score(spark, sf_dir, "GBT", regression.gradient_boosted_trees())
 
 
+def grid_points(spark: SparkSession, sf_dir: str) -> list[regression.GridPoint]:
+    """The booster's grid, searched once for everything that needs its best point."""
+    return once(spark, sf_dir, "grid", lambda: regression.cv_grid_search(
+        splits(spark, sf_dir)["train"], FEATURES, KEYS))
+
+
 @query("cv_grid_search")
 def cv_grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = regression.cv_grid_search(splits(spark, sf_dir)["train"], FEATURES, KEYS)
+    points = grid_points(spark, sf_dir)
     best = regression.best_grid_point(points)
     return spark.createDataFrame(
         [(p.depth, p.iterations, p.rmse, p.deviation, p is best) for p in points],
@@ -128,7 +136,9 @@ def cross_validate_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("model_bakeoff")
 def model_bakeoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = train_fare_model(model_rows(spark, sf_dir), KEYS, model_path=new_path(spark, "best-model"))
+    best = regression.best_grid_point(grid_points(spark, sf_dir))
+    result = train_fare_model(model_rows(spark, sf_dir), KEYS, standard_algorithms(tuned=best),
+                              model_path=new_path(spark, "best-model"))
     return spark.createDataFrame(
         [(e.model, e.rmse, e.r2, e.mae, e.model == result.winner.model,
           result.test["rmse"] if e.model == result.winner.model else None) for e in result.entries],
@@ -141,6 +151,53 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*KEYS, LABEL, "prediction")
 
 
+def _linear(spark: SparkSession, sf_dir: str):
+    """Ordinary least squares of the fare on distance and duration over all trips."""
+    return regression.fit_pipeline(silver(spark, sf_dir).select(*_TWO, LABEL), _TWO, regression.ordinary_least_squares())
+
+
+_LINEAR = "round(my + ba * ({a} - ma) + bb * ({b} - mb), 6) + 0.0"
+
+
+@query("score_batch_linear", f"""{_NORMAL_SQL} select {_KEYS}, fare_amount,
+  {_LINEAR.format(a='trip_distance', b='trip_duration_min')} as prediction from silver, b""")
+def score_batch_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = regression.score_batch(_linear(spark, sf_dir), silver(spark, sf_dir).select(*KEYS, *_TWO, LABEL))
+    return scored.select(*KEYS, LABEL, (F.round("prediction", 6) + 0.0).alias("prediction"))
+
+
+@query("predict_what_if_linear", f"""{_NORMAL_SQL} select hour, trip_distance, trip_duration_min,
+  {_LINEAR.format(a='trip_distance', b='trip_duration_min')} as prediction from (
+  select pickup_hour as hour, 20.0::double as trip_distance, 10.0::double as trip_duration_min
+  from silver group by 1), b""")
+def predict_what_if_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = regression.predict_what_if(_linear(spark, sf_dir), hourly_profiles(spark, sf_dir))
+    return found.select("hour", "trip_distance", "trip_duration_min", (F.round("prediction", 6) + 0.0).alias("prediction"))
+
+
+@query("forest_predictions_extract")
+def forest_predictions_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actual and predicted fares of the test split under the stored forest."""
+    scored = regression.score_batch(stored_forest(spark, sf_dir), splits(spark, sf_dir)["test"])
+    return actual_vs_predicted(scored, LABEL, "prediction", KEYS)
+
+
+@query("forest_bootstrap_ci")
+def forest_bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bootstrap interval of the stored forest's error on the test split."""
+    scored = regression.score_batch(stored_forest(spark, sf_dir), splits(spark, sf_dir)["test"])
+    return rmse_bootstrap_ci(scored, KEYS, LABEL, "prediction")
+
+
+@query("forest_importance_extract")
+def forest_importance_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored forest's ten most important features under their display names."""
+    scores = regression.feature_importance(stored_forest(spark, sf_dir), FEATURES)
+    table = spark.createDataFrame(scores, "feature_name string, importance_score double")
+    top = ranking.topk(table, "importance_score", 10, ["feature_name"])
+    return top.withColumn("display_name", map_values(F.col("feature_name"), FEATURE_LABELS))
+
+
 def hourly_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One average trip per pickup hour."""
     return (silver(spark, sf_dir).groupBy(F.col("pickup_hour").alias("hour"))

@@ -77,26 +77,27 @@ def gaussian_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assignment_summary(model, vectors, means).join(F.broadcast(extra), "cluster")
 
 
-_LLOYD_ROUNDS = 5
+# Rounds spelled out in SQL: enough to stand still on the samples that are compared.
+_LLOYD_ROUNDS = 40
 
 
 def _lloyd_sql() -> str:
     scaled = ", ".join(f"({c} - (select avg({c}) from silver)) / (select stddev_pop({c}) from silver)"
                        f" as {c}_scaled" for c in CLUSTER_COLUMNS)
     xs = ", ".join(SCALED)
-    steps = [f"with {SILVER_SQL}, points as (select {_KEYS}, {scaled} from silver)",
-             f"""c0 as (select row_number() over (order by u) - 1 as cluster, {xs} from (
+    steps = [f"with {SILVER_SQL}, points as materialized (select {_KEYS}, {scaled} from silver)",
+             f"""c0 as materialized (select row_number() over (order by u) - 1 as cluster, {xs} from (
   select {xs}, min({sql_unit(KEYS)}) as u from points group by {xs} order by u limit 5))"""]
     gap = " + ".join(f"(p.{x} - c.{x}) * (p.{x} - c.{x})" for x in SCALED)
     for i in range(_LLOYD_ROUNDS):
         means = ", ".join(f"coalesce(m.{x}, c.{x}) as {x}" for x in SCALED)
-        steps.append(f"""a{i} as (select {xs}, cluster, d from (
+        steps.append(f"""a{i} as materialized (select {xs}, cluster, d from (
   select p.*, c.cluster, {gap} as d,
     row_number() over (partition by p.id order by {gap}, c.cluster) as rn
   from (select *, row_number() over () as id from points) p, c{i} c) where rn = 1)""")
-        steps.append(f"""m{i} as (select cluster, count(*) as n, {', '.join(f'avg({x}) as {x}' for x in SCALED)}
+        steps.append(f"""m{i} as materialized (select cluster, count(*) as n, {', '.join(f'avg({x}) as {x}' for x in SCALED)}
   from a{i} group by cluster)""")
-        steps.append(f"""c{i + 1} as (select c.cluster, {means} from c{i} c left join m{i} m using (cluster))""")
+        steps.append(f"""c{i + 1} as materialized (select c.cluster, {means} from c{i} c left join m{i} m using (cluster))""")
     last = _LLOYD_ROUNDS - 1
     return ", ".join(steps) + f""" select cast(cluster as integer) as cluster,
   {', '.join(f'round({x}, 6) as {x}' for x in SCALED)},
@@ -106,7 +107,7 @@ def _lloyd_sql() -> str:
 @query("lloyd_kmeans", _lloyd_sql())
 def lloyd_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = clustering.lloyd_kmeans(scaled_input(spark, sf_dir), SCALED, KEYS, k=5,
-                                  max_iter=_LLOYD_ROUNDS, tol=0.0)
+                                  max_iter=1000, tol=1e-9)
     centers = clustering.centers_frame(spark, run.centers, SCALED)
     return rounded(centers, *SCALED).withColumn("cost", F.round(F.lit(run.cost), 3))
 

@@ -89,7 +89,8 @@ def scan_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.filter(F.col("value") != HEADER)
 
 
-@query("header_schema")
+@query("header_schema", f"""select cast(i - 1 as integer) as position, string_split('{HEADER}', ',')[i] as column_name,
+  'string' as data_type, true as nullable from range(1, {len(HEADER.split(','))} + 1) t(i)""")
 def header_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = readers.scan_text_lines(spark, raw_trip_file(spark, sf_dir))
     schema = readers.header_schema(readers.header_line(lines))
