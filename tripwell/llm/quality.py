@@ -43,6 +43,7 @@ ORDER = 4
 PAGE_CHARS = 8_000_000
 SHARD_GRAMS = 250_000
 FILTER_BITS = 1 << 23
+BROADCAST_LANGUAGES = 10_000
 QUANTILES = (0.001, 0.995)
 _PAD = "￿"
 _BLANKS = dict.fromkeys(range(33), " ")
@@ -151,7 +152,13 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def _pages(batches: Iterator[pa.RecordBatch], limit: int):
-    """(page id, language, ids, texts) of one task; a page is flushed when it is full or the task ends."""
+    """(page id, language, ids, texts) of one task; a page is flushed when it is full or the task ends.
+
+    Texts come as such or, under the name ``packed``, compressed.
+    """
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
     task, made = None, 0
     open_: dict[str, tuple[list, list]] = {}
     sizes: dict[str, int] = {}
@@ -159,7 +166,10 @@ def _pages(batches: Iterator[pa.RecordBatch], limit: int):
     for batch in batches:
         if task is None and batch.num_rows:
             task = batch.column("part")[0].as_py()
-        for doc, lang, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "lang", "text"))):
+        packed = "packed" in batch.schema.names
+        for doc, lang, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "lang", "packed" if packed else "text"))):
+            if packed:
+                text = unpack(text).decode("utf-8", "surrogatepass")
             ids, texts = open_.setdefault(lang, ([], []))
             ids.append(doc)
             texts.append(text)
@@ -189,7 +199,8 @@ def _gram_counts(docs: DataFrame, limit: int) -> DataFrame:
                     "lang": pa.array([lang] * len(part), pa.string()), "key": part.view(np.int64),
                     "n": counts[at:at + 100_000].astype(np.int64)})
 
-    return _numbered(docs).mapInArrow(run, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    numbered = docs.withColumn("part", F.spark_partition_id())
+    return numbered.mapInArrow(run, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
 def _discount(n: Column) -> Column:
@@ -349,7 +360,7 @@ def _bit_positions(column: str) -> Column:
 
 
 def trusted_documents(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is among the trusted ones.
+    """(doc_id, lang, packed) of the rows of ``docs`` whose doc_id is among the trusted ones; texts compressed.
 
     The driver holds a filter of ``FILTER_BITS`` bits, whatever the number of ids; rows
     it lets through by chance fall out in the exact semi-join.
@@ -365,13 +376,18 @@ def trusted_documents(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     hashed = docs.withColumn("_bits", _bit_positions("doc_id"))
 
     def may_be(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
+        import zstandard
+
+        words, squeeze = shared.value, zstandard.ZstdCompressor(6).compress
         for batch in batches:
             bits = batch.column("_bits").flatten().to_numpy()
             on = ((words[bits >> 6] >> (bits & 63)) & 1).reshape(-1, 3).all(axis=1)
-            yield batch.drop_columns(["_bits"]).filter(pa.array(on))
+            some = batch.filter(pa.array(on))
+            packed = [squeeze((t or "").encode("utf-8", "surrogatepass")) for t in some.column("text").to_pylist()]
+            yield pa.RecordBatch.from_pydict({"doc_id": some.column("doc_id"), "lang": some.column("lang"),
+                                              "packed": pa.array(packed, pa.binary())})
 
-    return hashed.mapInArrow(may_be, docs.schema).join(ids, "doc_id", "left_semi")
+    return hashed.mapInArrow(may_be, "doc_id long, lang string, packed binary").join(ids, "doc_id", "left_semi")
 
 
 def classify(docs: DataFrame, trusted_ids: DataFrame, quantiles: tuple[float, float] = QUANTILES, text: str = "text",
@@ -385,8 +401,10 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, quantiles: tuple[float, fl
     model = train(trusted_documents(rows, trusted_ids))
     scores = store(perplexities(rows, model), "perplexities")
     known = scores.join(trusted_ids.select("doc_id").distinct(), "doc_id", "left_semi").where("perplexity is not null")
-    limits = known.groupBy(F.col("lang").alias("of")).agg(
-        F.percentile_approx("perplexity", list(quantiles), F.lit(100_000)).alias("limit"))
+    limits = store(known.groupBy(F.col("lang").alias("of")).agg(
+        F.percentile_approx("perplexity", list(quantiles), F.lit(100_000)).alias("limit")), "limits")
+    if limits.limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES:
+        limits = F.broadcast(limits)  # else the join shuffles
     return scores.join(limits, F.col("lang") == F.col("of"), "left").select(
         "doc_id", "lang", "perplexity", F.col("limit")[0].alias("low"), F.col("limit")[1].alias("high"),
         F.coalesce(F.col("perplexity").between(F.col("limit")[0], F.col("limit")[1]), F.lit(True)).alias("keep"))
