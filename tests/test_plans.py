@@ -21,6 +21,14 @@ def test_an_oversized_dimension_is_not_hinted(spark, small):
     assert "hint" not in plan(df).lower()
 
 
+def test_an_oversized_dimension_reads_the_trips_once(spark, small, monkeypatch):
+    from tripwell.operators import joins
+
+    monkeypatch.setattr(joins, "broadcast_if_small", lambda df, n: df)
+    text = plan(silver_pipeline(bronze(spark, small), zones(spark, small))).split("== Physical Plan ==")[1]
+    assert text.count("bronze-") == 1 and "Python" not in text
+
+
 def test_silver_has_one_fact_shuffle_and_no_python(spark, small):
     text = plan(silver_pipeline(bronze(spark, small), zones(spark, small))).split("== Physical Plan ==")[1]
     assert "Python" not in text and "Pandas" not in text

@@ -48,7 +48,8 @@ def test_exact_sample_equals_the_ordered_limit(rows, n):
 def test_shuffle_partitions_follow_the_input():
     assert initial_shuffle_partitions(10) == 200
     assert initial_shuffle_partitions(1024 ** 4) == 4096
-    assert initial_shuffle_partitions(100 * 1024 ** 4) == 100_000
+    assert initial_shuffle_partitions(100 * 1024 ** 4) == 409_600
+    assert initial_shuffle_partitions(100 * 1024 ** 4, 1024 ** 3) == 102_400
 
 
 def test_exact_sample_of_copies(spark):

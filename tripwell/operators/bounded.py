@@ -10,15 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 BROADCAST_ROW_LIMIT = 100_000
+BROADCAST_BYTE_LIMIT = 64 * 1024 ** 2
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Count at most ``max_rows + 1`` rows and say whether that was all."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT, max_bytes: int = BROADCAST_BYTE_LIMIT) -> bool:
+    """Whether a table has at most ``max_rows`` rows and ``max_bytes`` bytes of text form.
+
+    Reads at most ``max_rows + 1`` rows.
+    """
+    size = F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0))
+    n, total = df.limit(max_rows + 1).select(size.alias("size")).agg(F.count("size"), F.sum("size")).first()
+    return n <= max_rows and (total or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast when a bounded count proves the side small.
+    """Hint a broadcast when a bounded check proves the side small.
 
     A larger side is returned without a hint: it is then joined by shuffling on
     the key, where adaptive execution splits the partitions of hot keys.
@@ -26,6 +32,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> Da
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+def bounded_rows(df: DataFrame, what: str, max_rows: int = BROADCAST_ROW_LIMIT) -> list:
+    """Rows of a summary that the driver works on; refuses more than the bound instead of dropping any."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} {what}")
+    return rows
+
+
 def pin_small(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Evaluate a summary table once and hint its broadcast, when it is small.
 

@@ -15,9 +15,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripwell.operators.bounded import cached, in_parallel, pin_small
+from tripwell.operators.bounded import bounded_rows, cached, in_parallel, pin_small
 from tripwell.operators.sampling import sample_exact
 
+# Clusters become columns of the next plan, so their number is limited.
+MAX_CLUSTERS = 1000
+
 
 def cluster_table(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Per cluster: ``label, n, ss`` (squared deviations from its mean) and means ``m_<f>``."""
@@ -122,7 +125,7 @@ def with_silhouette_sq(df: DataFrame, features: Sequence[str], label: str, clust
 def silhouette_sq(df: DataFrame, features: Sequence[str], label: str,
                   table: DataFrame | None = None) -> DataFrame:
     """Mean silhouette with squared Euclidean distance over all rows."""
-    clusters = (cluster_table(df, features, label) if table is None else table).collect()
+    clusters = bounded_rows(cluster_table(df, features, label) if table is None else table, "clusters", MAX_CLUSTERS)
     if len(clusters) < 2:
         raise ValueError("a silhouette needs at least two clusters")
     return (with_silhouette_sq(df, features, label, clusters)
@@ -202,7 +205,7 @@ def quality_row(df: DataFrame, features: Sequence[str], label: str) -> dict:
     Two passes over the rows: one for the cluster table, one for everything that
     needs the centers. What remains is arithmetic on k rows.
     """
-    clusters = sorted(cluster_table(df, features, label).collect(), key=lambda c: c["label"])
+    clusters = sorted(bounded_rows(cluster_table(df, features, label), "clusters", MAX_CLUSTERS), key=lambda c: c["label"])
     if len(clusters) < 2:
         raise ValueError("cluster quality needs at least two clusters")
     second = {r["_label"]: r for r in with_silhouette_sq(df, features, label, clusters)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripwell.functions.hashing import LANES, key_digest, lane_poisson_weight, unit_hash
-from tripwell.operators.bounded import cached, in_parallel
+from tripwell.operators.bounded import bounded_rows, cached, in_parallel
 from tripwell.operators.sampling import sample_exact
 
 CLUSTER_FEATURES = ("trip_distance", "fare_amount", "trip_duration_min")
@@ -255,7 +255,7 @@ def center_shift(base: DataFrame, other: DataFrame, features: Sequence[str],
     center with the closest one of the other set. Both inputs have k rows (per
     group of ``by``), and the base centers become literals.
     """
-    centers = np.array([list(r) for r in base.select(*features).collect()], dtype="float64")
+    centers = np.array([list(r) for r in bounded_rows(base.select(*features), "centers", 1000)], dtype="float64")
     in_order = np.sort(centers, axis=0)
     grouped = other.groupBy(*by).agg(
         F.collect_list(F.struct(*features)).alias("_points"),

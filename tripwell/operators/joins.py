@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwell.operators.bounded import BROADCAST_ROW_LIMIT, broadcast_if_small, is_small
+from tripwell.operators.bounded import BROADCAST_ROW_LIMIT, broadcast_if_small
 
 
 def zone_names(zones: DataFrame) -> DataFrame:
@@ -14,49 +14,18 @@ def zone_names(zones: DataFrame) -> DataFrame:
                         F.col("Zone").alias("pickup_zone"))
 
 
-def _hot_keys(facts: DataFrame, key: str, share: float) -> list:
-    """Keys that hold more than the given share of the rows: at most 1 / share of them."""
-    counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = facts.agg(F.count(F.lit(1)).alias("n")).scalar()
-    hot = counts.filter(F.col(key).isNotNull() & (F.col("n") > total * share))
-    return [r[key] for r in hot.select(key).collect()]
-
-
-def _shuffled_zone_join(trips: DataFrame, dim: DataFrame, max_broadcast_rows: int) -> DataFrame:
-    """Left join with a dimension too large to broadcast.
-
-    Trips of hot keys would meet in one task; they are joined with just the
-    dimension rows of those few keys, which are broadcast. Trips without a key
-    match nothing and skip the shuffle. The rest is joined by shuffling.
-    """
-    key = F.col("PULocationID")
-    hot = _hot_keys(trips, "PULocationID", share=0.01)
-    joined = trips.filter(key.isNotNull() & ~key.isin(hot) if hot else key.isNotNull()).join(
-        dim, key == F.col("LocationID"), "left")
-    unkeyed = trips.filter(key.isNull()).withColumns(
-        {f.name: F.lit(None).cast(f.dataType) for f in dim.schema.fields})
-    joined = joined.unionByName(unkeyed)
-    if hot:
-        hot_dim = broadcast_if_small(dim.filter(F.col("LocationID").isin(hot)), max_broadcast_rows)
-        joined = joined.unionByName(
-            trips.filter(key.isin(hot)).join(hot_dim, key == F.col("LocationID"), "left"))
-    return joined
-
-
 def broadcast_zone_join(trips: DataFrame, zones: DataFrame | None,
                         max_broadcast_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Left join of the pickup zone on its string key.
 
     Unmatched trips keep null names, and a key that occurs more than once in the
     dimension fans out. Without a dimension the trips pass through and no column
-    is added. The dimension is broadcast when a bounded count proves it small;
-    otherwise hot keys are split off from the shuffled join.
+    is added. The dimension is broadcast when a bounded check proves it small in rows
+    and bytes. Otherwise this is one shuffled join: the trips are read once, and
+    adaptive execution splits the partitions of hot keys, with no key among them,
+    by their size, each part meeting the same few dimension rows.
     """
     if zones is None:
         return trips
-    dim = zone_names(zones)
-    if is_small(dim, max_broadcast_rows):
-        joined = trips.join(F.broadcast(dim), F.col("PULocationID") == F.col("LocationID"), "left")
-    else:
-        joined = _shuffled_zone_join(trips, dim, max_broadcast_rows)
-    return joined.drop("LocationID")
+    dim = broadcast_if_small(zone_names(zones), max_broadcast_rows)
+    return trips.join(dim, F.col("PULocationID") == F.col("LocationID"), "left").drop("LocationID")

@@ -10,14 +10,13 @@ from pyspark.sql import SparkSession
 SHUFFLE_TARGET_BYTES = 256 * 1024 ** 2
 
 
-def initial_shuffle_partitions(input_bytes: int) -> int:
+def initial_shuffle_partitions(input_bytes: int, target_bytes: int = SHUFFLE_TARGET_BYTES) -> int:
     """Partitions that keep a shuffle of the whole input near the target size each.
 
     Adaptive execution merges small partitions but never splits the initial
-    number up, so it has to suit the largest shuffle. Above a hundred thousand
-    the bookkeeping costs more than larger partitions, which spill.
+    number up, so it has to suit the largest shuffle.
     """
-    return max(200, min(100_000, -(-input_bytes // SHUFFLE_TARGET_BYTES)))
+    return max(200, -(-input_bytes // target_bytes))
 
 
 def build_session(app_name: str = "tripwell", master: str | None = None,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from tripwell.operators.bounded import is_small
+
 
 def sink_parquet_overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     writer = df.write.mode("overwrite")
@@ -15,26 +17,29 @@ def sink_parquet_overwrite(df: DataFrame, path: str, partition_by: list[str] | N
 
 
 def sink_csv_extract(df: DataFrame, path: str, order_by: list[str]) -> str:
-    """Aggregated extract as ordered CSV with a header, in a single file.
+    """Extract as ordered CSV with a header: one file if it is small, else files in order.
 
-    Meant for results that an aggregation has already made small; the order is
-    applied in the one output task, so no separate range shuffle is needed.
+    ``repartition(1)`` moves only the result; the tasks before it stay parallel.
     """
-    (df.coalesce(1).sortWithinPartitions(*order_by)
-     .write.mode("overwrite").option("header", "true").csv(path))
+    ordered = df.repartition(1).sortWithinPartitions(*order_by) if is_small(df) else df.orderBy(*order_by)
+    ordered.write.mode("overwrite").option("header", "true").csv(path)
     return path
 
 
+def _few_files(df: DataFrame) -> DataFrame:
+    return df.repartition(1) if is_small(df) else df
+
+
 def sink_json_stats(df: DataFrame, path: str) -> str:
     """Statistics record(s) as JSON lines."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    _few_files(df).write.mode("overwrite").json(path)
     return path
 
 
 def sink_metrics_append(blocks: list[DataFrame], path: str) -> str:
     """One evaluation block per model: the first replaces, the rest append."""
     for i, block in enumerate(blocks):
-        block.coalesce(1).write.mode("append" if i else "overwrite").parquet(path)
+        _few_files(block).write.mode("append" if i else "overwrite").parquet(path)
     return path
 
 
