@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripwell.functions.hashing import LANES, key_digest, lane_poisson_weight, unit_hash
-from tripwell.operators.bounded import bounded_rows, cached, in_parallel
+from tripwell.operators.bounded import bounded_rows, cached, in_parallel, spread_rows
 from tripwell.operators.sampling import sample_exact
 
 CLUSTER_FEATURES = ("trip_distance", "fare_amount", "trip_duration_min")
@@ -142,16 +142,15 @@ def first_rows_as_centers(df: DataFrame, features: Sequence[str], keys: Sequence
     return np.array([[r[f] for f in features] for r in first], dtype="float64")
 
 
-def plus_plus_centers(points: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k-means++ seeding on a small sample held by the driver."""
+def plus_plus_centers(points: np.ndarray, k: int, seed: int, weights: np.ndarray | None = None) -> np.ndarray:
+    """k-means++ seeding on a small weighted sample held by the driver."""
     draw = np.random.default_rng(seed)
-    chosen = [points[draw.integers(len(points))]]
+    weights = np.ones(len(points)) if weights is None or not weights.any() else weights.astype("float64")
+    chosen = [points[draw.choice(len(points), p=weights / weights.sum())]]
     for _ in range(k - 1):
-        gaps = np.min([((points - c) ** 2).sum(axis=1) for c in chosen], axis=0)
-        if gaps.sum() == 0:
-            chosen.append(points[draw.integers(len(points))])
-        else:
-            chosen.append(points[draw.choice(len(points), p=gaps / gaps.sum())])
+        gaps = weights * np.min([((points - c) ** 2).sum(axis=1) for c in chosen], axis=0)
+        pull = gaps if gaps.sum() > 0 else weights
+        chosen.append(points[draw.choice(len(points), p=pull / pull.sum())])
     return np.array(chosen)
 
 
@@ -287,23 +286,26 @@ def replicate_weights(df: DataFrame, keys: Sequence[str], bootstraps: int, seed:
 
 def cluster_stability(df: DataFrame, features: Sequence[str], keys: Sequence[str], k: int = 4,
                       bootstraps: int = 10, restarts: int = 5, seed: int = 42,
-                      max_iter: int = 300, tol: float = 1e-2, seed_rows: int = 1000) -> DataFrame:
+                      max_iter: int = 300, tol: float = 1e-4, seed_rows: int = 1000) -> DataFrame:
     """Refit on bootstraps and measure how far the centers move.
 
     ``df`` holds standardised features. Replicate 0 is the unweighted baseline,
-    the others weight each row by its Poisson count. All replicates and restarts
-    advance in the same jobs; the best restart of a replicate counts. Starting
-    centers are spread over a small sample. Returns (replicate, cost,
-    shift_sorted, shift_nearest).
+    the others weight each row by its Poisson count. Rows with equal features are
+    one point with their summed weights. All replicates and restarts advance in the
+    same jobs over all points; the best restart of a replicate counts. Starting
+    centers are drawn from a small sample by the replicate's weights. Returns
+    (replicate, cost, shift_sorted, shift_nearest).
     """
     spark = df.sparkSession
     narrow = df.select(*features, *keys)
-    seeds = np.array([list(r) for r in sample_exact(narrow, keys, seed_rows, seed)
-                      .select(*features).collect()], dtype="float64")
-    runs = [LloydRun(rep, plus_plus_centers(seeds, k, seed + rep * restarts + i))
-            for rep in range(bootstraps + 1) for i in range(restarts)]
     weights = [f"_w{i}" for i in range(bootstraps + 1)]
-    points = cached(replicate_weights(narrow, keys, bootstraps, seed).select(*features, *weights))
+    drawn = replicate_weights(sample_exact(narrow, keys, seed_rows, seed), keys, bootstraps, seed)
+    seeds = np.array([list(r) for r in drawn.select(*features, *weights).collect()], dtype="float64")
+    at, seed_weights = seeds[:, :len(features)], seeds[:, len(features):]
+    runs = [LloydRun(rep, plus_plus_centers(at, k, seed + rep * restarts + i, seed_weights[:, rep]))
+            for rep in range(bootstraps + 1) for i in range(restarts)]
+    points = cached(spread_rows(replicate_weights(narrow, keys, bootstraps, seed).groupBy(*features).agg(
+        *[F.sum(w).cast("double").alias(w) for w in weights])))
     try:
         lloyd_many(points, features, weights, runs, max_iter, tol)
     finally:
