@@ -56,7 +56,7 @@ def test_licenses_by_sentence_and_in_order(spark, odd, empty):
         1: (MIT, ["MIT"]),
         2: ("\n\n".join(reversed(pieces)), []),
         3: ("text without a stop\nLicensed under the Apache License, Version 2.0.", ["Apache-2.0"]),
-        4: ("x.\nReleased under the MIT License. And licensed under CC BY-NC 4.0", ["MIT", "CC-BY-NC-4.0"]),
+        4: ("x.\nReleased under the MIT License. Licensed under CC BY-NC 4.0", ["MIT", "CC-BY-NC-4.0"]),
         5: ("unlicensed under the apache license version 2 0", []),
     }
     df = spark.createDataFrame([(i, t) for i, (t, _) in cases.items()], "doc_id long, text string")
