@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from tripwell.sources.storage import store
 
 ORDER = 4
-PAGE_CHARS = 8_000_000
+PAGE_CHARS = 4_000_000
 SHARD_GRAMS = 250_000
 FILTER_BITS = 1 << 23
 BROADCAST_LANGUAGES = 10_000
@@ -77,9 +77,10 @@ class Grams:
         self.keys, self.context, self.suffix, self.wanted = [np.zeros(1, np.uint64)], [empty], [empty], [np.ones(1, bool)]
         at, place = np.zeros(len(units), np.int32), None
         for level in range(1, ORDER + 1):
-            pair = np.empty(len(units), np.int64)
+            # narrow while they fit, which they do unless a page holds very many different grams
+            pair = np.empty(len(units), np.int32 if len(self.keys[-1]) * size < 1 << 31 else np.int64)
             pair[0] = letter[0]
-            np.multiply(at[:-1], size, out=pair[1:], dtype=np.int64)
+            np.multiply(at[:-1], size, out=pair[1:], dtype=pair.dtype)
             pair[1:] += letter[1:]
             flag = np.zeros(len(self.keys[-1]) * size, bool)
             flag[pair] = True
@@ -135,10 +136,10 @@ class Grams:
         for level in range(1, ORDER + 1):
             p = tables[level][0] + tables[level - 1][1][self.context[level]] * p[self.suffix[level]]
         with np.errstate(divide="ignore"):
-            logs = np.log(p)[self.at]
+            logs = np.log(p).astype(np.float32)[self.at]
         logs[~self.scored] = 0
         starts = np.cumsum(self.sizes) - self.sizes
-        return np.exp(-np.add.reduceat(logs, starts) / (self.sizes - ORDER + 1)) if len(starts) else np.zeros(0)
+        return np.exp(-np.add.reduceat(logs, starts, dtype=np.float64) / (self.sizes - ORDER + 1)) if len(starts) else np.zeros(0)
 
 
 def shard_of(levels: np.ndarray, keys: np.ndarray, shards: int) -> np.ndarray:
