@@ -1,7 +1,7 @@
 """SimHash near-duplicates by exact comparison of tiles of fingerprints.
 
 Copies collapse first: only different fingerprints are compared. A fingerprint's
-tile is the pair of population counts of its two halves. Every flipped bit moves
+tile is the pair of population counts of its two halves, in bins for a wide radius. Every flipped bit moves
 one of the two counts by one, so tiles whose counts differ by more than the radius
 in sum cannot hold a link and are never brought together. Tiles beyond a block size
 are split by a hash, and every pair of blocks that may hold a link is one unit of
@@ -30,6 +30,7 @@ from tripwell.sources.storage import store
 
 BLOCK = 8192
 STRIP = 1 << 20
+BATCH_BYTES = 4 << 20
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _LANES = (np.arange(8) * 256)[None, :]
 _MIXERS = (np.arange(4, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(0xD6E8FEB86659FD93)
@@ -131,14 +132,27 @@ def _tile_blocks(counts: dict[tuple[int, int], int], block: int) -> dict[tuple[i
     return {tile: -(-n // block) for tile, n in counts.items()}
 
 
+def _bin(radius: int) -> int:
+    """Population counts that share a tile: wider for a wide radius, where narrow tiles would all meet each other."""
+    return max(1, radius // 2 - 1)
+
+
+def _others(tile: tuple[int, int], blocks: dict[tuple[int, int], int], radius: int):
+    """Tiles whose population counts differ by at most the radius in sum from some of this one's."""
+    width = _bin(radius)
+    reach = radius // width + 1
+    apart = lambda d: (abs(d) - 1) * width + 1 if d else 0
+    for da in range(-reach, reach + 1):
+        for db in range(-reach, reach + 1):
+            if apart(da) + apart(db) <= radius and (tile[0] + da, tile[1] + db) in blocks:
+                yield tile[0] + da, tile[1] + db
+
+
 def _partners(tile: tuple[int, int], salt: int, blocks: dict[tuple[int, int], int], radius: int):
-    """Blocks at or after this one that may hold links with it."""
-    for da in range(-radius, radius + 1):
-        for db in range(abs(da) - radius, radius - abs(da) + 1):
-            other = (tile[0] + da, tile[1] + db)
-            if other >= tile:
-                for k in range(salt if other == tile else 0, blocks.get(other, 0)):
-                    yield other, k
+    """Pairs of blocks, this one and any other that may hold links with it, the earlier first."""
+    for other in _others(tile, blocks, radius):
+        for k in range(blocks[other]):
+            yield min((tile, salt), (other, k)), max((tile, salt), (other, k))
 
 
 def _block_id(tile: tuple[int, int], salt: int) -> int:
@@ -151,8 +165,9 @@ def link_forest(prints: DataFrame, radius: int = 4, most: int | None = None, blo
     ``prints`` has one row (fp, sketch) per different ``fp``. The driver sees the sizes of the
     tiles, at most 33 x 33 numbers.
     """
-    tile = [F.bit_count(F.shiftrightunsigned("fp", 32)).alias("ta"),
-            F.bit_count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))).alias("tb")]
+    width = F.lit(_bin(radius))
+    tile = [F.floor(F.bit_count(half) / width).cast("int").alias(name) for name, half in (
+        ("ta", F.shiftrightunsigned("fp", 32)), ("tb", F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))))]
     tiled = prints.select("fp", "sketch", *tile)
     sizes = {(r.ta, r.tb): r["count"] for r in tiled.groupBy("ta", "tb").count().collect()}
     blocks = _tile_blocks(sizes, block)
@@ -166,10 +181,10 @@ def link_forest(prints: DataFrame, radius: int = 4, most: int | None = None, blo
         def rows(key, parts):
             payload, width = np.concatenate(parts).tobytes(), parts[0].shape[1]
             mine = _block_id(key[:2], key[2])
-            pairs = [(mine, _block_id(*p)) for p in _partners(key[:2], key[2], blocks, radius)]
-            pairs += [(_block_id(t, k), mine) for t, k in _earlier(key[:2], key[2], blocks, radius)]
-            for at in range(0, len(pairs), 256):
-                some = pairs[at:at + 256]
+            pairs = [(_block_id(*low), _block_id(*high)) for low, high in _partners(key[:2], key[2], blocks, radius)]
+            step = max(1, BATCH_BYTES // len(payload))
+            for at in range(0, len(pairs), step):
+                some = pairs[at:at + step]
                 yield pa.RecordBatch.from_pydict({
                     "low": pa.array([p[0] for p in some], pa.int64()),
                     "high": pa.array([p[1] for p in some], pa.int64()),
@@ -218,16 +233,6 @@ def link_forest(prints: DataFrame, radius: int = 4, most: int | None = None, blo
             .mapInArrow(compare, "a long, b long"))
 
 
-def _earlier(tile: tuple[int, int], salt: int, blocks: dict[tuple[int, int], int], radius: int):
-    """Blocks before this one that may hold links with it."""
-    for da in range(-radius, radius + 1):
-        for db in range(abs(da) - radius, radius - abs(da) + 1):
-            other = (tile[0] + da, tile[1] + db)
-            if other <= tile:
-                for k in range(salt if other == tile else blocks.get(other, 0)):
-                    yield other, k
-
-
 def _classes(prints: DataFrame, radius: int, most: int | None) -> DataFrame:
     """(fp, root, component_id) per different fingerprint of ``prints`` (doc_id, fp, sketch)."""
     distinct = store(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.min("sketch").alias("sketch")), "distinct")
@@ -261,14 +266,15 @@ def deduplicate(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
     keeps one row.
     """
     prints = store(fingerprints(docs, text, id_column, shingle, most is not None), "fingerprints")
-    classes = _classes(prints, radius, most).withColumnsRenamed({"fp": "_fp", "root": "_root", "component_id": "_first"})
     names = docs.columns
+    fp, root, first_id = ("_" * max(map(len, names)) + n for n in ("fp", "root", "first"))  # longer than any name there is
+    classes = _classes(prints, radius, most).withColumnsRenamed({"fp": fp, "root": root, "component_id": first_id})
 
     def with_print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [majority(shingle_hashes(t, shingle)) for t in batch.column(text).to_pylist()]
-            yield batch.append_column("_fp", pa.array(np.array(found, np.uint64).view(np.int64)))
+            yield batch.append_column(fp, pa.array(np.array(found, np.uint64).view(np.int64)))
 
-    marked = docs.mapInArrow(with_print, StructType([*docs.schema.fields, StructField("_fp", LongType())]))
-    first = marked.join(classes, "_fp").where(F.col(id_column).cast("long").eqNullSafe(F.col("_first")))
-    return first.dropDuplicates(["_root"]).select(*names)
+    marked = docs.mapInArrow(with_print, StructType([*docs.schema.fields, StructField(fp, LongType())]))
+    first = marked.join(classes, fp).where(F.col(id_column).cast("long").eqNullSafe(F.col(first_id)))
+    return first.dropDuplicates([root]).select(*names)
