@@ -169,7 +169,8 @@ def _expanded(rows: DataFrame, settings: tuple, vectors: bool) -> DataFrame:
                 for dim in np.unique(dims).tolist():
                     some = batch.filter(pa.array(dims == dim))
                     raw = some.column("vector").flatten().to_numpy().reshape(-1, dim)
-                    found = cells(raw / np.linalg.norm(raw, axis=1)[:, None], *settings)
+                    exact = raw.astype(np.float64)
+                    found = cells(exact / np.linalg.norm(exact, axis=1)[:, None], *settings)
                     n, tables, each = found.shape
                     rep = lambda x: np.repeat(x, tables * each)
                     made = {"cell": found.ravel(), "role": np.tile((np.arange(each) > 0).astype(np.int32), n * tables)}
@@ -209,7 +210,7 @@ def _split_hot(rows: DataFrame, keys: DataFrame, block: int) -> DataFrame:
     return marked.withColumn("h", F.explode("hs")).withColumn("p", F.explode("ps")).drop("hs", "ps", "kh", "kp")
 
 
-def _verified(rows: DataFrame, threshold: float, settings: tuple) -> DataFrame:
+def _verified(rows: DataFrame, threshold: float, settings: tuple, kind: str) -> DataFrame:
     """Per block: (id, n, null) with link weights, and (id, 0, root) with forest edges."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(parts):
@@ -220,7 +221,7 @@ def _verified(rows: DataFrame, threshold: float, settings: tuple) -> DataFrame:
             sides = {}
             for r in (0, 1):
                 some = whole.slice(0, n) if r == 0 else whole.slice(n)
-                raw = np.frombuffer(b"".join(some["vector"].to_pylist()), np.float64).reshape(some.num_rows, -1)
+                raw = np.frombuffer(b"".join(some["vector"].to_pylist()), kind).reshape(some.num_rows, -1).astype(np.float64)
                 norm = np.linalg.norm(raw, axis=1)
                 sides[r] = {"id": some["id"].to_numpy(), "weight": some["weight"].to_numpy(), "raw": raw,
                             "norm": norm, "vector": raw / norm[:, None], "table": whole["table"][0].as_py()}
@@ -267,14 +268,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_column: str =
     Rows are vectors of their own, also when they repeat an id.
     """
     settings = (tables, probes, scale)
-    picked = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
+    single = vectors.schema[vector].dataType.simpleString() == "array<float>"  # travels in its own width
+    picked = vectors.select(F.col(id_column).cast("long").alias("vec_id"),
+                            F.col(vector).cast("array<float>" if single else "array<double>").alias("vector"))
     good = F.col("vec_id").isNotNull() & usable(F.col("vector"))
     rows = picked.select("vec_id", "vector", *[F.when(good, F.xxhash64(F.lit(k), "vector")).alias(f"k{k}") for k in (1, 2)])
     reps = store(rows.where("k1 is not null").groupBy("k1", "k2").agg(
         F.min("vec_id").alias("id"), F.count("*").alias("weight"), F.min("vector").alias("vector")), "representatives")
     expanded = _expanded(reps.select("id", "weight", "vector"), settings, True)
     keys = _expanded(reps.select("id", "weight", "vector"), settings, False)
-    found = store(_verified(_split_hot(expanded, keys, block), threshold, settings), "links")
+    found = store(_verified(_split_hot(expanded, keys, block), threshold, settings, "<f4" if single else "<f8"), "links")
     counts = found.groupBy("id").agg(F.sum("n").alias("others"))
     roots = connected_components(found.where("root is not null"), "id", "root").withColumnRenamed("node", "id")
     named = reps.select("k1", "k2", "id", "weight").join(counts, "id", "left").join(roots, "id", "left").select(
