@@ -30,8 +30,8 @@ from tripwell.sources.storage import store
 LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS, BUCKETS = 3, 16, 4096
-CACHED_WORDS = 500_000
-BATCH_CHARS = 2_000_000
+CACHED_WORDS = 300_000
+BATCH_CHARS = 1_000_000
 
 # A run of Latin letters or of marks with a certain end, or else the rest of the word.
 _PIECE = re.compile("[a-zß-öø-ÿ]++(?![^\\x00-\\x7f])|[!-&(-/:-@\\[-`{-~]++(?![^\\x00-\\x7f]|['\\x00-\\x08\\x0e-\\x1f\\x7f])"
