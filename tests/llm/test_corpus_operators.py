@@ -119,6 +119,39 @@ def test_near_copies_of_a_text_go_and_others_stay(spark):
     assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
 
 
+def planted_pair(rng, tag, similarity):
+    """Two texts whose sets of five-word shingles have just that similarity: one is the start of the other."""
+    words = [f"{tag}x{rng.randrange(10**9)}" for _ in range(404)]
+    return " ".join(words), " ".join(words[:round(400 * similarity) + 4])
+
+
+def test_similarity_decides_at_the_threshold(spark):
+    rng = random.Random(8)
+    texts = [planted_pair(rng, f"{s}n{k}", s) for s in (0.7, 0.75, 0.79, 0.8, 0.85) for k in range(120)]
+    rows = [(2 * i + side, t) for i, pair in enumerate(texts) for side, t in enumerate(pair)]
+    kept = {r.doc_id for r in simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(range(0, 1200, 2)) | set(range(1, 720, 2))
+
+
+def test_parts_of_a_component_lose_no_link(spark):
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(240)]
+    rows = [(i, " ".join(words[i * 3:i * 3 + 104])) for i in range(40)]  # each overlaps the next in 97 of 103 shingles
+    rows += [(100 + i, " ".join(words[:20 + i] + [f"v{i}"] * 5)) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    distinct = simhash.set_prints(docs, "text", "doc_id", 5).withColumnRenamed("doc_id", "first_id").cache()
+    candidates = distinct.selectExpr("node", "0L as root")
+    sets = {r.node: simhash.shingle_set(dict(rows)[r.first_id], 5)[0] for r in distinct.collect()}
+    nodes = sorted(sets)
+    alike = lambda a, b: (n := len(np.intersect1d(sets[a], sets[b]))) >= 0.8 * (len(sets[a]) + len(sets[b]) - n)
+    label = plain_components(nodes, alike)
+    for block in (300, 1 << 20):
+        edges = rows_of(simhash.verified_links(docs, distinct, candidates, "text", "doc_id", 5, 0.8, 64, 256, block))
+        assert all(alike(a, b) for a, b in edges)
+        got = plain_components(nodes, lambda a, b, e=set(edges): (a, b) in e or (b, a) in e)
+        assert [got.index(x) for x in got] == [label.index(x) for x in label]
+
+
 # ---------------------------------------------------------------- quality
 
 def plain_model(texts, order):
