@@ -65,6 +65,65 @@ def test_licenses_by_sentence_and_in_order(spark, odd, empty):
     assert rows_of(license_scan.scan_licenses(empty)) == []
 
 
+GPL = """    This program is free software{} you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation{} either version {} of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at http://mozilla.org/MPL/2.0/. */
+"""
+APACHE = """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_NAME = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+
+
+def test_licenses_in_their_real_wording(spark):
+    tags = {"Apache-2.0": "Apache-2.0", "MIT": "MIT", "GPL-3.0-only": "GPL-3.0", "GPL-3.0-or-later": "GPL-3.0",
+            "GPL-2.0-only": "GPL-2.0", "BSD-2-Clause": "BSD-2-Clause", "BSD-3-Clause": "BSD-3-Clause"}
+    cases = [(f"{before}SPDX-License-Identifier: {tag}{after}", [name]) for tag, name in tags.items()
+             for before, after in (("", ""), ("#!/bin/sh\n# ", "\nset -e\n"), ("/* ", " */\nint x;"))]
+    cases += [(GPL.format(":", ",", 3), ["GPL-3.0"]), (GPL.format(";", ";", 2), ["GPL-2.0"]), (MPL, ["MPL-2.0"]),
+              (GPL.format(";", ";", 3), ["GPL-3.0"]), (GPL.format(":", ",", 2), ["GPL-2.0"]),
+              (APACHE, ["Apache-2.0"]), (BSD, ["BSD-2-Clause"]), (BSD + BSD_NAME, ["BSD-2-Clause", "BSD-3-Clause"]),
+              (ISC, ["ISC"]), (MIT, ["MIT"]), ("The MIT License (MIT)\n", ["MIT"]),
+              ("This is free and unencumbered software released into the public domain.\n", ["Unlicense"]),
+              ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0"]), ("Licensed under CC BY 4.0.", ["CC-BY-4.0"]),
+              ("Licensed under CC0 1.0.", ["CC0-1.0"]),
+              *[(f"This work is licensed under a Creative Commons Attribution{k} 4.0 International License.", [name])
+                for k, name in (("", "CC-BY-4.0"), ("-NonCommercial", "CC-BY-NC-4.0"), ("-ShareAlike", "CC-BY-SA-4.0"))],
+              ("SPDX-License-Identifier: other. MIT", []), ("MIT. SPDX-License-Identifier:", []), ("? <0><1> |16|", []),
+              ("This program is free software. Nothing else. You can go.", [])]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in license_scan.scan_licenses(df).collect()}
+    assert [got[i] for i in range(len(cases))] == [x for _, x in cases]
+
+
 def test_license_plan_runs_no_python(spark, small):
     plan = queries.op10_license_scan(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan

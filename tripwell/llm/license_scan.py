@@ -8,6 +8,10 @@ sentences. The identifiers found, in text order, form a sequence, and a licence
 is reported when all sentences of one of its rules occur in that order in one of
 the two sequences; other sentences may stand between them.
 
+Some known sentences hold a mark that cuts: a colon, a semicolon, or the point of an
+abbreviation. Their real wordings go through the same cutter, and the pieces it
+makes, next to each other, count as the sentence.
+
 Null and empty texts have no sentence and no licence. Repeated sentences stay in
 the sequence as often as they occur. The work is one pass over the rows without
 a shuffle, so neither hot keys nor copies matter.
@@ -15,6 +19,8 @@ a shuffle, so neither hot keys nor copies matter.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +82,26 @@ SENTENCES: dict[int, str] = {
     53: "this is free and unencumbered software released into the public domain",
 }
 
+_GRANT = ("This program is free software{} you can redistribute it and/or modify it under the terms of the GNU General "
+          "Public License as published by the Free Software Foundation{} either version {} of the License, or (at your "
+          "option) any later version.")
+
+# Real wordings of the known sentences that hold a mark inside, by identifier.
+WORDINGS: dict[int, list[str]] = {
+    6: ["SPDX-License-Identifier: Apache-2.0"],
+    16: ["SPDX-License-Identifier: MIT"],
+    21: [_GRANT.format(a, b, 3) for a in ",;" for b in ",;"],
+    22: [_GRANT.format(a, b, 2) for a in ",;" for b in ",;"],
+    23: ["This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+         "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."],
+    25: ["SPDX-License-Identifier: GPL-3.0-only"],
+    26: ["SPDX-License-Identifier: GPL-3.0-or-later"],
+    27: ["SPDX-License-Identifier: GPL-2.0-only"],
+    44: ["SPDX-License-Identifier: BSD-2-Clause"],
+    45: ["SPDX-License-Identifier: BSD-3-Clause"],
+    51: ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+}
+
 # Licence and the sentence identifiers that show it, in order.
 RULES: list[tuple[str, list[int]]] = [
     ("Apache-2.0", [1]),
@@ -122,12 +148,27 @@ def _sentences(text: Column, by_line: bool) -> Column:
     return F.split(F.regexp_replace(marked, r"[^a-z0-9\n]+", " "), "\n")
 
 
-def sentence_ids(text: Column, by_line: bool, known: dict[int, str] = SENTENCES) -> Column:
+def pieces(wording: str) -> list[str]:
+    """What the cutter makes of a wording without line ends, normalised, empty pieces left out."""
+    marked = re.sub(_SENTENCE_END, "\n", wording.translate(str.maketrans(_UPPER, _LOWER)))
+    return [p for x in re.sub(r"[^a-z0-9\n]+", " ", marked).split("\n") if (p := x.strip())]
+
+
+def sentence_ids(text: Column, by_line: bool, known: dict[int, str] = SENTENCES,
+                 wordings: dict[int, list[str]] = WORDINGS) -> Column:
     """Identifiers of the known sentences of a text, in text order, as ``|1||10|``."""
-    ids = {sentence: str(i) for i, sentence in known.items()}
-    lookup = F.create_map(*[F.lit(x) for pair in ids.items() for x in pair])
-    hits = F.filter(F.transform(_sentences(text, by_line), lambda s: F.trim(s)), lambda s: s.isin(*ids))
-    return F.array_join(F.transform(hits, lambda s: F.concat(F.lit("|"), lookup[s], F.lit("|"))), "")
+    codes = {sentence: f"|{i}|" for i, sentence in known.items()}
+    cut = sorted({(tuple(p), i) for i, forms in wordings.items() if i in known for p in map(pieces, forms) if len(p) > 1},
+                 key=lambda x: (-len(x[0]), x))
+    for k, piece in enumerate(dict.fromkeys(p for parts, _ in cut for p in parts)):
+        codes.setdefault(piece, f"<{k}>")
+    lookup = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
+    found = F.transform(F.transform(_sentences(text, by_line), lambda s: F.trim(s)),
+                        lambda s: F.when(s.isin(*codes), lookup[s]).otherwise(F.lit("?")))
+    ids = F.array_join(found, "")
+    for parts, i in cut:
+        ids = F.replace(ids, F.lit("".join(codes[p] for p in parts)), F.lit(f"|{i}|"))
+    return F.regexp_replace(ids, r"<[0-9]+>|\?", "")
 
 
 def _pattern(sequence: list[int]) -> str:
@@ -135,14 +176,14 @@ def _pattern(sequence: list[int]) -> str:
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", rules: list[tuple[str, list[int]]] = RULES,
-                  known: dict[int, str] = SENTENCES) -> DataFrame:
+                  known: dict[int, str] = SENTENCES, wordings: dict[int, list[str]] = WORDINGS) -> DataFrame:
     """Adds ``line_ids``, ``wrapped_ids`` (identifier sequences) and ``licenses`` (array, in rule order).
 
     Columns of those names in the input are replaced.
     """
     source = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    found = docs.withColumns({"line_ids": sentence_ids(source, True, known),
-                              "wrapped_ids": sentence_ids(source, False, known)})
+    found = docs.withColumns({"line_ids": sentence_ids(source, True, known, wordings),
+                              "wrapped_ids": sentence_ids(source, False, known, wordings)})
     hits = []
     for name in dict.fromkeys(n for n, _ in rules):
         either = F.lit(False)
