@@ -166,6 +166,14 @@ def test_further_kinds_and_redaction():
     assert pii.redact(None) is None
 
 
+def test_long_secrets_go_whole():
+    for n in (511, 512, 513, 800, 20_000):
+        value = ("Ab3-_" * n)[:n]
+        text = f"token={value}, more"
+        assert pii.find_spans(text) == [("secret", 6, 6 + n)]
+        assert pii.redact(text) == "token=<SECRET>, more"
+
+
 def test_scan_rows(spark, odd, empty):
     got = pii.scan_personal_data(odd)
     assert got.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]

@@ -48,7 +48,9 @@ _NUMBER_CHARS = frozenset(_DIGITS + " -")
 _DOTTED_CHARS = frozenset(_DIGITS + ".")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
 _ACCOUNT = re.compile(r"(?: (?:no|number|nr)\.?)?[ :#.=]{1,3}([A-Z]{0,2}[0-9](?:[ -]?[0-9]){5,33})(?![A-Za-z0-9])", re.I)
-_SECRET = re.compile(r"[\w-]{0,24}[ \t]{0,2}[:=][ \t]{0,2}[\"']?([A-Za-z0-9_+/=.~-]{12,512})")
+_SECRET = re.compile(r"[\w-]{0,24}[ \t]{0,2}[:=][ \t]{0,2}[\"']?")
+_VALUE = re.compile(r"[A-Za-z0-9_+/=.~-]*")
+_VALUE_SIGNS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ_+/=.~-"
 _MASKED = re.compile(r"[ ]?[A-Za-z0-9-]+(?: ?[\[(](?:dot)[\])] ?[A-Za-z0-9-]+)+", re.I)
 _URL = re.compile(r"[^\s<>\"']+")
 _SCHEME = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+.-")
@@ -113,7 +115,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     if not text:
         return []
-    email_end = dotted_end = number_end = 0
+    email_end = dotted_end = number_end = value_end = value_start = digits_end = 0
     for last, (kind, width) in anchors().iter(text):
         end = last + 1
         start = end - width
@@ -148,8 +150,13 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
                 if _iban(m.group()):
                     found["account"].append(m.span())
         elif kind == "secret":
-            if (m := _SECRET.match(text, end)) and any(c in _DIGITS for c in m.group(1)):
-                found["secret"].append(m.span(1))
+            if m := _SECRET.match(text, end):
+                a = m.end()
+                if not value_start <= a < value_end:
+                    value_start, value_end = _VALUE.match(text, a).span()
+                    digits_end = a + len(text[a:value_end].rstrip(_VALUE_SIGNS))
+                if value_end - a >= 12 and a < digits_end:
+                    found["secret"].append((a, value_end))
         elif kind == "masked":
             m = _MASKED.match(text, end)
             b = start - (start > 0 and text[start - 1] == " ")
