@@ -119,6 +119,13 @@ def test_near_copies_of_a_text_go_and_others_stay(spark):
     assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
 
 
+def test_every_bit_of_the_sketch_varies():
+    rng = np.random.default_rng(10)
+    seen = np.array([np.frombuffer(simhash.sketch(rng.integers(0, 1 << 63, 9, dtype=np.uint64)), np.uint8) for _ in range(200)])
+    share = np.unpackbits(seen, axis=1).mean(axis=0)
+    assert 0.25 < share.min() and share.max() < 0.75
+
+
 def planted_pair(rng, tag, similarity):
     """Two texts whose sets of five-word shingles have just that similarity: one is the start of the other."""
     words = [f"{tag}x{rng.randrange(10**9)}" for _ in range(404)]

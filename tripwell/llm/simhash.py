@@ -41,7 +41,7 @@ STRIP = 1 << 20
 BATCH_BYTES = 4 << 20
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _LANES = (np.arange(8) * 256)[None, :]
-_MIXERS = (np.arange(4, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(0xD6E8FEB86659FD93)
+_MIXERS = (np.arange(4, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(0xD6E8FEB86659FD93) | np.uint64(1)
 _WEIGHTS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
