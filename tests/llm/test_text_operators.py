@@ -166,6 +166,17 @@ def test_further_kinds_and_redaction():
     assert pii.redact(None) is None
 
 
+def test_ibans_anywhere_and_upper_case_masks():
+    for iban in ("DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"):
+        for before, after in (("pay to ", " now"), ("IBAN is ", ", thanks"), ("iban: ", ""), ("", " AND MORE 12"), ("(", ")")):
+            text = before + iban + after
+            assert ("account", len(before), len(before) + len(iban)) in pii.find_spans(text), text
+    for text in ("pay to DE88 3704 0044 0532 0130 00 now", "XDE89370400440532013000"):
+        assert "account" not in [s[0] for s in pii.find_spans(text)]
+    for mask in ("joe [AT] foo [DOT] com", "joe (AT) foo (dot) com", "joe (At) foo (Dot) com"):
+        assert pii.redact(f"write {mask} soon") == "write <MASKED_EMAIL> soon"
+
+
 def test_long_secrets_go_whole():
     for n in (511, 512, 513, 800, 20_000):
         value = ("Ab3-_" * n)[:n]

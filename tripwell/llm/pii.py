@@ -1,7 +1,7 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick automaton finds anchors in a text: at-signs, scheme marks, a plus
-before a digit, neighbouring digits, a point before a digit, and identifier cues.
+before a digit, neighbouring digits (also of an IBAN), a point before a digit, and identifier cues.
 From each anchor a local parser expands to the boundaries of the candidate and
 validates it. The parsers only look at the characters that can belong to the
 candidate, so the cost follows the text length and the number of anchors.
@@ -47,6 +47,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NUMBER_CHARS = frozenset(_DIGITS + " -")
 _DOTTED_CHARS = frozenset(_DIGITS + ".")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+_CAPITALS = re.compile(r"[A-Z]{2}")
 _ACCOUNT = re.compile(r"(?: (?:no|number|nr)\.?)?[ :#.=]{1,3}([A-Z]{0,2}[0-9](?:[ -]?[0-9]){5,33})(?![A-Za-z0-9])", re.I)
 _SECRET = re.compile(r"[\w-]{0,24}[ \t]{0,2}[:=][ \t]{0,2}[\"']?")
 _VALUE = re.compile(r"[A-Za-z0-9_+/=.~-]*")
@@ -65,7 +66,9 @@ def anchors():
         import ahocorasick
 
         machine = ahocorasick.Automaton()
-        entries = {"@": "email", "://": "url", "mailto:": "url", "[at]": "masked", "(at)": "masked"}
+        entries = {"@": "email", "://": "url", "mailto:": "url"}
+        for form in ("at", "At", "AT"):
+            entries |= {f"[{form}]": "masked", f"({form})": "masked"}
         for d in _DIGITS:
             entries["+" + d] = "phone"
             entries["." + d] = "dotted"
@@ -106,6 +109,15 @@ def _iban(candidate: str) -> bool:
     return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def _iban_end(text: str, at: int) -> int:
+    """Where an IBAN that starts here ends, at the end of a word; 0 if there is none."""
+    m = _IBAN.match(text, at)
+    for end in range(m.end(), at + 14, -1) if m else ():
+        if not text[end:end + 1].isalnum() and text[end - 1] != " " and _iban(text[at:end]):
+            return end
+    return 0
+
+
 def _digits(s: str) -> str:
     return "".join(c for c in s if c in _DIGITS)
 
@@ -120,6 +132,9 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
         end = last + 1
         start = end - width
         if kind == "number":
+            if width == 2 and start > 1 and _CAPITALS.match(text, start - 2) and not text[max(0, start - 3):start - 2].isalnum():
+                if stop := _iban_end(text, start - 2):
+                    found["account"].append((start - 2, stop))
             if start < number_end:
                 continue
             a, number_end = _run(text, start, end, _NUMBER_CHARS)
@@ -146,9 +161,10 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
         elif kind == "account":
             if (m := _ACCOUNT.match(text, end)):
                 found["account"].append(m.span(1))
-            elif (m := _IBAN.match(text, end + (text[end:end + 1] in (":", " ")) + (text[end:end + 2] == ": "))):
-                if _iban(m.group()):
-                    found["account"].append(m.span())
+            else:
+                a = end + (text[end:end + 1] in (":", " ")) + (text[end:end + 2] == ": ")
+                if stop := _iban_end(text, a):
+                    found["account"].append((a, stop))
         elif kind == "secret":
             if m := _SECRET.match(text, end):
                 a = m.end()
