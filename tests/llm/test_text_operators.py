@@ -341,6 +341,17 @@ def test_removal_equals_plain_windows(spark, span, gram, shard):
     assert sorted(rows_of(got)) == plain_removal(rows, span)
 
 
+def test_blocks_of_one_segment_each_are_compared(spark):
+    rng = random.Random(11)
+    rows = []
+    for k in range(30):  # two segments an anchor, alike but for their tails
+        shared = [f"s{k}x{i}" for i in range(12)]
+        rows += [(2 * k, " ".join(shared + [f"a{k}x{rng.random()}"])), (2 * k + 1, " ".join(shared + [f"b{k}x{rng.random()}"]))]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), span=6, gram=3,
+                                    shard_segments=1, with_text=False)
+    assert sorted(rows_of(got)) == plain_removal(rows, 6)
+
+
 def test_removal_on_sample_and_odd_rows(spark, small, odd, empty):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(rows_of(queries.op7_substrings(spark, small))) == plain_removal(docs, 50)

@@ -258,7 +258,7 @@ def _matched(distinct: DataFrame, span: int, shard_segments: int) -> DataFrame:
         def found(group):
             references = [x for x in group if x[0] != 1]
             queries = [x for x in group if x[0] != 0]
-            if len(references) == 1 and len(queries) == 1:  # one segment: the automaton would only find itself
+            if len(references) == 1 and len(queries) == 1 and references[0][1:3] == queries[0][1:3]:  # one segment: the automaton would only find itself
                 for _, h1, h2, least, most, windows, _ in queries:
                     if least < most:
                         yield h1, h2, [{"offset": 0, "n": windows, "first": least}]
