@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwell.llm import language, lattice, license_scan, mixing, neighbours, packing, pii, quality, simhash, substrings
+from tripwell.llm import (
+    hard_negatives, language, lattice, lexical, license_scan, mixing, neighbours, packing, pieces, pii, quality, simhash,
+    substrings,
+)
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -90,9 +93,30 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "line_ids", "wrapped_ids", F.array_join("licenses", ",").alias("licenses"))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's piece ids and of the text they decode to; ``covered`` is the last byte under a piece."""
+    found = pieces.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    names = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(names, 256).alias("ids_sha256"),
+                        F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
+                        F.element_at("ends", -1).cast("long").alias("covered"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of the five positives of every anchor."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents of highest score for every item of the benchmark."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_license_scan": license_scan.oracle()}
+    return {"op10_license_scan": license_scan.oracle(), "op12_hard_negatives": hard_negatives.oracle(),
+            "op13_lexical": lexical.oracle()}
