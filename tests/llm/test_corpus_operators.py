@@ -395,3 +395,45 @@ def test_licence_and_other_sql(spark, small):
         df = queries.queries()[name](spark, small)
         cursor = connect(small).execute(sql)
         assert compare(rows_of(df), df.columns, cursor.fetchall(), [d[0] for d in cursor.description]) is None, name
+
+
+@pytest.mark.parametrize("letters,n", [(5, 3000), (3000, 60_000)])
+def test_grams_of_small_and_large_alphabets(letters, n):
+    """Tables and sorting number the same grams; sorting needs memory by units only."""
+    import tracemalloc
+
+    rng = np.random.default_rng(letters)
+    texts = ["".join(chr(0x4E00 + int(x)) for x in rng.integers(0, letters, n)), None, "一"]
+    tracemalloc.start()
+    grams = quality.Grams(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 * n + 8_000_000
+    want = Counter()
+    for t in texts:
+        padded = quality._PAD * 3 + (t or "") + quality._PAD
+        want.update(padded[i - 3:i + 1] for i in range(3, len(padded)))
+    keys, counts = grams.counts()
+    assert {bytes(np.array([k], np.uint64).view(np.uint16)[::-1]).decode("utf-16-le"): c
+            for k, c in zip(keys.tolist(), counts.tolist())} == dict(want)
+    for level in range(2, 5):
+        some = grams.wanted[level]  # those that only cross from one document into the next have no suffix
+        keys, suffix, context = grams.keys[level][some], grams.suffix[level][some], grams.context[level][some]
+        assert (grams.keys[level - 1][suffix] == keys & np.uint64((1 << 16 * (level - 1)) - 1)).all()
+        assert (grams.keys[level - 1][context] == keys >> np.uint64(16)).all()
+
+
+def test_piece_cache_keeps_two_generations(monkeypatch):
+    from tripwell.llm import packing
+
+    monkeypatch.setattr(packing, "CACHED_WORDS", 30)
+    monkeypatch.setattr(packing, "CACHED_CHARS", 8)
+    path = queries.vocabulary()
+    own = packing.WordTokenizer(path)
+    rng = random.Random(3)
+    words = ["often"] + ["".join(rng.choice("abcdeß1'-é漢") for _ in range(rng.randint(1, 14))) for _ in range(400)]
+    for i in range(60):
+        texts = [" ".join(["often", *rng.sample(words, 12)]) for _ in range(3)] + ["", " "]
+        for t, ids in zip(texts, own.encode(texts)):
+            assert ids.tolist() == own.model.encode(t, add_special_tokens=False).ids
+        assert len(own.now) + len(own.before) < 200 and not any(len(p) > 8 for p in own.now)

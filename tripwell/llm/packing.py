@@ -25,12 +25,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from tripwell.llm.batches import handing_back
 from tripwell.sources.storage import store
 
 LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS, BUCKETS = 3, 16, 4096
-CACHED_WORDS = 300_000
+CACHED_WORDS, CACHED_CHARS = 200_000, 60
 BATCH_CHARS = 1_000_000
 
 # A run of Latin letters or of marks with a certain end, or else the rest of the word.
@@ -45,8 +46,8 @@ class WordTokenizer:
     """The ids of a vocabulary file whose words end at white space and between letters and marks.
 
     Texts are cut into lower-case pieces, and the ids of each different piece are
-    computed once and kept. When the number of kept pieces passes a bound, all are
-    forgotten. Runs of Latin letters or of marks whose end is certain are pieces;
+    computed once and kept in two generations: when the newer one is full it replaces
+    the older one, from which pieces that are met again return. Runs of Latin letters or of marks whose end is certain are pieces;
     whatever else a word holds (digits, apostrophes, other scripts) goes to the
     tokenizer as it is, and so does a whole text that holds a special id's string.
     """
@@ -64,15 +65,15 @@ class WordTokenizer:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.starts, self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.dtype)
+        """The pieces of this generation become the old one, and the old one goes."""
+        self.now, self.before = {}, getattr(self, "now", {})
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, self.dtype)
 
     def _learn(self, pieces: list[str]) -> None:
+        width = self.dtype.itemsize
         simple = [p for p in pieces if _SIMPLE.fullmatch(p)]
-        names, ids, lengths = [], [], []
         for at in range(0, len(simple), 5000):
             some = simple[at:at + 5000]
             found = self._encode(" ".join(some))
@@ -80,18 +81,10 @@ class WordTokenizer:
             if len(ends) != len(some) or ends[-1] != len(found):
                 parts = [self._encode(p) for p in some]
                 found, ends = np.concatenate(parts), np.cumsum([len(p) for p in parts])
-            names += some
-            ids.append(found)
-            lengths.append(np.diff(ends, prepend=0))
+            packed, cuts = found.tobytes(), [0, *(ends * width).tolist()]
+            self.now.update(zip(some, map(packed.__getitem__, map(slice, cuts, cuts[1:]))))
         for p in set(pieces).difference(simple):
-            names.append(p)
-            ids.append(self._encode(p))
-            lengths.append(np.array([len(ids[-1])]))
-        added = np.concatenate(lengths)
-        self.known.update(zip(names, range(len(self.lengths), len(self.lengths) + len(names))))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(added) - added])
-        self.lengths = np.concatenate([self.lengths, added])
-        self.flat = np.concatenate([self.flat, *ids])
+            self.now[p] = self._encode(p).tobytes()
 
     def _pieces(self, text: str) -> list[str]:
         if any(s in text for s in self.special):
@@ -107,21 +100,22 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text, without special ids."""
-        if len(self.known) > CACHED_WORDS:
+        if len(self.now) > CACHED_WORDS:
             self.forget()
         words = [self._pieces(t) for t in texts]
-        flat = list(chain.from_iterable(words))
-        missing = set(flat).difference(self.known)
-        if missing:
-            self._learn(sorted(missing))
-        index = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
-        lengths = self.lengths[index]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(self.starts[index] - ends + lengths, lengths)
-        ids = self.flat[at]
-        cuts = np.concatenate([[0], ends])[np.cumsum([0, *map(len, words)])]
-        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        missing = []
+        for p in set(chain.from_iterable(words)).difference(self.now):
+            known = self.before.get(p)
+            if known is None:
+                missing.append(p)
+            else:
+                self.now[p] = known
+        self._learn(missing)
+        found = [np.frombuffer(b"".join(map(self.now.__getitem__, w)), self.dtype) for w in words]
+        for p in missing:
+            if len(p) > CACHED_CHARS:
+                del self.now[p]
+        return found
 
 
 def tokenizer(path: str) -> WordTokenizer:
@@ -184,6 +178,7 @@ def tokenized(docs: DataFrame, vocabulary: str, text: str = "text", id_column: s
     """(doc_id, key, ids): ids closed by ``end_id``, compressed; see :func:`read_ids`."""
     picked = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text].alias("text"))
 
+    @handing_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
@@ -266,6 +261,7 @@ def pack(docs: DataFrame, vocabulary: str, text: str = "text", id_column: str =
     """
     rows = store(tokenized(docs, vocabulary, text, id_column, end_id), "tokens")
 
+    @handing_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = _Sequences(TaskContext.get().partitionId() << 36, length)
         for batch in batches:

@@ -31,6 +31,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tripwell.llm.batches import handing_back
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + ("account", "masked_email", "secret", "url")
 
@@ -213,6 +215,7 @@ def scan_personal_data(docs: DataFrame, text: str = "text", id_column: str = "do
     """One row per input row: id, ``spans`` (``kind:start:end`` comma-joined), counts and digest of base spans."""
     picked = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text].alias("text"))
 
+    @handing_back
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [find_spans(t) for t in batch.column("text").to_pylist()]
@@ -231,6 +234,7 @@ def redact_documents(docs: DataFrame, text: str = "text", length: str | None = "
     """The same rows and columns with personal data replaced in the text; a length column follows the text."""
     names = docs.columns
 
+    @handing_back
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             old = batch.column(text).to_pylist()

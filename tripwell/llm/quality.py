@@ -30,13 +30,14 @@ have no perplexity and are kept.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripwell.llm.batches import hand_back, handing_back
 from tripwell.sources.storage import store
 
 ORDER = 4
@@ -51,6 +52,29 @@ _BLANKS = dict.fromkeys(range(33), " ")
 
 # ---------------------------------------------------------------- grams of a page
 
+def _ranked(values: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray, Callable[[np.ndarray], np.ndarray]]:
+    """The different values below ``cells``, sorted, each value's place among them, and how to find others' places.
+
+    A table of all cells is quick while there are few; beyond that the values are sorted,
+    so memory goes with their number, whatever the alphabet.
+    """
+    if cells <= 4 * len(values) + (1 << 16):
+        flag = np.zeros(cells, bool)
+        flag[values] = True
+        unique = np.flatnonzero(flag)
+        now = np.full(cells, -1, np.int32)
+        now[unique] = np.arange(len(unique), dtype=np.int32)
+        return unique, now[values], now.__getitem__
+    order = np.argsort(values, kind="stable").astype(np.int32)
+    ordered = values[order]
+    new = np.ones(len(values), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    unique = ordered[new]
+    at = np.empty(len(values), np.int32)
+    at[order] = np.cumsum(new, dtype=np.int32) - 1
+    return unique, at, lambda wanted: np.searchsorted(unique, wanted.astype(unique.dtype)).astype(np.int32)
+
+
 class Grams:
     """The different grams of a page up to the order, and which gram ends at each unit."""
 
@@ -73,29 +97,29 @@ class Grams:
         number[letters] = np.arange(len(letters), dtype=np.int32)
         letter = number[units]
         size = len(letters)
-        empty = np.zeros(1, np.int64)
+        empty = np.zeros(1, np.int32)
         self.keys, self.context, self.suffix, self.wanted = [np.zeros(1, np.uint64)], [empty], [empty], [np.ones(1, bool)]
         at, place = np.zeros(len(units), np.int32), None
         for level in range(1, ORDER + 1):
+            cells = len(self.keys[-1]) * size
             # narrow while they fit, which they do unless a page holds very many different grams
-            pair = np.empty(len(units), np.int32 if len(self.keys[-1]) * size < 1 << 31 else np.int64)
+            pair = np.empty(len(units), np.int32 if cells < 1 << 31 else np.int64)
             pair[0] = letter[0]
             np.multiply(at[:-1], size, out=pair[1:], dtype=pair.dtype)
             pair[1:] += letter[1:]
-            flag = np.zeros(len(self.keys[-1]) * size, bool)
-            flag[pair] = True
-            unique = np.flatnonzero(flag)
-            now = np.full(len(flag), -1, np.int32)
-            now[unique] = np.arange(len(unique), dtype=np.int32)
-            context, last = unique // size, unique % size
+            at = None
+            unique, at, found = _ranked(pair, cells)
+            pair = None
+            context, last = (x.astype(np.int32) for x in np.divmod(unique, size))
+            unique = None
             if level == 1:
-                self.suffix.append(np.zeros(len(unique), np.int64))
+                self.suffix.append(np.zeros(len(context), np.int32))
             else:
-                self.suffix.append(place[self.suffix[-1][context] * size + last].astype(np.int64))
+                self.suffix.append(place(self.suffix[-1][context].astype(np.int64) * size + last))
             self.context.append(context)
             self.keys.append((self.keys[-1][context] << np.uint64(16)) | letters[last].astype(np.uint64))
-            at, place = now[pair], now
-            use = np.zeros(len(unique), bool)
+            place = found
+            use = np.zeros(len(context), bool)
             use[at[wanted if level < ORDER else scored]] = True
             self.wanted.append(use)
         self.at = at
@@ -144,7 +168,7 @@ class Grams:
 
 def shard_of(levels: np.ndarray, keys: np.ndarray, shards: int) -> np.ndarray:
     mixed = (keys + levels.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(33)) % np.uint64(shards)).astype(np.int64)
+    return ((mixed >> np.uint64(33)) % np.uint64(shards)).astype(np.int32)
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -191,6 +215,7 @@ def _pages(batches: Iterator[pa.RecordBatch], limit: int):
 # ---------------------------------------------------------------- training
 
 def _gram_counts(docs: DataFrame, limit: int) -> DataFrame:
+    @handing_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, lang, _, texts in _pages(batches, limit):
             keys, counts = Grams(texts).counts()
@@ -250,11 +275,12 @@ def train(trusted: DataFrame, limit: int = PAGE_CHARS) -> DataFrame:
 
 def _packed_model(model: DataFrame, shards: int, copies: int) -> DataFrame:
     """One row per (shard, copy, language, level): its sorted keys and values."""
+    @handing_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             levels = batch.column("level").to_numpy().astype(np.uint8)
             keys = batch.column("key").to_numpy().view(np.uint64)
-            yield batch.append_column("shard", pa.array(shard_of(levels, keys, shards)))
+            yield batch.append_column("shard", pa.array(shard_of(levels, keys, shards), pa.int64()))
 
     sharded = model.mapInArrow(run, "lang string, level int, key long, a double, g double, shard long")
     # 65536 keys at most in a row, so no row outgrows what a task can hold
@@ -272,6 +298,7 @@ def perplexities(docs: DataFrame, model: DataFrame, limit: int = PAGE_CHARS) ->
     # a shard goes to several tasks, each with its own copy, when there are more tasks than shards
     copies = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards)
 
+    @handing_back
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page, lang, _, texts in _pages(batches, limit):
             levels, keys, shard = Grams(texts).requests(shards)
@@ -283,6 +310,7 @@ def perplexities(docs: DataFrame, model: DataFrame, limit: int = PAGE_CHARS) ->
                 "levels": pa.array([levels[x].tobytes() for _, x in parts], pa.binary()),
                 "keys": pa.array([keys[x].tobytes() for _, x in parts], pa.binary())})
 
+    @handing_back
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, tables = None, {}
         for batch in batches:
@@ -316,6 +344,7 @@ def perplexities(docs: DataFrame, model: DataFrame, limit: int = PAGE_CHARS) ->
                     "page": pa.array([pages[i]], pa.int64()), "shard": pa.array([shard], pa.int64()),
                     "a": pa.array([a.tobytes()], pa.binary()), "g": pa.array([g.tobytes()], pa.binary())})
 
+    @handing_back
     def text_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
@@ -337,6 +366,7 @@ def perplexities(docs: DataFrame, model: DataFrame, limit: int = PAGE_CHARS) ->
         got = [(s.as_py(), np.frombuffer(a.as_py(), np.float32), np.frombuffer(g.as_py(), np.float32))
                for s, a, g in zip(answers["shard"], answers["a"], answers["g"])]
         values = Grams(texts).perplexities(shards, got)
+        hand_back()
         return pa.table({"doc_id": pa.array(ids, pa.int64()),
                          "lang": pa.array([page["lang"][0].as_py()] * len(ids), pa.string()),
                          "perplexity": pa.array([float(v) if np.isfinite(v) else None for v in values], pa.float64())})
@@ -376,6 +406,7 @@ def trusted_documents(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(table)
     hashed = docs.withColumn("_bits", _bit_positions("doc_id"))
 
+    @handing_back
     def may_be(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tripwell.llm.batches import handing_back
 from tripwell.llm.components import connected_components
 from tripwell.llm.substrings import FILTER_BITS, HOT_SHARDS, _bit_filter
 from tripwell.sources.storage import store
@@ -81,6 +82,7 @@ def fingerprints(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
     """(doc_id, fp) per row; ``fp`` holds the 64 bits as a signed long. Null texts have no words."""
     picked = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text].alias("text"))
 
+    @handing_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [majority(shingle_hashes(t, shingle)) for t in batch.column("text").to_pylist()]
@@ -102,6 +104,7 @@ def set_prints(docs: DataFrame, text: str, id_column: str, shingle: int) -> Data
     """(doc_id, node, fp, sketch, size) per row, of the set of its shingles; ``node`` is the set's digest."""
     picked = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text].alias("text"))
 
+    @handing_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = [shingle_set(t, shingle) for t in batch.column("text").to_pylist()]
@@ -218,6 +221,7 @@ def link_forest(prints: DataFrame, radius: int = 4, most: int | None = None, blo
         F.pmod(F.xxhash64("node"), salts[F.col("ta") * 33 + F.col("tb")]), F.lit(0))
     salted = tiled.withColumn("salt", salt.cast("int"))
 
+    @handing_back
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(key, parts):
             payload, width = np.concatenate(parts).tobytes(), parts[0].shape[1]
@@ -253,6 +257,7 @@ def link_forest(prints: DataFrame, radius: int = 4, most: int | None = None, blo
         if key is not None:
             yield from rows(key, parts)
 
+    @handing_back
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, held = None, None
         for batch in batches:
@@ -345,6 +350,7 @@ def verified_links(docs: DataFrame, distinct: DataFrame, candidates: DataFrame,
         F.col("node").bitwiseXOR(F.coalesce("first_id", F.lit(0).cast("long"))).alias("anchor"))))
     picked = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text].alias("text"))
 
+    @handing_back
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
@@ -354,6 +360,7 @@ def verified_links(docs: DataFrame, distinct: DataFrame, candidates: DataFrame,
             on = np.flatnonzero((bits[place >> 3] >> (7 - (place & 7))) & 1)
             yield pa.RecordBatch.from_pydict({"node": pa.array(nodes[on]), "text": batch.column("text").take(pa.array(on))})
 
+    @handing_back
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def edges(key, group):
             nodes, prints = np.array([x[1] for x in group]), np.array([x[2] for x in group])
@@ -402,6 +409,7 @@ def deduplicate(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
     node, root, first_id = ("_" * max(map(len, names)) + n for n in ("node", "root", "first"))  # longer than any name there is
     classes = _classes(distinct, links, "node").withColumnsRenamed({"node": node, "root": root, "component_id": first_id})
 
+    @handing_back
     def with_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingle_set(t, shingle)[1] for t in batch.column(text).to_pylist()]
