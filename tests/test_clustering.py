@@ -64,8 +64,21 @@ def test_euclidean_silhouette(blobs):
     assert row["points"] == len(x)
 
 
-def test_euclidean_silhouette_of_a_sample_respects_the_cap(blobs):
-    assert quality.silhouette_euclid(blobs, FEATURES, "label", ["id"], points=50).first()["points"] == 50
+def test_euclidean_silhouette_of_a_stratified_sample(blobs):
+    x, labels = matrix(blobs)
+    clusters = len(set(labels))
+    row = quality.silhouette_euclid(blobs, FEATURES, "label", ["id"], points=50).first()
+    assert 50 <= row["points"] <= 50 + clusters and row["standard_error"] > 0
+    assert quality.silhouette_euclid(blobs, FEATURES, "label", ["id"]).first()["standard_error"] == 0
+    assert row["silhouette"] == pytest.approx(brute_silhouette(x, labels, False), abs=max(0.05, 5 * row["standard_error"]))
+
+
+def test_every_cluster_has_points_in_a_silhouette(spark):
+    rows = [(i, float(i % 7), float(i % 11), 0) for i in range(4000)] + [(5000 + i, 50.0 + i, 50.0, 1) for i in range(3)]
+    df = spark.createDataFrame([*rows, (6000, 90.0, 0.0, 2)], "id long, a double, b double, label int")
+    row = quality.silhouette_euclid(df, FEATURES, "label", ["id"], points=400).first()
+    assert row["points"] == -(-400 * 4000 // 4004) + 3 + 1
+    assert row["silhouette"] > 0.8
 
 
 def test_silhouette_needs_two_clusters(blobs):

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from tripwell.operators import explain, ranking, regression
+from tripwell.operators import explain, ranking, regression, stochastic, tree_shapley
 from tripwell.operators.aggregates import histogram
 from tripwell.operators.regression_quality import regression_metrics
 from tripwell.operators.sampling import kfold_assign
@@ -148,3 +152,94 @@ def test_histogram_edges(spark):
     assert got == {0: 1, 1: 1, 9: 2, **{i: 0 for i in range(2, 9)}}
     flat = histogram(spark.createDataFrame([(3.0,), (3.0,)], "x double"), F.col("x"), 4).collect()
     assert sum(r["frequency"] for r in flat) == 2
+
+
+# ---- exact Shapley values of trees
+
+def known_value(nodes, x, known, at=0):
+    """What a tree predicts for ``x`` when only the features in ``known`` are known."""
+    prediction, cover, left, right, feature, threshold = nodes[at]
+    if left < 0:
+        return prediction
+    if feature in known:
+        return known_value(nodes, x, known, left if x[feature] <= threshold else right)
+    return sum(nodes[c][1] / cover * known_value(nodes, x, known, c) for c in (left, right))
+
+
+def brute_shapley(nodes, x, count):
+    found = np.zeros(count)
+    for i in range(count):
+        rest = [j for j in range(count) if j != i]
+        for size in range(count):
+            weight = math.factorial(size) * math.factorial(count - size - 1) / math.factorial(count)
+            for s in itertools.combinations(rest, size):
+                found[i] += weight * (known_value(nodes, x, {*s, i}) - known_value(nodes, x, set(s)))
+    return found
+
+
+def test_tree_values_equal_all_subsets():
+    rng = np.random.default_rng(4)
+    for count, depth in ((1, 2), (3, 4), (5, 6)):
+        nodes = {}
+
+        def grow(cover, level):
+            at = len(nodes)
+            nodes[at] = None
+            if level == depth or cover < 2 or rng.random() < 0.1:
+                nodes[at] = (float(rng.normal()), cover, -1, -1, -1, 0.0)
+            else:
+                part = int(rng.integers(1, cover))
+                feature, threshold = int(rng.integers(count)), float(rng.normal())
+                nodes[at] = (0.0, cover, grow(part, level + 1), grow(cover - part, level + 1), feature, threshold)
+            return at
+
+        grow(1000, 0)
+        x = rng.normal(size=(40, count))
+        x[0] = [n[5] for n in nodes.values()][0]  # on a threshold
+        got = tree_shapley.leaf_contributions(tree_shapley.tree_leaves(nodes), x)
+        assert np.allclose(got, [brute_shapley(nodes, row, count) for row in x], atol=1e-12)
+
+
+@pytest.mark.parametrize("estimator", ["forest", "boosted"])
+def test_tree_values_add_up_to_the_prediction(spark, rows, forest, tmp_path, estimator):
+    model = forest if estimator == "forest" else regression.fit_pipeline(
+        rows, FEATURES, regression.gradient_boosted_trees(maxIter=5, maxDepth=4))
+    path = sinks.save_model(model, str(tmp_path / estimator))
+    named = rows.withColumnRenamed("id", "expected_id").limit(300)
+    parts = tree_shapley.tree_shapley_values(sinks.load_model(spark, path), path, named, FEATURES, ["expected_id"])
+    assert parts.columns == ["expected_id", "expected", *FEATURES] and parts.count() == 300
+    scored = {r["expected_id"]: r["prediction"] for r in model.transform(named).collect()}
+    for r in parts.collect():
+        assert r["expected"] + sum(r[f] for f in FEATURES) == pytest.approx(scored[r["expected_id"]], abs=1e-6)
+    ranking_ = tree_shapley.mean_absolute_values(parts, FEATURES).collect()
+    assert [r["feature_name"] for r in ranking_] == ["trip_distance", "trip_duration_min", "passenger_count"]
+    assert ranking_[-1]["mean_abs_contribution"] < ranking_[0]["mean_abs_contribution"] / 4
+    assert tree_shapley.tree_shapley_values(model, path, named.limit(0), FEATURES, ["expected_id"]).count() == 0
+    with pytest.raises(ValueError):
+        tree_shapley.tree_shapley_values(model, path, named, FEATURES, ["expected_id"], max_nodes=3)
+
+
+# ---- stochastic gradient
+
+def test_stochastic_fit_is_near_least_squares_for_any_partitioning(spark, rows):
+    noisy = rows.withColumn("fare_amount", F.col("fare_amount") + (F.col("id") * 13 % 17 - 8))
+    exact = regression.coefficients(regression.fit_pipeline(noisy, FEATURES, regression.ordinary_least_squares()), FEATURES)
+    fit = stochastic.fit_stochastic(noisy, FEATURES, "fare_amount", ["id"], tolerance=1e-4)
+    assert fit.intercept == pytest.approx(exact["intercept"], abs=0.3)
+    for f in FEATURES:
+        assert fit.slopes[f] == pytest.approx(exact[f], abs=0.02), f
+    assert fit.losses[-1] < fit.losses[0] and len(fit.losses) < 60
+    again = stochastic.fit_stochastic(noisy.repartition(3), FEATURES, "fare_amount", ["id"], tolerance=1e-4)
+    assert again == fit
+    assert stochastic.fit_stochastic(noisy, FEATURES, "fare_amount", ["id"], epochs=3, seed=7).losses != fit.losses[:3]
+    scored = fit.transform(noisy).agg(F.avg(F.abs(F.col("prediction") - F.col("fare_amount")))).first()[0]
+    assert scored < 5
+
+
+def test_stochastic_fit_of_odd_rows(spark):
+    odd = spark.createDataFrame([(i, float(i % 5), 1.0, None if i == 3 else 2.0 * (i % 5)) for i in range(200)],
+                                "id long, a double, flat double, y double")
+    fit = stochastic.fit_stochastic(odd, ["a", "flat"], "y", ["id"], tolerance=1e-6)
+    assert fit.slopes["a"] == pytest.approx(2.0, abs=0.02) and abs(fit.slopes["flat"]) < 1e-6
+    with pytest.raises(ValueError):
+        stochastic.fit_stochastic(odd.limit(0), ["a"], "y", ["id"])

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripwell.functions.hashing import POISSON_CUTS, poisson_weight, row_fingerprint, unit_hash
-from tripwell.operators import bootstrap, sampling
+from tripwell.operators import bootstrap, resampling, sampling
 from tripwell.session import initial_shuffle_partitions
 
 
@@ -92,3 +92,70 @@ def test_bootstrap_mean_is_near_the_plain_metric(rows):
     s = bootstrap.rmse_bootstrap_ci(df, ["id"], "x", "p", 40).first()
     assert abs(s["mean"] - plain) < 3 * s["std"]
     assert s["ci_lower"] <= s["mean"] <= s["ci_upper"] and s["n_bootstraps"] == 40
+
+
+# ---- exactly n draws
+
+def twin_weights(ids, replicates, seed, ranges):
+    """The same draws in plain numpy, for keys that are single integers."""
+    import hashlib
+
+    digests = {i: hashlib.md5(f"{seed}:{i}".encode()).hexdigest() for i in ids}
+    range_of = {i: int(digests[i][:3], 16) // (resampling.MAX_RANGES // ranges) for i in ids}
+    counts = np.bincount([range_of[i] for i in ids], minlength=ranges)
+    draws = resampling.split_draws(counts, replicates, seed)
+    found = {}
+    for number in range(ranges):
+        mine = sorted((i for i in ids if range_of[i] == number), key=lambda i: (digests[i], i))
+        left, rows = draws[number].copy(), len(mine)
+        for block, at in enumerate(range(0, len(mine), resampling.BLOCK_ROWS)):
+            some = mine[at:at + resampling.BLOCK_ROWS]
+            rng = np.random.default_rng([seed, 1, number, block])
+            here = rng.binomial(left, len(some) / rows)
+            left, rows = left - here, rows - len(some)
+            columns = [np.bincount(rng.integers(0, len(some), n), minlength=len(some)) for n in here]
+            found |= {i: [int(c[k]) for c in columns] for k, i in enumerate(some)}
+    return found
+
+
+@pytest.mark.parametrize("block,range_rows", [(4096, 20_000), (37, 100)])
+def test_multinomial_weights_equal_their_twin(spark, monkeypatch, block, range_rows):
+    monkeypatch.setattr(resampling, "BLOCK_ROWS", block)
+    monkeypatch.setattr(resampling, "RANGE_ROWS", range_rows)
+    ids = list(range(0, 3000, 2))
+    ranges = 1 if range_rows == 20_000 else 16
+    want = twin_weights(ids, 12, 5, ranges)
+    sums = []
+    for parts in (1, 7):
+        df = spark.createDataFrame([(i,) for i in ids], "id long").repartition(parts)
+        # Blocks are cut in the workers, so only what the driver does follows a changed block.
+        got = {r["id"]: r["weights"] for r in resampling.multinomial_weights(df, ["id"], 12, 5).collect()}
+        sums.append(np.sum(list(got.values()), axis=0).tolist())
+        if block == 4096:
+            assert got == want
+    assert sums == [[1500] * 12] * 2
+    assert np.sum(list(want.values()), axis=0).tolist() == [1500] * 12
+
+
+def test_multinomial_draws_are_not_capped_and_even():
+    counts = np.array([1, 0, 3, 996])
+    draws = resampling.split_draws(counts, 4000, 1)
+    assert (draws.sum(axis=0) == 1000).all() and (draws[1] == 0).all()
+    assert draws.mean(axis=1) == pytest.approx([1, 0, 3, 996], abs=0.15) and draws[0].var() == pytest.approx(1, abs=0.1)
+    lone = resampling.RangeDraws(0, 1, np.array([50]), 1).weights(1)
+    assert lone.tolist() == [[50]]
+
+
+def test_multinomial_interval_and_empty_tables(spark):
+    df = spark.range(2000).select("id", (F.col("id") % 10).cast("double").alias("x"), F.lit(4.0).alias("p"))
+    plain = df.agg(F.sqrt(F.avg((F.col("x") - F.col("p")) ** 2))).first()[0]
+    s = resampling.multinomial_rmse_ci(df, ["id"], "x", "p", 60).first()
+    assert s["ci_lower"] <= plain <= s["ci_upper"] and s["n_bootstraps"] == 60
+    means = resampling.multinomial_means(df, ["id"], F.col("x"), 5).collect()
+    assert [r["n"] for r in means] == [2000] * 5
+    weights = {r["id"]: r["weights"] for r in resampling.multinomial_weights(df, ["id"], 5).collect()}
+    for r in means:
+        assert r["mean"] == pytest.approx(sum(w[r["replicate"] - 1] * (i % 10) for i, w in weights.items()) / 2000)
+    assert resampling.multinomial_weights(df.limit(0), ["id"], 3).count() == 0
+    copies = spark.createDataFrame([(1,)] * 30, "id long")
+    assert np.sum([r["weights"] for r in resampling.multinomial_weights(copies, ["id"], 3).collect()], axis=0).tolist() == [30] * 3

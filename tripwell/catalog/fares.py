@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripwell.catalog.registry import query
 from tripwell.catalog.trips import KEYS, SILVER_SQL, once, silver, sql_unit
-from tripwell.operators import explain, ranking, regression, sampling
+from tripwell.operators import explain, ranking, regression, sampling, stochastic, tree_shapley
 from tripwell.operators.bounded import cached
 from tripwell.operators.bootstrap import rmse_bootstrap_ci
 from tripwell.operators.projection import FEATURE_LABELS, MODEL_FEATURES, map_values
@@ -33,8 +33,7 @@ def splits(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {n: labelled.filter(F.col("split") == n).drop("split") for n in sampling.DEFAULT_SPLIT}
 
 
-def stored_forest(spark: SparkSession, sf_dir: str):
-    """The saved forest pipeline that scoring and explanation load."""
+def stored_forest_path(spark: SparkSession, sf_dir: str) -> str:
     def build():
         train = cached(splits(spark, sf_dir)["train"])
         try:
@@ -43,7 +42,12 @@ def stored_forest(spark: SparkSession, sf_dir: str):
             train.unpersist()
         return sinks.save_model(model, new_path(spark, "forest"))
 
-    return sinks.load_model(spark, once(spark, sf_dir, "forest", build))
+    return once(spark, sf_dir, "forest", build)
+
+
+def stored_forest(spark: SparkSession, sf_dir: str):
+    """The saved forest pipeline that scoring and explanation load."""
+    return sinks.load_model(spark, stored_forest_path(spark, sf_dir))
 
 
 def _metrics_frame(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -85,8 +89,22 @@ def linear_regression_elastic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("linear_regression_sgd")
 def linear_regression_sgd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tenth = sampling.sample_fraction(splits(spark, sf_dir)["train"], KEYS, 0.1)
-    return _fit_and_score(spark, sf_dir, "IterativeLinear", regression.iterative_least_squares(), tenth)
+    """Averaged stochastic gradient on a tenth of the training split, the feature being the tenth."""
+    parts = splits(spark, sf_dir)
+    tenth = sampling.sample_fraction(parts["train"], KEYS, 0.1)
+    m = regression.model_metrics(stochastic.fit_stochastic(tenth, FEATURES, LABEL, KEYS), parts["validation"])
+    return _metrics_frame(spark, [("StochasticLinear", m["rmse"], m["r2"], m["mae"])])
+
+
+@query("linear_regression_sgd_coefficients")
+def linear_regression_sgd_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients of distance and duration over all trips, beside those of least squares."""
+    rows = silver(spark, sf_dir).select(*KEYS, *_TWO, LABEL)
+    found = stochastic.fit_stochastic(rows, _TWO, LABEL, KEYS, tolerance=1e-4)
+    exact = regression.coefficients(regression.fit_pipeline(rows, _TWO, regression.ordinary_least_squares()), _TWO)
+    got = {"intercept": found.intercept, **found.slopes}
+    return spark.createDataFrame([(n, float(got[n]), float(b), len(found.losses)) for n, b in exact.items()],
+                                 "term string, coefficient double, least_squares double, epochs int")
 
 
 @query("random_forest")
@@ -223,13 +241,21 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("importance_score").desc(), "feature_name")
 
 
+def _tree_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stored_forest_path(spark, sf_dir)
+    return tree_shapley.tree_shapley_values(stored_forest(spark, sf_dir), path, splits(spark, sf_dir)["test"], FEATURES, KEYS)
+
+
 @query("shapley_values")
 def shapley_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    test = splits(spark, sf_dir)["test"]
-    rows = sampling.sample_exact(test, KEYS, 500)
-    contributions = explain.shapley_values(stored_forest(spark, sf_dir), rows,
-                                           splits(spark, sf_dir)["train"], FEATURES, KEYS)
-    return explain.mean_absolute_contribution(contributions)
+    """Features of the stored forest by their mean absolute Shapley value over the whole test split."""
+    return tree_shapley.mean_absolute_values(_tree_values(spark, sf_dir), FEATURES)
+
+
+@query("shapley_values_by_trip")
+def shapley_values_by_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact contributions of every feature to the forest's prediction of every test trip."""
+    return _tree_values(spark, sf_dir)
 
 
 @query("shapley_values_linear", f"""{_NORMAL_SQL}, picked as (select * from silver

@@ -194,23 +194,30 @@ def silhouette_sq(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def euclid_sql(source: str, name: str, columns: list[str], points: int = cluster_quality.SILHOUETTE_POINTS) -> str:
-    """Mean Euclidean silhouette of the rows first in hash order, each measured against all rows."""
+    """Euclidean silhouette among all rows or a sample that is stratified by cluster, first in hash order."""
     gap = " + ".join(f"(p.{c} - q.{c}) * (p.{c} - q.{c})" for c in columns)
-    return f"""{name}_points as (select *, row_number() over () as id from (
-  select * from {source} order by {sql_unit(KEYS)}, {_KEYS} limit {points})),
-{name}_sums as (select p.id, p.cluster as own, q.cluster, sum(sqrt({gap})) as total, count(*) as n
-  from {name}_points p, {source} q group by all),
-{name}_scores as (select id, max(case when own = cluster and n > 1 then total / (n - 1) end) as a,
-  min(case when own <> cluster then total / n end) as b from {name}_sums group by id),
-{name} as (select avg(case when a is null or greatest(a, b) = 0 then 0 else (b - a) / greatest(a, b) end) as silhouette,
-  count(*) as points from {name}_scores)"""
+    part = "n / (select sum(n) from {0}_sizes)".format(name)
+    return f"""{name}_sizes as (select cluster, count(*) as n from {source} group by cluster),
+{name}_points as (select *, row_number() over () as id from (
+  select * from {source} join {name}_sizes using (cluster)
+  qualify (select sum(n) from {name}_sizes) <= {points}
+    or row_number() over (partition by cluster order by {sql_unit(KEYS)}, {_KEYS})
+      <= greatest(ceil({points} * n / (select sum(n) from {name}_sizes)), least(n, {cluster_quality.LEAST_POINTS}, {points} // (select count(*) from {name}_sizes))))),
+{name}_sums as (select p.id, p.cluster as own, q.cluster, sum(sqrt({gap})) as total, count(*) as m
+  from {name}_points p, {name}_points q group by all),
+{name}_gaps as (select id, own, max(case when own = cluster and m > 1 then total / (m - 1) end) as a,
+  min(case when own <> cluster then total / m end) as b from {name}_sums group by id, own),
+{name}_scores as (select own as cluster, avg(s) as mean, coalesce(var_samp(s), 0) as var, count(*) as m from (
+  select own, case when a is null or greatest(a, b) = 0 then 0 else (b - a) / greatest(a, b) end as s from {name}_gaps) group by own),
+{name} as (select sum({part} * mean) as silhouette, sum(m)::bigint as points,
+  sqrt(sum({part} * {part} * var / m * (1 - m / n))) as standard_error from {name}_scores join {name}_sizes using (cluster))"""
 
 
 @query("silhouette_euclid", f"""with {SILVER_SQL}, {label_sql()}, {euclid_sql('labelled', 'score', CLUSTER_COLUMNS)}
-select round(silhouette, 6) as silhouette, points from score""")
+select round(silhouette, 6) as silhouette, points, round(standard_error, 6) as standard_error from score""")
 def silhouette_euclid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(cluster_quality.silhouette_euclid(labelled(spark, sf_dir), CLUSTER_COLUMNS, "cluster", KEYS),
-                   "silhouette")
+                   "silhouette", "standard_error")
 
 
 def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +250,7 @@ def cluster_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(cluster_quality.cluster_entropy(_table(spark, sf_dir)), "entropy")
 
 
-_REPORT_METRICS = ("silhouette", "calinski_harabasz", "davies_bouldin", "wssse", "entropy")
+_REPORT_METRICS = ("silhouette", "standard_error", "calinski_harabasz", "davies_bouldin", "wssse", "entropy")
 
 
 def _report_sql() -> str:

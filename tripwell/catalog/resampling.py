@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tripwell.catalog.ingest import SUMMARY_SQL, bootstrap_sql, rounded
 from tripwell.catalog.registry import query
 from tripwell.catalog.trips import KEYS, PREDICTED_SQL, SILVER_SQL, predicted, silver, sql_unit
-from tripwell.operators import bootstrap, sampling
+from tripwell.operators import bootstrap, resampling, sampling
 from tripwell.operators.regression_quality import actual_vs_predicted, regression_metrics
 from tripwell.sources.sinks import sink_parquet_overwrite
 from tripwell.sources.storage import new_path
@@ -96,6 +96,18 @@ def rmse_bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
                    "mean", "std", "ci_lower", "ci_upper")
 
 
+@query("bootstrap_multinomial_weights")
+def bootstrap_multinomial_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each of ten replicates of exactly n draws takes every trip."""
+    return resampling.multinomial_weights(silver(spark, sf_dir), KEYS, 10)
+
+
+@query("rmse_bootstrap_multinomial_ci")
+def rmse_bootstrap_multinomial_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interval of the error over a hundred replicates of exactly n draws."""
+    return resampling.multinomial_rmse_ci(predicted(spark, sf_dir), KEYS, "fare_amount", "prediction")
+
+
 _ERROR = "(fare_amount - prediction)"
 _METRIC_SQL = {
     "rmse": f"sqrt(avg({_ERROR} * {_ERROR}))",

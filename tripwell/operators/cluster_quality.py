@@ -12,11 +12,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripwell.functions.hashing import unit_hash
 from tripwell.operators.bounded import bounded_rows, cached, in_parallel, pin_small
-from tripwell.operators.sampling import sample_exact
 
 # Clusters become columns of the next plan, so their number is limited.
 MAX_CLUSTERS = 1000
@@ -156,47 +156,83 @@ def _distance_sums(mine: np.ndarray, everyone: np.ndarray, first: np.ndarray, co
     return sums
 
 
-SILHOUETTE_POINTS = 500
+SILHOUETTE_POINTS = 50_000
+LEAST_POINTS = 100  # of every cluster that has as many rows, while they fit
+_TILE = 256
 
 
-def silhouette_euclid(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
-                      points: int = SILHOUETTE_POINTS, seed: int = 42) -> DataFrame:
-    """Mean silhouette with Euclidean distance of ``points`` sampled rows, each measured against all rows.
+def _stratified(labelled: DataFrame, keys: Sequence[str], points: int, seed: int) -> tuple[DataFrame, dict]:
+    """Rows to measure and the size of every cluster: all rows, or a share of each cluster first in hash order.
 
-    Only the sampled points, whose number the parameter bounds, travel to the tasks.
-    Every task adds up distances by point and cluster, and one small aggregate joins
-    the tasks' sums. With as many points as rows this is the full silhouette.
+    Before rows are ranked, a hash threshold lets little more than the wanted number of a
+    cluster through, so no task ranks a whole cluster.
     """
-    spark = df.sparkSession
-    labelled = df.select(*keys, *features, F.col(label).alias("_label"))
-    if labelled.select("_label").distinct().limit(2).count() < 2:
+    sizes = {r["_label"]: r["n"] for r in bounded_rows(
+        labelled.groupBy("_label").agg(F.count("*").alias("n")), "clusters", MAX_CLUSTERS)}
+    if len(sizes) < 2:
         raise ValueError("a silhouette needs at least two clusters")
-    picked = sample_exact(labelled, keys, points, seed).select("_label", *features).collect()
-    mine, own = np.array([list(r)[1:] for r in picked], dtype="float64"), [r["_label"] for r in picked]
+    total = sum(sizes.values())
+    if total <= points:
+        return labelled, sizes
     kind = labelled.schema["_label"].dataType.simpleString()
+    least = min(LEAST_POINTS, points // len(sizes))
+    wanted = {c: max(-(-points * n // total), min(n, least)) for c, n in sizes.items()}
+    quota = labelled.sparkSession.createDataFrame(
+        [(c, w, min(1.0, (w + 6 * w ** 0.5 + 20) / sizes[c])) for c, w in wanted.items()],
+        f"_label {kind}, _wanted long, _below double")
+    near = (labelled.withColumn("_draw", unit_hash(keys, seed)).join(F.broadcast(quota), "_label")
+            .where(F.col("_draw") <= F.col("_below")))
+    order = Window.partitionBy("_label").orderBy("_draw", *keys)
+    return near.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= F.col("_wanted")), sizes
+
 
-    def distances(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict = {}
+def silhouette_euclid(df: DataFrame, features: Sequence[str], label: str, keys: Sequence[str],
+                      points: int = SILHOUETTE_POINTS, seed: int = 42) -> DataFrame:
+    """Mean silhouette with Euclidean distance: (silhouette, points, standard_error).
+
+    Up to ``points`` rows all are measured against all, and the error is zero. Of more
+    rows a sample of about that size is measured against itself, drawn from each cluster
+    in proportion to its size, but ``LEAST_POINTS`` at least; clusters then count by
+    their sizes, and the standard error is that of the stratified mean.
+    The sample is what the driver holds and every task gets, so its size bounds both;
+    each task measures a tile of its points.
+    """
+    spark = df.sparkSession
+    labelled = df.select(*keys, *features, F.col(label).alias("_label"))
+    chosen, sizes = _stratified(labelled, keys, points, seed)
+    rows = chosen.select("_label", *features).toPandas()
+    names = sorted(sizes)
+    number = rows["_label"].map({c: i for i, c in enumerate(names)}).to_numpy(dtype="int64")
+    order = np.argsort(number, kind="stable")
+    everyone, own = rows[list(features)].to_numpy(dtype="float64")[order], number[order]
+    count = np.bincount(own, minlength=len(names))
+    first = np.cumsum(count) - count
+    shared = spark.sparkContext.broadcast((everyone, own))
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        x, home = shared.value
         for batch in batches:
-            for name, part in batch.groupby("_label"):
-                x = np.ascontiguousarray(part[list(features)].to_numpy(dtype="float64"))
-                total = _distance_sums(mine, x, np.array([0]), np.array([len(x)]))[:, 0]
-                n, before = sums.get(name, (0, 0.0))
-                sums[name] = (n + len(x), before + total)
-        for name, (n, total) in sums.items():
-            yield pd.DataFrame({"cluster": name, "n": n, "point": np.arange(len(mine)), "total": total})
-
-    partial = labelled.select("_label", *features).mapInPandas(
-        distances, f"cluster {kind}, n long, point int, total double")
-    sums = partial.groupBy("point", "cluster").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-    owners = F.broadcast(spark.createDataFrame(list(enumerate(own)), f"point int, own {kind}"))
-    inside = F.col("cluster") == F.col("own")
-    scored = sums.join(owners, "point").groupBy("point").agg(
-        F.max(F.when(inside & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
-        F.min(F.when(~inside, F.col("total") / F.col("n"))).alias("b"))
-    top = F.greatest("a", "b")
-    score = F.when(F.col("a").isNull() | (top == 0), F.lit(0.0)).otherwise((F.col("b") - F.col("a")) / F.nullif(top, F.lit(0.0)))
-    return scored.agg(F.avg(score).alias("silhouette"), F.count(F.lit(1)).alias("points"))
+            for tile in batch["id"]:
+                part = slice(int(tile) * _TILE, (int(tile) + 1) * _TILE)
+                sums, mine = _distance_sums(x[part], x, first, count), home[part]
+                place = np.arange(len(mine))
+                inside = sums[place, mine] / np.maximum(count[mine] - 1, 1)
+                others = np.where(count > 0, sums / np.maximum(count, 1), np.inf)
+                others[place, mine] = np.inf
+                nearest = others.min(axis=1)
+                top = np.maximum(inside, nearest)
+                score = np.where((count[mine] > 1) & (top > 0), (nearest - inside) / np.where(top > 0, top, 1), 0.0)
+                yield pd.DataFrame({"cluster": mine, "score": score})
+
+    tiles = -(-len(everyone) // _TILE)
+    tasks = min(tiles, 4 * spark.sparkContext.defaultParallelism)
+    scored = spark.range(0, tiles, 1, tasks).mapInPandas(measure, "cluster long, score double").groupBy("cluster").agg(
+        F.avg("score").alias("mean"), F.coalesce(F.var_samp("score"), F.lit(0.0)).alias("var"), F.count("*").alias("m"))
+    share = F.broadcast(spark.createDataFrame([(i, sizes[c]) for i, c in enumerate(names)], "cluster long, n long"))
+    part = F.col("n") / F.lit(float(sum(sizes.values())))
+    return scored.join(share, "cluster").agg(
+        F.sum(part * F.col("mean")).alias("silhouette"), F.sum("m").alias("points"),
+        F.sqrt(F.sum(part * part * F.col("var") / F.col("m") * (1 - F.col("m") / F.col("n")))).alias("standard_error"))
 
 
 def quality_row(df: DataFrame, features: Sequence[str], label: str) -> dict:
@@ -231,19 +267,18 @@ def cluster_report(labelled: dict[str, DataFrame], features: Sequence[str], labe
                    keys: Sequence[str], points: int = SILHOUETTE_POINTS, seed: int = 42) -> DataFrame:
     """One row per model: clusters, rows, five quality metrics, and size and share of every cluster.
 
-    All rows enter the metrics. The silhouette uses Euclidean distance and is the mean
-    over ``points`` sampled rows, each measured against all rows. Models are evaluated
-    side by side.
+    All rows enter the metrics; the Euclidean silhouette and its standard error are those
+    of :func:`silhouette_euclid`. Models are evaluated side by side.
     """
     def evaluate(position: int, name: str, df: DataFrame) -> tuple:
         rows = cached(df.select(*keys, *features, label))
         try:
             row = quality_row(rows, features, label)
-            row["silhouette"], used = silhouette_euclid(rows, features, label, keys, points, seed).first()
+            row["silhouette"], used, error = silhouette_euclid(rows, features, label, keys, points, seed).first()
             sizes = [(r["cluster"], r["size"], r["share"]) for r in cluster_size_share(rows, label).collect()]
         finally:
             rows.unpersist()
-        return (position, name, row["k"], row["rows"], used, row["silhouette"], row["calinski_harabasz"],
+        return (position, name, row["k"], row["rows"], used, row["silhouette"], error, row["calinski_harabasz"],
                 row["davies_bouldin"], row["wssse"], row["entropy"], sorted(sizes))
 
     rows = in_parallel([lambda i=i, n=n, d=d: evaluate(i, n, d)
@@ -252,5 +287,5 @@ def cluster_report(labelled: dict[str, DataFrame], features: Sequence[str], labe
     kind = first.schema[label].dataType.simpleString()
     return first.sparkSession.createDataFrame(
         rows, "position int, model string, k long, n_rows long, silhouette_points long, silhouette double, "
-              "calinski_harabasz double, davies_bouldin double, wssse double, entropy double, "
+              "standard_error double, calinski_harabasz double, davies_bouldin double, wssse double, entropy double, "
               f"sizes array<struct<cluster:{kind},size:long,share:double>>")
