@@ -177,6 +177,22 @@ def test_ibans_anywhere_and_upper_case_masks():
         assert pii.redact(f"write {mask} soon") == "write <MASKED_EMAIL> soon"
 
 
+@pytest.mark.parametrize("part", ["http://a.b/x,", "://", "http://u:p@h/,", "@", "a@b", "[at]", "7", "1.2", "+4 ", "key=", "iban ", "x" * 50])
+def test_long_texts_take_time_by_their_length(part):
+    import time
+
+    text = part * (2_000_000 // len(part))
+    began = time.process_time()
+    pii.find_spans(text)
+    assert time.process_time() - began < 10
+
+
+def test_links_in_one_run_equal_links_apart():
+    text = "see ftp://a:b@c/d,https://x.y/z and ://q@ http://plain http://u@v://w"
+    assert [text[a:b] for k, a, b in pii.find_spans(text) if k == "url"] == [
+        "ftp://a:b@c/d,https://x.y/z", "http://u@v://w"]
+
+
 def test_long_secrets_go_whole():
     for n in (511, 512, 513, 800, 20_000):
         value = ("Ab3-_" * n)[:n]

@@ -129,7 +129,8 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     if not text:
         return []
-    email_end = dotted_end = number_end = value_end = value_start = digits_end = 0
+    email_end = dotted_end = number_end = value_end = value_start = digits_end = url_end = 0
+    last_at = -1
     for last, (kind, width) in anchors().iter(text):
         end = last + 1
         start = end - width
@@ -182,10 +183,12 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
             if m and a < b:
                 found["masked_email"].append((a, m.end()))
         elif kind == "url":
-            m = _URL.match(text, end)
+            if end >= url_end:  # else the anchor lies in a run that is known
+                url_end = m.end() if (m := _URL.match(text, end)) else end
+                last_at = text.rfind("@", end, url_end)
             a = _run(text, start, start, _SCHEME)[0]
-            if m and "@" in m.group() and (a < start or width > 3):
-                found["url"].append((a, m.end()))
+            if last_at >= end and (a < start or width > 3):
+                found["url"].append((a, url_end))
     return [(k, *span) for k in KINDS for span in sorted(set(found[k]))]
 
 
