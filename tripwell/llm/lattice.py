@@ -273,16 +273,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_column: str =
                             F.col(vector).cast("array<float>" if single else "array<double>").alias("vector"))
     good = F.col("vec_id").isNotNull() & usable(F.col("vector"))
     rows = picked.select("vec_id", "vector", *[F.when(good, F.xxhash64(F.lit(k), "vector")).alias(f"k{k}") for k in (1, 2)])
+    # A node stands for a vector, not for an id: different vectors may share one.
     reps = store(rows.where("k1 is not null").groupBy("k1", "k2").agg(
-        F.min("vec_id").alias("id"), F.count("*").alias("weight"), F.min("vector").alias("vector")), "representatives")
+        F.min("vec_id").alias("first_id"), F.count("*").alias("weight"), F.min("vector").alias("vector")).withColumn(
+        "id", F.monotonically_increasing_id()), "representatives")
     expanded = _expanded(reps.select("id", "weight", "vector"), settings, True)
     keys = _expanded(reps.select("id", "weight", "vector"), settings, False)
     found = store(_verified(_split_hot(expanded, keys, block), threshold, settings, "<f4" if single else "<f8"), "links")
     counts = found.groupBy("id").agg(F.sum("n").alias("others"))
-    roots = connected_components(found.where("root is not null"), "id", "root").withColumnRenamed("node", "id")
-    named = reps.select("k1", "k2", "id", "weight").join(counts, "id", "left").join(roots, "id", "left").select(
-        "k1", "k2", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("links"),
-        F.coalesce("root", "id").alias("component"))
+    roots = connected_components(found.where("root is not null"), "id", "root").withColumnsRenamed({"node": "id", "root": "top"})
+    rooted = reps.select("k1", "k2", "id", "first_id", "weight").join(counts, "id", "left").join(roots, "id", "left").select(
+        "k1", "k2", "first_id", F.coalesce("top", "id").alias("top"),
+        (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+    names = rooted.groupBy("top").agg(F.min("first_id").alias("component"))
+    named = rooted.join(names, "top").select("k1", "k2", "links", "component")
     result = rows.select("vec_id", "k1", "k2").join(named, ["k1", "k2"], "left")
     component = F.coalesce("component", "vec_id")
     return result.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
