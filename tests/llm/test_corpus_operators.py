@@ -305,17 +305,22 @@ def test_nearest_equals_brute_force(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 as dim", "2 as block")
     from pyspark.sql import functions as F
 
-    got = defaultdict(list)
-    for r in sorted(neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=20).collect(), key=lambda r: (r.query_id, r.rank)):
-        got[r.query_id].append((r.rank, r.vec_id, r.score))
-    exact = vectors.astype(np.float64)
-    assert set(got) == set(range(0, 700, 20))
-    for q in got:
-        scores = np.einsum("ij,j->i", exact, exact[q])
-        scores[q] = -np.inf
-        order = np.lexsort((np.arange(700), -scores))[:20]
-        assert [x[1] for x in got[q]] == order.tolist() and [x[0] for x in got[q]] == list(range(1, 21))
-        assert np.allclose([x[2] for x in got[q]], scores[order], rtol=1e-12)
+    rows += [(7, (vectors[20] * 3).tolist()), (7, (vectors[20] * 2).tolist()), (20, (-vectors[20]).tolist())]  # ids repeat
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").selectExpr("*", "1 as dim", "2 as block", "3 as `row`")
+    found = [tuple(r) for r in neighbours.nearest(df, F.col("vec_id") % 20 == 0, k=20).collect()]
+    fit = [(i, np.array(v, float)) for i, v in rows
+           if i is not None and v and None not in v and np.isfinite(np.array(v, float)).all() and any(v)]
+    want = []
+    for q, (query, x) in enumerate(fit):
+        if query % 20 == 0:
+            scores = sorted((-float(x @ v), i) for c, (i, v) in enumerate(fit) if c != q and len(v) == len(x))
+            want += [(query, rank, i, -s) for rank, (s, i) in enumerate(scores[:20], 1)]
+    assert len(found) == len(want)
+    for f, w in zip(sorted(found), sorted(want)):
+        assert f[:2] == w[:2] and np.isclose(f[3], w[3], rtol=1e-9)
+    # Where several rows tie in double precision the smaller id comes first.
+    first = [f[2] for f in sorted(found) if f[0] == 40][:20]
+    assert first == [w[2] for w in sorted(want) if w[0] == 40]
     assert neighbours.nearest(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
 
 
@@ -357,6 +362,15 @@ def test_links_against_brute_force(spark):
     assert lattice.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_links_of_different_vectors_under_one_id(spark):
+    a, b = [1.0] * 16 + [0.0] * 16, [0.0] * 16 + [1.0] * 16
+    near_a = [1.01] * 16 + [0.0] * 16
+    df = spark.createDataFrame([(5, a), (5, b), (9, near_a), (5, near_a), (7, b)], "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in lattice.near_duplicates(df).collect())
+    # a, and near_a twice, are one class; b twice another: both hold the id 5
+    assert got == [(5, 1, 5, True), (5, 2, 5, True), (5, 2, 5, True), (7, 1, 5, False), (9, 2, 5, False)]
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(12)
     x = rng.standard_normal((1500, 64))

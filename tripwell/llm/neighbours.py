@@ -9,8 +9,8 @@ the k-th best go; the others are recomputed in double precision on the original
 vectors and enter the query's heap. The heaps of the lanes are merged at the end.
 No pair is lost: the result is exact.
 
-``vec_id`` names a vector: of rows that repeat an id the smallest vector counts.
-Vectors that are null, empty, zero, or hold null or non-finite components, and those
+Every row is a vector of its own, also where ids repeat: it is a candidate for all but
+itself, and as a query it has ranks of its own under its id. Vectors that are null, empty, zero, or hold null or non-finite components, and those
 without an id, take no part. Vectors of different length are never compared. Ties go
 to the smaller id.
 """
@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tripwell.sources.storage import store
+
 BLOCK, QUERY_BLOCK = 4096, 1024
 _EXACT_DIM = 1 << 24
 
@@ -46,19 +48,19 @@ def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 class QueryBlock:
     """The best ``k`` of every query of a block, over the candidate blocks shown so far."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.ids, self.vectors, self.k = ids, vectors, k
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray, k: int):
+        self.ids, self.rows, self.vectors, self.k = ids, rows, vectors, k
         self.values, self.scale, self.length, self.miss = quantise(vectors)
         self.heaps: list[list[tuple[float, int]]] = [[] for _ in ids]
         self.least = np.full(len(ids), -np.inf)
 
-    def show(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def show(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray) -> None:
         values, scale, length, miss = quantise(vectors)
         kind = np.float32 if vectors.shape[1] * 127 * 127 < _EXACT_DIM else np.float64
         near = (self.values.astype(kind) @ values.astype(kind).T) * self.scale[:, None] * scale[None, :]
         off = self.miss[:, None] * (length + miss)[None, :] + self.length[:, None] * miss[None, :]
         off += 1e-9 * (self.length + self.miss)[:, None] * (length + miss)[None, :] + 1e-300
-        own = self.ids[:, None] == ids[None, :]
+        own = self.rows[:, None] == rows[None, :]
         low = np.where(own, -np.inf, near - off)
         floor = self.least
         if len(ids) > self.k:
@@ -85,22 +87,23 @@ class QueryBlock:
                 self.least[i] = heap[0][0]
 
     def best(self) -> pa.RecordBatch:
-        rows = [(q, -minus, s) for q, heap in zip(self.ids.tolist(), self.heaps) for s, minus in heap]
-        q, c, s = zip(*rows) if rows else ((), (), ())
-        return pa.RecordBatch.from_pydict({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(c, pa.int64()),
-                                           "score": pa.array(s, pa.float64())})
+        found = [(q, r, -minus, s) for q, r, heap in zip(self.ids.tolist(), self.rows.tolist(), self.heaps) for s, minus in heap]
+        q, r, c, s = zip(*found) if found else ((), (), (), ())
+        return pa.RecordBatch.from_pydict({"query_id": pa.array(q, pa.int64()), "query_row": pa.array(r, pa.int64()),
+                                           "vec_id": pa.array(c, pa.int64()), "score": pa.array(s, pa.float64())})
 
 
 def _packed(rows: DataFrame, block: Column) -> DataFrame:
-    """One row per block: its ids and its vectors, one after the other."""
+    """One row per block: its ids, row numbers and vectors, one after the other."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(key, ids, parts):
+        def made(key, ids, numbers, parts):
             return pa.RecordBatch.from_pydict({
                 "dim": pa.array([key[0]], pa.int32()), "block": pa.array([key[1]], pa.int64()),
                 "ids": pa.array([np.concatenate(ids).tobytes()], pa.binary()),
+                "rows": pa.array([np.concatenate(numbers).tobytes()], pa.binary()),
                 "vectors": pa.array([np.concatenate(parts).tobytes()], pa.binary())})
 
-        key, ids, parts = None, [], []
+        key, ids, numbers, parts = None, [], [], []
         for batch in batches:
             dims, blocks = (batch.column(c).to_numpy() for c in ("dim", "block"))
             cuts = [0, *(np.flatnonzero((np.diff(dims) != 0) | (np.diff(blocks) != 0)) + 1).tolist(), len(dims)]
@@ -109,17 +112,18 @@ def _packed(rows: DataFrame, block: Column) -> DataFrame:
                     continue
                 now = (int(dims[a]), int(blocks[a]))
                 if key is not None and now != key:
-                    yield made(key, ids, parts)
-                    ids, parts = [], []
+                    yield made(key, ids, numbers, parts)
+                    ids, numbers, parts = [], [], []
                 key = now
                 ids.append(batch.column("vec_id")[a:b].to_numpy())
+                numbers.append(batch.column("row")[a:b].to_numpy())
                 parts.append(batch.column("vector")[a:b].flatten().to_numpy())
         if key is not None:
-            yield made(key, ids, parts)
+            yield made(key, ids, numbers, parts)
 
-    dealt = rows.withColumn("block", block).repartition("dim", "block").sortWithinPartitions("dim", "block", "vec_id")
-    return dealt.select("dim", "block", "vec_id", "vector").mapInArrow(
-        run, "dim int, block long, ids binary, vectors binary")
+    dealt = rows.withColumn("block", block).repartition("dim", "block").sortWithinPartitions("dim", "block", "vec_id", "row")
+    return dealt.select("dim", "block", "vec_id", "row", "vector").mapInArrow(
+        run, "dim int, block long, ids binary, rows binary, vectors binary")
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec_id",
@@ -130,8 +134,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
     """
     spark = vectors.sparkSession
     picked = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
-    rows = picked.where(F.col("vec_id").isNotNull() & usable(F.col("vector"))).groupBy("vec_id").agg(
-        F.min("vector").alias("vector")).withColumn("dim", F.size("vector"))
+    usable_rows = picked.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
+    # Stored, so that queries and candidates read the same row numbers.
+    rows = store(usable_rows.withColumn("row", F.monotonically_increasing_id()), "vectors").withColumn("dim", F.size("vector"))
     sizes = rows.groupBy("dim").agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).collect()
     schema = "query_id long, rank int, vec_id long, score double"
     if not any(r.q for r in sizes):
@@ -144,34 +149,34 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str =
     def looked_up(values: dict[int, int]) -> Column:
         return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])[F.col("dim")]
 
-    hashed = F.xxhash64("vec_id")
+    hashed = F.xxhash64("row")
     wanted = rows.where(F.col("dim").isin(*query_blocks))
     candidates = _packed(wanted, F.pmod(hashed, looked_up(candidate_blocks)).cast("long")).select(
         "dim", F.explode(F.sequence(F.lit(0), looked_up(query_blocks) - 1)).alias("query_block"),
-        F.pmod("block", looked_up(lanes)).cast("int").alias("lane"), F.lit(1).alias("kind"), "block", "ids", "vectors")
+        F.pmod("block", looked_up(lanes)).cast("int").alias("lane"), F.lit(1).alias("kind"), "block", "ids", "rows", "vectors")
     queries = _packed(wanted.where(is_query), F.pmod(hashed, looked_up(query_blocks)).cast("long")).select(
         "dim", F.col("block").cast("int").alias("query_block"),
-        F.explode(F.sequence(F.lit(0), looked_up(lanes) - 1)).alias("lane"), F.lit(0).alias("kind"), "block", "ids", "vectors")
+        F.explode(F.sequence(F.lit(0), looked_up(lanes) - 1)).alias("lane"), F.lit(0).alias("kind"), "block", "ids", "rows", "vectors")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, block = None, None
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("dim", "query_block", "lane", "kind")]
             for i, (dim, query_block, lane, kind) in enumerate(zip(*columns)):
-                ids = np.frombuffer(batch.column("ids")[i].as_py(), np.int64)
+                ids, numbers = (np.frombuffer(batch.column(c)[i].as_py(), np.int64) for c in ("ids", "rows"))
                 found = np.frombuffer(batch.column("vectors")[i].as_py(), np.float64).reshape(-1, dim)
                 if kind == 0:
                     if block is not None:
                         yield block.best()
-                    key, block = (dim, query_block, lane), QueryBlock(ids, found, k)
+                    key, block = (dim, query_block, lane), QueryBlock(ids, numbers, found, k)
                 elif key == (dim, query_block, lane):
-                    block.show(ids, found)
+                    block.show(ids, numbers, found)
         if block is not None:
             yield block.best()
 
     met = queries.union(candidates).repartition("dim", "query_block", "lane").sortWithinPartitions(
         "dim", "query_block", "lane", "kind", "block")
-    best = met.mapInArrow(search, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = met.mapInArrow(search, "query_id long, query_row long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
