@@ -15,6 +15,7 @@ the end id. Nothing but range bounds reaches the driver.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -31,8 +32,8 @@ from tripwell.sources.storage import store
 LENGTH = 2048
 END_ID = 1
 DIMENSIONS, BITS, BUCKETS = 3, 16, 4096
-CACHED_WORDS, CACHED_CHARS = 200_000, 60
-BATCH_CHARS = 1_000_000
+CACHED_WORDS, CACHED_CHARS = 500_000, 60
+BATCH_CHARS = 1_500_000
 
 # A run of Latin letters or of marks with a certain end, or else the rest of the word.
 _PIECE = re.compile("[a-zß-öø-ÿ]++(?![^\\x00-\\x7f])|[!-&(-/:-@\\[-`{-~]++(?![^\\x00-\\x7f]|['\\x00-\\x08\\x0e-\\x1f\\x7f])"
@@ -157,18 +158,25 @@ def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
     return key.astype(np.int64)
 
 
-def _projection() -> np.ndarray:
-    return np.random.default_rng(20).standard_normal((BUCKETS, DIMENSIONS))
+@functools.cache
+def _projection() -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of every id below 65536, and the random rows of the buckets."""
+    return _bucket(np.arange(1 << 16)), np.random.default_rng(20).standard_normal((BUCKETS, DIMENSIONS))
+
+
+def _bucket(ids: np.ndarray) -> np.ndarray:
+    return ((ids.astype(np.uint64) * np.uint64(0x9E3779B1) >> np.uint64(7)) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 def curve_keys(documents: list[np.ndarray]) -> np.ndarray:
     """Hilbert key of every document's hashed and projected vector of token presences."""
-    rows = _projection()
+    buckets, rows = _projection()
     points = np.zeros((len(documents), DIMENSIONS))
     for i, ids in enumerate(documents):
-        present = np.bincount((ids.astype(np.uint64) * np.uint64(0x9E3779B1) >> np.uint64(7)).astype(np.int64)
-                              % BUCKETS, minlength=BUCKETS) > 0
-        points[i] = present @ rows / np.sqrt(max(1, present.sum()))
+        present = np.zeros(BUCKETS, bool)
+        present[buckets[ids] if ids.itemsize == 2 else _bucket(ids)] = True
+        held = np.flatnonzero(present)
+        points[i] = rows[held].sum(axis=0) / np.sqrt(max(1, len(held)))
     cells = (np.tanh(points / 2) + 1) / 2 * ((1 << BITS) - 1)
     return hilbert_index(cells.astype(np.int64), BITS)
 
