@@ -56,6 +56,37 @@ def test_metrics_are_replaced_by_the_first_block_and_appended_after(spark, tmp_p
     assert spark.read.parquet(path).count() == 5
 
 
+def test_metrics_runs_survive_repeats_and_cuts(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    blocks = [spark.range(2), spark.range(3), spark.range(4)]
+
+    class Lost(Exception):
+        pass
+
+    class Failing:
+        """A block whose write never starts."""
+
+        def __getattr__(self, name):
+            raise Lost
+
+    def seen(run=None):
+        return sorted((r["run"], r["block"], r["id"]) for r in sinks.read_metrics_runs(spark, path, run).collect())
+
+    want = [("007", i, j) for i, n in enumerate((2, 3, 4)) for j in range(n)]
+    sinks.append_metrics_run(blocks, path, "007")
+    assert seen() == want
+    sinks.append_metrics_run(blocks, path, "007")
+    assert seen() == want
+    for cut in (1, 2):  # killed between blocks: not seen, and the next try completes it
+        with pytest.raises(Lost):
+            sinks.append_metrics_run([*blocks[:cut], Failing()], path, "b")
+        assert seen() == want
+    sinks.append_metrics_run(blocks[:2], path, "b")
+    assert seen("b") == [("b", i, j) for i, n in enumerate((2, 3)) for j in range(n)] and seen("007") == want
+    with pytest.raises(ValueError):
+        sinks.append_metrics_run([], path, "c")
+
+
 def test_csv_extract_is_one_ordered_file(spark, tmp_path):
     path = tmp_path / "extract"
     sinks.sink_csv_extract(spark.range(50).repartition(4).withColumnRenamed("id", "n"), str(path), ["n"])

@@ -214,7 +214,8 @@ def sink_json_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_metrics_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = [rounded(cluster_size_share(labelled(spark, sf_dir, k), "cluster"), "share")
               .select(F.lit(f"k={k}").alias("model"), "*") for k in sorted(ANCHORS)]
-    return spark.read.parquet(sinks.sink_metrics_append(blocks, new_path(spark, "sink-metrics")))
+    path = sinks.append_metrics_run(blocks, new_path(spark, "sink-metrics"), "1")
+    return sinks.read_metrics_runs(spark, path, "1").drop("run", "block")
 
 
 @query("model_save_load")

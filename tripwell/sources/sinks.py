@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripwell.operators.bounded import is_small
 
@@ -43,6 +44,31 @@ def sink_metrics_append(blocks: list[DataFrame], path: str) -> str:
     return path
 
 
+def append_metrics_run(blocks: list[DataFrame], path: str, run: str) -> str:
+    """The blocks of one evaluation run, which readers see once all of them are written.
+
+    Each block has a folder of its own, which a repeated call replaces, and the run's
+    marker comes last. So neither a repeated run nor one that was cut off and started
+    again doubles or loses a block, and other runs stay as they are.
+    """
+    if not blocks:
+        raise ValueError("a run needs at least one block")
+    for i, block in enumerate(blocks):
+        _few_files(block).write.mode("overwrite").parquet(f"{path}/blocks/run=r-{run}/block={i}")
+    marker = blocks[0].sparkSession.createDataFrame([(f"r-{run}", len(blocks))], "run string, blocks int")
+    marker.coalesce(1).write.mode("overwrite").json(f"{path}/commits/run-{run}")
+    return path
+
+
+def read_metrics_runs(spark: SparkSession, path: str, run: str | None = None) -> DataFrame:
+    """Rows of all finished runs, or of one, with the columns ``run`` and ``block``."""
+    commits = spark.read.schema("run string, blocks int").json(f"{path}/commits/*")
+    rows = spark.read.option("mergeSchema", "true").parquet(f"{path}/blocks").alias("rows")
+    found = rows.join(commits.alias("commits"), F.expr("rows.run = commits.run and rows.block < commits.blocks"), "left_semi")
+    found = found.withColumn("run", F.substring("run", 3, 1 << 20))
+    return found if run is None else found.where(F.col("run") == run)
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path
