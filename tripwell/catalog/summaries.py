@@ -128,8 +128,9 @@ def _quality_sql(tier: str, source: str, column: str) -> str:
     for c in _PROFILED))
 def null_outlier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     typed = cast_double_columns(bronze(spark, sf_dir).select(*_PROFILED), _PROFILED)
-    raw = aggregates.quality_profile(typed, _PROFILED, "raw")
-    refined = aggregates.quality_profile(silver(spark, sf_dir), _PROFILED, "silver")
+    refined_rows = silver(spark, sf_dir)
+    raw, refined = in_parallel([lambda: aggregates.quality_profile(typed, _PROFILED, "raw"),
+                                lambda: aggregates.quality_profile(refined_rows, _PROFILED, "silver")])
     return rounded(raw.unionByName(refined), "clip_lower", "clip_upper")
 
 

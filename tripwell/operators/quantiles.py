@@ -1,10 +1,12 @@
 """Exact quantiles by narrowing brackets around the wanted ranks.
 
-A sort or a value buffer would bring a whole column together somewhere. Here a
-round is one aggregation: approximate percentiles, whose rank error is bounded,
-propose a bracket around each rank, and the next round counts what lies below and
-inside. A bracket holds about a thousandth of its predecessor, whatever the scale
-of the values. Once few enough values are left inside, they are counted by value.
+A sort or a value buffer would bring a whole column together somewhere. Here the
+first pass takes counts, extremes and one mergeable sketch per column, whose rank
+error is bounded; its percentiles propose a bracket around each rank. The second
+pass counts what lies below and inside. A bracket holds about a thousandth of the
+rows, whatever the scale of the values. Once few enough values are left inside, the
+third pass counts them by value; larger brackets are narrowed again first. The
+number of passes does not depend on the number of columns or probabilities.
 Infinite values take their ranks at either end without entering a bracket.
 """
 
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ACCURACY = 10_000
+SLACK = 4 / ACCURACY
 MAX_VALUES = 20_000
 
 
@@ -39,23 +42,38 @@ def _inside(b: _Bracket):
     return (F.col(b.column) >= F.lit(b.lo)) & (F.col(b.column) <= F.lit(b.hi))
 
 
+def _alike(brackets: list[_Bracket]) -> list[list[_Bracket]]:
+    """Brackets by what they span, so that neighbouring ranks share their aggregates."""
+    groups: dict[tuple, list[_Bracket]] = {}
+    for b in brackets:
+        groups.setdefault((b.column, b.lo, b.hi), []).append(b)
+    return list(groups.values())
+
+
 def _propose(df: DataFrame, brackets: list[_Bracket]) -> None:
     """Shrink open brackets by approximate percentiles of what they hold, keeping the rank inside."""
-    slack = 4 / ACCURACY
-    shares = [[max(0.0, (b.rank - b.below) / max(1, b.inside - 1) - slack),
-               min(1.0, (b.rank - b.below) / max(1, b.inside - 1) + slack)] for b in brackets]
-    row = df.agg(*[F.percentile_approx(F.when(_inside(b), F.col(b.column)), s, F.lit(ACCURACY)).alias(f"p{i}")
-                   for i, (b, s) in enumerate(zip(brackets, shares))]).first()
-    before = [(b.lo, b.hi, b.below, b.inside) for b in brackets]
-    for i, (b, s) in enumerate(zip(brackets, shares)):
-        b.lo = b.lo if s[0] == 0 else row[f"p{i}"][0]
-        b.hi = b.hi if s[1] == 1 else row[f"p{i}"][1]
-    counts = df.agg(*[x for i, b in enumerate(brackets) for x in (
-        F.count(F.when(F.col(b.column) < F.lit(b.lo), 1)).alias(f"u{i}"),
-        F.count(F.when(_inside(b), 1)).alias(f"n{i}"))]).first()
-    for i, (b, old) in enumerate(zip(brackets, before)):
+    groups = _alike(brackets)
+    shares = [[max(0.0, min(b.rank - b.below for b in g) / max(1, g[0].inside - 1) - SLACK),
+               min(1.0, max(b.rank - b.below for b in g) / max(1, g[0].inside - 1) + SLACK)] for g in groups]
+    row = df.agg(*[F.percentile_approx(F.when(_inside(g[0]), F.col(g[0].column)), s, F.lit(ACCURACY)).alias(f"p{i}")
+                   for i, (g, s) in enumerate(zip(groups, shares))]).first()
+    _narrow(df, [(b, b.lo if s[0] == 0 else row[f"p{i}"][0], b.hi if s[1] == 1 else row[f"p{i}"][1])
+                 for i, (g, s) in enumerate(zip(groups, shares)) for b in g])
+
+
+def _narrow(df: DataFrame, proposals: list[tuple[_Bracket, float, float]]) -> None:
+    """Count below and inside the proposed bounds; a rank outside them keeps the other part of its bracket."""
+    before = {id(b): (b.lo, b.hi, b.below, b.inside) for b, _, _ in proposals}
+    for b, lo, hi in proposals:
+        b.lo, b.hi = lo, hi
+    groups = _alike([b for b, _, _ in proposals])
+    counts = df.agg(*[x for i, g in enumerate(groups) for x in (
+        F.count(F.when(F.col(g[0].column) < F.lit(g[0].lo), 1)).alias(f"u{i}"),
+        F.count(F.when(_inside(g[0]), 1)).alias(f"n{i}"))]).first()
+    for i, b in [(i, b) for i, g in enumerate(groups) for b in g]:
+        old = before[id(b)]
         b.below, b.inside = counts[f"u{i}"], counts[f"n{i}"]
-        if b.rank < b.below:  # outside the stated error: take the other part of the old bracket
+        if b.rank < b.below:
             b.lo, b.hi, b.below, b.inside = old[0], math.nextafter(b.lo, -math.inf), old[2], b.below - old[2]
         elif b.rank >= b.below + b.inside:
             b.lo, b.below, b.inside = (math.nextafter(b.hi, math.inf), b.below + b.inside,
@@ -65,16 +83,22 @@ def _propose(df: DataFrame, brackets: list[_Bracket]) -> None:
 
 def _finish(df: DataFrame, brackets: list[_Bracket]) -> None:
     """Count the few values inside by value and pick the rank's one."""
+    groups = _alike(brackets)
     cells = F.array_compact(F.array(*[
-        F.when(_inside(b), F.struct(F.lit(i).alias("bracket"), F.col(b.column).alias("v"))) for i, b in enumerate(brackets)]))
-    rows = df.select(F.explode(cells).alias("c")).groupBy("c.bracket", "c.v").count().collect()
-    for i, b in enumerate(brackets):
-        at = b.below
-        for r in sorted((r for r in rows if r["bracket"] == i), key=lambda r: r["v"]):
-            at += r["count"]
-            if b.rank < at:
-                b.lo = b.hi = r["v"]
-                break
+        F.when(_inside(g[0]), F.struct(F.lit(i).alias("bracket"), F.col(g[0].column).alias("v")))
+        for i, g in enumerate(groups)]))
+    held: dict[int, list] = {}
+    for r in df.select(F.explode(cells).alias("c")).groupBy("c.bracket", "c.v").count().collect():
+        held.setdefault(r["bracket"], []).append((r["v"], r["count"]))
+    for i, g in enumerate(groups):
+        values = sorted(held[i])
+        for b in g:
+            at = b.below
+            for v, n in values:
+                at += n
+                if b.rank < at:
+                    b.lo = b.hi = v
+                    break
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str],
@@ -85,13 +109,16 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
     """
     usable = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
     finite = {c: F.when(F.abs(c) < F.lit(math.inf), F.col(c)) for c in columns}
+    shares = [min(1.0, max(0.0, p + s)) for p in probabilities for s in (-SLACK, SLACK)]
     bounds = usable.agg(*[f for i, c in enumerate(columns) for f in (
+        *([F.percentile_approx(finite[c], shares, F.lit(ACCURACY)).alias(f"p{i}")] if shares else []),
         F.count(F.when(F.col(c) == F.lit(-math.inf), 1)).alias(f"under{i}"), F.count(finite[c]).alias(f"n{i}"),
         F.count(c).alias(f"all{i}"), F.min(finite[c]).alias(f"lo{i}"), F.max(finite[c]).alias(f"hi{i}"))]).first()
     brackets: dict[tuple[str, int], _Bracket] = {}
+    proposals: dict[tuple[str, int], tuple[_Bracket, float, float]] = {}
     for i, c in enumerate(columns):
         under, n = bounds[f"under{i}"], bounds[f"n{i}"]
-        for p in probabilities if bounds[f"all{i}"] else ():
+        for j, p in enumerate(probabilities if bounds[f"all{i}"] else ()):
             position = p * (bounds[f"all{i}"] - 1)
             for rank in {math.floor(position), math.ceil(position)}:
                 if rank < under:
@@ -100,8 +127,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
                     lo = hi = math.inf
                 else:
                     lo, hi = bounds[f"lo{i}"], bounds[f"hi{i}"]
-                brackets[c, rank] = _Bracket(c, rank - under, lo, hi, 0, n)
+                if (c, rank) in brackets:
+                    continue
+                brackets[c, rank] = b = _Bracket(c, rank - under, lo, hi, 0, n)
+                if b.open and n == bounds[f"all{i}"]:  # the sketch's shares are those of all values
+                    low, high = bounds[f"p{i}"][2 * j:2 * j + 2]
+                    proposals[c, rank] = (b, lo if shares[2 * j] == 0 else low, hi if shares[2 * j + 1] == 1 else high)
     numbers = usable.select(*[finite[c].alias(c) for c in columns])
+    if proposals:
+        _narrow(numbers, list(proposals.values()))
     while open_brackets := [b for b in brackets.values() if b.open]:
         few = [b for b in open_brackets if b.inside <= MAX_VALUES]
         if few:
