@@ -136,14 +136,58 @@ def test_shapley_values_of_a_linear_model_are_exact(rows):
         assert sampled[r["id"], r["feature_name"]] == pytest.approx(r["contribution"], abs=1e-6)
 
 
-def test_local_surrogate_finds_linear_weights(rows):
-    model = regression.fit_pipeline(rows, FEATURES, regression.ordinary_least_squares())
+def bin_of(value, edges):
+    return int(np.searchsorted(edges, value, side="left"))
+
+
+def test_local_surrogate_equals_a_plain_twin(rows, forest):
     row = ranking.argmax_row(rows, "fare_amount", ["id"])
-    weights = dict(explain.local_surrogate(model, row, rows, FEATURES, ["id"], samples=2000))
-    spread = rows.agg(*[F.stddev_pop(f).alias(f) for f in FEATURES]).first()
-    assert weights["trip_distance"] == pytest.approx(2.5 * spread["trip_distance"], rel=0.02)
-    assert weights["trip_duration_min"] == pytest.approx(0.5 * spread["trip_duration_min"], rel=0.02)
-    assert list(weights)[0] == "trip_distance"
+    bins = explain.quartile_bins(rows, FEATURES)
+    table = rows.select(*FEATURES).toPandas()
+    here = {f: float(x) for f, x in row.select(*FEATURES).first().asDict().items()}
+    draws = explain.perturbations(row, bins, ["id"], 1500, 42)
+    got = draws.orderBy("_sample").toPandas()
+    for f in FEATURES:
+        edges = sorted(set(np.quantile(table[f], [0.25, 0.5, 0.75])))
+        held = np.searchsorted(edges, table[f], side="left")
+        assert bins[f].edges == pytest.approx(edges)
+        assert bins[f].shares == pytest.approx([(held == b).mean() for b in range(len(edges) + 1)])
+        drawn = np.searchsorted(edges, got[f], side="left")
+        assert np.bincount(drawn[1:], minlength=len(edges) + 1) / 1499 == pytest.approx(bins[f].shares, abs=0.05)
+        assert (got[f"z_{f}"] == (drawn == bin_of(here[f], edges))).all() and got[f][0] == here[f]
+    z, w = got[[f"z_{f}" for f in FEATURES]].to_numpy(), got["_weight"].to_numpy()
+    assert w == pytest.approx(np.sqrt(np.exp(-((1 - z) ** 2).sum(axis=1) / (0.75 * np.sqrt(3)) ** 2)))
+    y = forest.transform(draws).orderBy("_sample").toPandas()["prediction"].to_numpy()
+    for top in (3, 10, 2):
+        def fit(chosen, penalty):  # weighted ridge with an intercept, as stacked least squares
+            a = np.column_stack([np.ones(len(y)), z[:, chosen]]) * np.sqrt(w)[:, None]
+            extra = np.sqrt(penalty) * np.eye(len(chosen) + 1)[1:]
+            return np.linalg.lstsq(np.vstack([a, extra]), np.concatenate([y * np.sqrt(w), np.zeros(len(chosen))]), rcond=None)[0]
+        chosen = []
+        while top <= 6 and len(chosen) < top:
+            def miss(j):
+                b = fit([*chosen, j], 0.0)
+                return (w * (y - b[0] - z[:, [*chosen, j]] @ b[1:]) ** 2).sum()
+            chosen.append(min((j for j in range(3) if j not in chosen), key=miss))
+        chosen = chosen or [0, 1, 2]
+        want = dict(zip((FEATURES[j] for j in chosen), fit(chosen, 1.0)[1:]))
+        found = explain.local_surrogate(forest, row, rows, FEATURES, ["id"], samples=1500, top=top)
+        assert {f: x for f, _, x in found} == pytest.approx(want, rel=1e-6, abs=1e-8)
+        assert found[0][0] == "trip_distance" and found[0][1].startswith("trip_distance > ")
+        assert [abs(x) for _, _, x in found] == sorted((abs(x) for _, _, x in found), reverse=True)
+
+
+def test_quartile_bins_of_awkward_features(spark):
+    df = spark.createDataFrame([(1.0, 5.0, None), (1.0, 5.0, 2.0), (1.0, 5.0, float("nan")), (9.0, 5.0, 4.0)], "a double, b double, c double")
+    bins = explain.quartile_bins(df, ["a", "b", "c"])
+    assert bins["a"].edges == [1.0, 3.0] and bins["a"].shares == [0.75, 0.0, 0.25]
+    assert bins["b"].edges == [5.0] and bins["b"].shares == [1.0, 0.0]
+    assert sum(bins["c"].shares) == 1.0 and bins["c"].named("c", 0) == "c <= 2.50"
+    row = df.limit(1).select(F.lit(1).alias("id"), "a", "b", F.lit(2.0).alias("c"))
+    drawn = explain.perturbations(row, bins, ["id"], 200, 1).toPandas()
+    assert set(drawn["a"]) == {1.0, 9.0} and set(drawn["b"]) == {5.0} and set(drawn["c"]) == {2.0, 4.0}
+    with pytest.raises(ValueError):
+        explain.quartile_bins(df.filter("c is null"), ["c"])
 
 
 def test_histogram_edges(spark):

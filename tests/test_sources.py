@@ -32,6 +32,29 @@ def test_csv_inference(spark, tmp_path):
     assert dict(readers.scan_csv_header(spark, str(path)).dtypes) == {"a": "string", "b": "string"}
 
 
+def test_csv_inference_merges_kinds_in_any_order(spark, tmp_path):
+    columns = {"small": ["1", "-2", ""], "long": ["3000000000", "1", "2"], "whole": ["1", "123456789012345678901", ""],
+               "real": ["1", "1e3", "-Inf"], "day": ["2024-01-31", "", "2024-02-29"], "stamp": ["2024-01-31 10:00:00", "2024-02-01", ""],
+               "truth": ["true", "False", ""], "mixed": ["1", "true", "x"], "late.day": ["2024-02-30", "2024-01-01", ""],
+               "none": ["", "", ""], "wide": ["1", "9" * 40, "2"]}
+    want = {"small": "int", "long": "bigint", "whole": "decimal(38,0)", "real": "double", "day": "date", "stamp": "timestamp",
+            "truth": "boolean", "mixed": "string", "late.day": "string", "none": "string", "wide": "double"}
+    for order in ((0, 1, 2), (2, 1, 0), (1, 2, 0)):
+        folder = tmp_path / "".join(map(str, order))
+        folder.mkdir()
+        for k in order:  # one file a line, so that kinds of several tasks meet
+            (folder / f"{k}.csv").write_text(",".join(columns) + "\n" + ",".join(c[k] for c in columns.values()) + "\n")
+        df = readers.scan_csv_infer(spark, str(folder), str(tmp_path / f"typed{order[0]}"))
+        assert dict(df.dtypes) == want
+        rows = df.collect()
+        assert sorted(r["real"] for r in rows) == [float("-inf"), 1.0, 1000.0]
+        assert sorted((r["small"] for r in rows), key=str) == [-2, 1, None]
+    blank = tmp_path / "blank.csv"
+    blank.write_text("a,b\n")
+    empty = readers.scan_csv_infer(spark, str(blank))
+    assert dict(empty.dtypes) == {"a": "string", "b": "string"} and empty.count() == 0
+
+
 def test_imposed_schema_reads_nanosecond_timestamps(spark, tmp_path):
     path = str(tmp_path / "nanos.parquet")
     table = pa.table({"t": pa.array([1_000_000_123], pa.timestamp("ns")), "f": pa.array([1.5], pa.float32()),

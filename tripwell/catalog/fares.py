@@ -278,5 +278,5 @@ def local_surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = model_rows(spark, sf_dir)
     chosen = ranking.argmax_row(rows, LABEL, KEYS)
     weights = explain.local_surrogate(stored_forest(spark, sf_dir), chosen, rows, FEATURES, KEYS)
-    return spark.createDataFrame([(i + 1, n, w) for i, (n, w) in enumerate(weights)],
-                                 "rank int, feature_name string, weight double")
+    return spark.createDataFrame([(i + 1, n, c, w) for i, (n, c, w) in enumerate(weights)],
+                                 "rank int, feature_name string, condition string, weight double")

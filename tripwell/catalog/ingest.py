@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripwell.catalog.registry import query
 from tripwell.catalog.trips import (
-    ANCHORS, KEYS, PREDICTED_SQL, SILVER_SQL, TRIP_COLUMNS, TRIPS_SQL, ZONES_SQL, bronze, labelled,
+    ANCHORS, INTEGERS, KEYS, PREDICTED_SQL, SILVER_SQL, TRIP_COLUMNS, TRIPS_SQL, ZONES_SQL, bronze, labelled,
     label_sql, once, predicted, silver, spread, sql_unit, text_columns, text_columns_sql, trips, zones)
 from tripwell.operators.aggregates import hourly_stats
 from tripwell.operators.bootstrap import rmse_bootstrap_ci
@@ -118,7 +118,15 @@ def scan_csv_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.scan_csv_header(spark, zone_csv(spark, sf_dir))
 
 
-@query("scan_csv_infer")
+# What the inference finds in the trip file: whole numbers, decimals, and text (12-hour stamps stay text).
+_WHOLE = {*KEYS, *INTEGERS, "PULocationID", "DOLocationID"}
+_KEPT_TEXT = {"tpep_pickup_datetime", "tpep_dropoff_datetime", "store_and_fwd_flag"}
+_INFERRED = ", ".join(
+    f"cast(nullif(cast({c} as varchar), '') as {'integer' if c in _WHOLE else 'varchar' if c in _KEPT_TEXT else 'double'}) as {c}"
+    for c in FIELDS)
+
+
+@query("scan_csv_infer", f"with {TRIPS_SQL}, texts as ({text_columns_sql('trips')}) select {_INFERRED} from texts")
 def scan_csv_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.scan_csv_infer(spark, trip_csv(spark, sf_dir))
 

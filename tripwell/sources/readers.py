@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripwell.sources.storage import new_path
+
 
 def scan_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """Every line of the file(s) as one string column ``value``."""
@@ -60,13 +62,57 @@ def scan_csv_header(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", "true").csv(path)
 
 
-def scan_csv_infer(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header line and inferred types.
+# Kinds of text a column may hold, as bits: a union of kinds is the bitwise or, in any order.
+INT, LONG, WHOLE, REAL, DATE, STAMP, TRUTH, TEXT = (1 << i for i in range(8))
+
+
+def text_kind(value: Column) -> Column:
+    """The narrowest kind of one field; null for an empty one."""
+    whole, real = r"^[+-]?[0-9]+$", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+    number = (F.when(value.try_cast("int").isNotNull(), INT).when(value.try_cast("bigint").isNotNull(), LONG)
+              .when(F.length(value) <= 38, WHOLE).otherwise(REAL))
+    return (F.when(value.isNull() | (value == ""), F.lit(None)).when(value.rlike(whole), number)
+            .when(value.rlike(real) | value.isin("NaN", "Inf", "-Inf", "Infinity", "-Infinity"), REAL)
+            .when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & value.try_cast("date").isNotNull(), DATE)
+            .when(value.rlike(r"^[0-9]{4}-") & value.try_cast("timestamp").isNotNull(), STAMP)
+            .when(F.lower(value).isin("true", "false"), TRUTH).otherwise(TEXT))
+
+
+def type_of_kinds(kinds: int | None) -> str:
+    """Narrowest type that holds every kind of a union; a column without values is a string."""
+    for allowed, name in ((INT, "int"), (INT | LONG, "bigint"), (INT | LONG | WHOLE, "decimal(38,0)"),
+                          (INT | LONG | WHOLE | REAL, "double"), (DATE, "date"), (DATE | STAMP, "timestamp"),
+                          (TRUTH, "boolean")):
+        if kinds and kinds & ~allowed == 0:
+            return name
+    return "string"
+
+
+def scan_csv_infer(spark: SparkSession, path: str, stored: str | None = None) -> DataFrame:
+    """CSV with a header line and inferred types; empty fields are null.
 
-    Inference reads the data once more; prefer ``scan_csv_header`` plus explicit
-    casts for large inputs.
+    The text is parsed once: while its fields are written to Parquet below the fresh
+    folder ``stored`` (by default in the shared one), the same job merges the kinds
+    found per column. The result reads that table, so columns prune, and casts it.
     """
-    return spark.read.csv(path, header=True, inferSchema=True)
+    fields = scan_csv_header(spark, path)
+    stored = stored or new_path(spark, "typed-csv")
+    names = [f"c{i}" for i in range(len(fields.columns))]  # any header name, also with points
+    if not names:
+        return fields
+    kinds = Observation()
+    (fields.toDF(*names).observe(kinds, *[F.bit_or(text_kind(F.col(n))).alias(n) for n in names])
+     .write.parquet(stored))
+    types = {n: type_of_kinds(k) for n, k in kinds.get.items()}
+    table = spark.read.schema(", ".join(f"{n} string" for n in names)).parquet(stored)
+    return table.select(*[_typed(F.col(n), types[n]).alias(c) for n, c in zip(names, fields.columns)])
+
+
+def _typed(value: Column, target: str) -> Column:
+    value = F.nullif(value, F.lit(""))
+    if target == "double":  # the short names of infinity are no numbers to a cast
+        value = F.regexp_replace(value, "^(-?)Inf$", "$1Infinity")
+    return value.cast(target)
 
 
 def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
