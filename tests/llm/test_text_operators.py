@@ -7,7 +7,9 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tripwell.llm import language, license_scan, packing, pii, queries, substrings
@@ -97,6 +99,23 @@ BSD_NAME = """
    contributors may be used to endorse or promote products derived from
    this software without specific prior written permission.
 """
+LGPL = """    This library is free software; you can redistribute it and/or
+    modify it under the terms of the GNU Lesser General Public
+    License as published by the Free Software Foundation; either
+    version 2.1 of the License, or (at your option) any later version.
+
+    This library is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+"""
 ISC = """Permission to use, copy, modify, and/or distribute this software for any
 purpose with or without fee is hereby granted, provided that the above
 copyright notice and this permission notice appear in all copies.
@@ -110,7 +129,8 @@ def test_licenses_in_their_real_wording(spark):
              for before, after in (("", ""), ("#!/bin/sh\n# ", "\nset -e\n"), ("/* ", " */\nint x;"))]
     cases += [(GPL.format(":", ",", 3), ["GPL-3.0"]), (GPL.format(";", ";", 2), ["GPL-2.0"]), (MPL, ["MPL-2.0"]),
               (GPL.format(";", ";", 3), ["GPL-3.0"]), (GPL.format(":", ",", 2), ["GPL-2.0"]),
-              (APACHE, ["Apache-2.0"]), (BSD, ["BSD-2-Clause"]), (BSD + BSD_NAME, ["BSD-2-Clause", "BSD-3-Clause"]),
+              (APACHE, ["Apache-2.0"]), (BSD, ["BSD-2-Clause"]), (BSD + BSD_NAME, ["BSD-3-Clause"]), (BSD + BSD + BSD_NAME, ["BSD-2-Clause", "BSD-3-Clause"]),
+              (BSD + MIT.split("\n\n")[1] + "\n" + BSD_NAME, ["BSD-3-Clause"]),
               (ISC, ["ISC"]), (MIT, ["MIT"]), ("The MIT License (MIT)\n", ["MIT"]),
               ("This is free and unencumbered software released into the public domain.\n", ["Unlicense"]),
               ("Licensed under CC BY-SA 4.0.", ["CC-BY-SA-4.0"]), ("Licensed under CC BY 4.0.", ["CC-BY-4.0"]),
@@ -119,9 +139,21 @@ def test_licenses_in_their_real_wording(spark):
                 for k, name in (("", "CC-BY-4.0"), ("-NonCommercial", "CC-BY-NC-4.0"), ("-ShareAlike", "CC-BY-SA-4.0"))],
               ("SPDX-License-Identifier: other. MIT", []), ("MIT. SPDX-License-Identifier:", []), ("? <0><1> |16|", []),
               ("This program is free software. Nothing else. You can go.", [])]
+    cases += [(f"// SPDX-License-Identifier: {tag}\n", [name]) for tag, name in license_scan.TAGS.values()]
+    cases += [(LGPL, ["LGPL-2.1"]), (GPL.format(":", ",", 3).replace("GNU General", "GNU Affero General"), ["AGPL-3.0"]),
+              (GPL.format(";", ";", 3).replace("GNU General", "GNU Lesser General"), ["LGPL-3.0"]), (ZLIB, ["Zlib"]),
+              (ISC.split(", provided")[0] + ".", ["0BSD"])]
+    cases += [("\n".join(license_scan.WORDINGS[i][0] for i in (k,)), [name]) for k, name in
+              ((64, "EPL-2.0"), (65, "BSL-1.0"), (66, "BSL-1.0"), (69, "Apache-2.0"), (70, "0BSD"))]
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
-    got = {r.doc_id: r.licenses for r in license_scan.scan_licenses(df).collect()}
+    rows = license_scan.scan_licenses(df).collect()
+    got = {r.doc_id: r.licenses for r in rows}
     assert [got[i] for i in range(len(cases))] == [x for _, x in cases]
+    con = duckdb.connect()
+    documents = pa.table({"doc_id": list(range(len(cases))), "text": [t for t, _ in cases]})
+    con.register("documents", documents)
+    said = {r[0]: r[1:] for r in con.execute(license_scan.oracle()).fetchall()}
+    assert said == {r.doc_id: (r.line_ids, r.wrapped_ids, ",".join(r.licenses)) for r in rows}
 
 
 def test_license_plan_runs_no_python(spark, small):

@@ -102,6 +102,53 @@ WORDINGS: dict[int, list[str]] = {
     51: ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
 }
 
+_LIBRARY_GRANT = ("This library is free software{} you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                  "General Public License as published by the Free Software Foundation{} either version 2.1 of the License, "
+                  "or (at your option) any later version.")
+
+# More wordings of public licence texts and notices; the first form gives the sentence.
+WORDINGS |= {
+    60: [_LIBRARY_GRANT.format(a, b) for a in ",;" for b in ",;"],
+    61: [_GRANT.format(a, b, 3).replace("GNU General", "GNU Lesser General") for a in ",;:" for b in ",;"],
+    62: [_GRANT.format(a, b, 3).replace("GNU General", "GNU Affero General") for a in ",;:" for b in ",;"],
+    63: ["This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+         "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."],
+    64: ["This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+         "2.0 which is available at https://www.eclipse.org/legal/epl-2.0"],
+    65: ["Distributed under the Boost Software License, Version 1.0."],
+    66: ["Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+         "and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, "
+         "distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to "
+         "permit third-parties to whom the Software is furnished to do so, all subject to the following:"],
+    67: ["This software is provided 'as-is', without any express or implied warranty."],
+    68: ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and "
+         "to alter it and redistribute it freely, subject to the following restrictions:"],
+    69: ["Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, "
+         "worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare "
+         "Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such "
+         "Derivative Works in Source or Object form."],
+    70: ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+         "hereby granted."],
+}
+
+# Further licence tags by sentence identifier, and the licence each names.
+TAGS: dict[int, tuple[str, str]] = {
+    100: ("GPL-2.0-or-later", "GPL-2.0"), 101: ("LGPL-2.1-only", "LGPL-2.1"), 102: ("LGPL-2.1-or-later", "LGPL-2.1"),
+    103: ("LGPL-3.0-only", "LGPL-3.0"), 104: ("LGPL-3.0-or-later", "LGPL-3.0"), 105: ("AGPL-3.0-only", "AGPL-3.0"),
+    106: ("AGPL-3.0-or-later", "AGPL-3.0"), 107: ("MPL-2.0", "MPL-2.0"), 108: ("EPL-2.0", "EPL-2.0"),
+    109: ("BSL-1.0", "BSL-1.0"), 110: ("Zlib", "Zlib"), 111: ("Artistic-2.0", "Artistic-2.0"), 112: ("CC0-1.0", "CC0-1.0"),
+    113: ("Unlicense", "Unlicense"), 114: ("ISC", "ISC"), 115: ("0BSD", "0BSD"), 116: ("CC-BY-4.0", "CC-BY-4.0"),
+    117: ("CC-BY-SA-4.0", "CC-BY-SA-4.0"), 118: ("CC-BY-NC-4.0", "CC-BY-NC-4.0"),
+}
+WORDINGS |= {i: [f"SPDX-License-Identifier: {tag}"] for i, (tag, _) in TAGS.items()}
+
+
+def normalised(wording: str) -> str:
+    return " ".join(re.findall("[a-z0-9]+", wording.lower()))
+
+
+SENTENCES |= {i: normalised(forms[0]) for i, forms in WORDINGS.items() if i not in SENTENCES}
+
 # Licence and the sentence identifiers that show it, in order.
 RULES: list[tuple[str, list[int]]] = [
     ("Apache-2.0", [1]),
@@ -132,6 +179,16 @@ RULES: list[tuple[str, list[int]]] = [
     ("ISC", [50]),
     ("MPL-2.0", [51, 52]),
     ("Unlicense", [53]),
+    ("LGPL-2.1", [60, 63]),
+    ("LGPL-3.0", [61, 23]),
+    ("AGPL-3.0", [62, 23]),
+    ("EPL-2.0", [64]),
+    ("BSL-1.0", [65]),
+    ("BSL-1.0", [66]),
+    ("Zlib", [67, 68]),
+    ("Apache-2.0", [69]),
+    ("0BSD", [70]),
+    *[(name, [i]) for i, (_, name) in TAGS.items()],
 ]
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -154,20 +211,26 @@ def pieces(wording: str) -> list[str]:
     return [p for x in re.sub(r"[^a-z0-9\n]+", " ", marked).split("\n") if (p := x.strip())]
 
 
-def sentence_ids(text: Column, by_line: bool, known: dict[int, str] = SENTENCES,
-                 wordings: dict[int, list[str]] = WORDINGS) -> Column:
-    """Identifiers of the known sentences of a text, in text order, as ``|1||10|``."""
+def _codes(known: dict[int, str], wordings: dict[int, list[str]]) -> tuple[dict[str, str], list[tuple[str, str]]]:
+    """Code of every known sentence and piece, and the runs of codes that stand for a sentence, longest first."""
     codes = {sentence: f"|{i}|" for i, sentence in known.items()}
     cut = sorted({(tuple(p), i) for i, forms in wordings.items() if i in known for p in map(pieces, forms) if len(p) > 1},
                  key=lambda x: (-len(x[0]), x))
     for k, piece in enumerate(dict.fromkeys(p for parts, _ in cut for p in parts)):
         codes.setdefault(piece, f"<{k}>")
+    return codes, [("".join(codes[p] for p in parts), f"|{i}|") for parts, i in cut]
+
+
+def sentence_ids(text: Column, by_line: bool, known: dict[int, str] = SENTENCES,
+                 wordings: dict[int, list[str]] = WORDINGS) -> Column:
+    """Identifiers of the known sentences of a text, in text order, as ``|1||10|``."""
+    codes, runs = _codes(known, wordings)
     lookup = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
     found = F.transform(F.transform(_sentences(text, by_line), lambda s: F.trim(s)),
                         lambda s: F.when(s.isin(*codes), lookup[s]).otherwise(F.lit("?")))
     ids = F.array_join(found, "")
-    for parts, i in cut:
-        ids = F.replace(ids, F.lit("".join(codes[p] for p in parts)), F.lit(f"|{i}|"))
+    for run, code in runs:
+        ids = F.replace(ids, F.lit(run), F.lit(code))
     return F.regexp_replace(ids, r"<[0-9]+>|\?", "")
 
 
@@ -175,20 +238,42 @@ def _pattern(sequence: list[int]) -> str:
     return "%" + "%".join(f"|{i}|" for i in sequence) + "%"
 
 
+def _holds(longer: list[int], shorter: list[int]) -> bool:
+    rest = iter(longer)
+    return len(longer) > len(shorter) and all(i in rest for i in shorter)
+
+
+def longer_rules(name: str, sequence: list[int], rules: list[tuple[str, list[int]]]) -> list[list[int]]:
+    """Sequences of other licences that hold a rule's sequence, longest first."""
+    return sorted((s for n, s in rules if n != name and _holds(s, sequence)), key=lambda s: (-len(s), s))
+
+
 def scan_licenses(docs: DataFrame, text: str = "text", rules: list[tuple[str, list[int]]] = RULES,
                   known: dict[int, str] = SENTENCES, wordings: dict[int, list[str]] = WORDINGS) -> DataFrame:
     """Adds ``line_ids``, ``wrapped_ids`` (identifier sequences) and ``licenses`` (array, in rule order).
 
-    Columns of those names in the input are replaced.
+    Columns of those names in the input are replaced. Where the sequence of one licence holds
+    that of another, the longer one wins: its unbroken runs are taken out before the shorter
+    is looked for, and the shorter is not reported while the longer still matches the rest.
     """
     source = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     found = docs.withColumns({"line_ids": sentence_ids(source, True, known, wordings),
                               "wrapped_ids": sentence_ids(source, False, known, wordings)})
+
+    def shown(ids: Column, name: str, sequence: list[int]) -> Column:
+        longer = longer_rules(name, sequence, rules)
+        for other in longer:
+            ids = F.replace(ids, F.lit("".join(f"|{i}|" for i in other)), F.lit(""))
+        hit = ids.like(_pattern(sequence))
+        for other in longer:
+            hit = hit & ~ids.like(_pattern(other))
+        return hit
+
     hits = []
     for name in dict.fromkeys(n for n, _ in rules):
         either = F.lit(False)
         for _, sequence in (r for r in rules if r[0] == name):
-            either = either | F.col("line_ids").like(_pattern(sequence)) | F.col("wrapped_ids").like(_pattern(sequence))
+            either = either | shown(F.col("line_ids"), name, sequence) | shown(F.col("wrapped_ids"), name, sequence)
         hits.append(F.when(either, F.lit(name)))
     return found.withColumn("licenses", F.array_compact(F.array(*hits)))
 
@@ -199,15 +284,26 @@ def _sql_ids(by_line: bool) -> str:
         low = rf"regexp_replace(regexp_replace({low}, '\n[ \t\r]*\n', '. ', 'g'), '[\r\n]+', ' ', 'g')"
     marked = rf"""regexp_replace({low}, '[.!?;:]+["'')*]*([ \t\r\n]+|$)', chr(10), 'g')"""
     pieces = rf"string_split(regexp_replace({marked}, '[^a-z0-9\n]+', ' ', 'g'), chr(10))"
-    cases = " ".join(f"when '{s}' then '|{i}|'" for i, s in SENTENCES.items())
-    return f"array_to_string(list_transform({pieces}, lambda s: case trim(s) {cases} else '' end), '')"
+    codes, runs = _codes(SENTENCES, WORDINGS)
+    cases = " ".join(f"when '{sentence}' then '{code}'" for sentence, code in codes.items())
+    ids = f"array_to_string(list_transform({pieces}, lambda s: case trim(s) {cases} else '?' end), '')"
+    for run, code in runs:
+        ids = f"replace({ids}, '{run}', '{code}')"
+    return f"regexp_replace({ids}, '<[0-9]+>|[?]', '', 'g')"
+
+
+def _sql_shown(ids: str, name: str, sequence: list[int]) -> str:
+    longer = longer_rules(name, sequence, RULES)
+    for other in longer:
+        ids = f"replace({ids}, '{''.join(f'|{i}|' for i in other)}', '')"
+    return " and ".join([f"{ids} like '{_pattern(sequence)}'", *[f"{ids} not like '{_pattern(s)}'" for s in longer]])
 
 
 def oracle() -> str:
     """The same result, stated over sentences in DuckDB's dialect."""
     names = []
     for name in dict.fromkeys(n for n, _ in RULES):
-        tests = [f"{c} like '{_pattern(s)}'" for n, s in RULES if n == name for c in ("line_ids", "wrapped_ids")]
+        tests = [f"({_sql_shown(c, name, s)})" for n, s in RULES if n == name for c in ("line_ids", "wrapped_ids")]
         names.append(f"case when {' or '.join(tests)} then '{name}' end")
     return (f"with found as (select doc_id, {_sql_ids(True)} as line_ids, {_sql_ids(False)} as wrapped_ids "
             f"from documents) select doc_id, line_ids, wrapped_ids, concat_ws(',', {', '.join(names)}) as licenses "
