@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tripwell.catalog.registry import query
 from tripwell.catalog.trips import KEYS, SILVER_SQL, once, silver, sql_unit
-from tripwell.operators import explain, ranking, regression, sampling, stochastic, tree_shapley
+from tripwell.operators import explain, parameter_search, ranking, regression, sampling, stochastic, tree_shapley
 from tripwell.operators.bounded import cached
 from tripwell.operators.bootstrap import rmse_bootstrap_ci
 from tripwell.operators.projection import FEATURE_LABELS, MODEL_FEATURES, map_values
@@ -143,6 +143,18 @@ def param_random_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         "trial int, trees int, depth int, min_rows int, rmse double, chosen boolean")
 
 
+@query("param_parzen_search")
+def param_parzen_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search log of forest parameters: proposals fitted on a tenth of the rows, the best of each round on all."""
+    parts = splits(spark, sf_dir)
+    log = parameter_search.forest_search(parts["train"], parts["validation"], FEATURES, KEYS)
+    best = parameter_search.best_evaluation(log)
+    return spark.createDataFrame(
+        [(e.trial, e.round, e.share, e.setting["trees"], e.setting["depth"], e.setting["min_rows"], e.loss, e is best)
+         for e in log],
+        "trial int, round int, share double, trees int, depth int, min_rows int, rmse double, chosen boolean")
+
+
 @query("cross_validate_metrics")
 def cross_validate_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = regression.cross_validate_metrics(splits(spark, sf_dir)["train"], FEATURES, KEYS,
