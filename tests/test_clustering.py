@@ -161,6 +161,38 @@ def test_many_runs_equal_single_runs(blobs):
         assert np.allclose(run.centers, centers)
 
 
+def test_seeds_are_points_and_do_not_depend_on_partitions(blobs, monkeypatch):
+    x, _ = matrix(blobs)
+    weighted = clustering.replicate_weights(blobs.select(*FEATURES, "id"), ["id"], 1, 42)
+    names, plans = ["_w0", "_w1"], [(0, 1), (0, 2), (1, 3)]
+
+    def seeds(parts):
+        blocks = clustering.point_blocks(weighted.repartition(parts), FEATURES, names)
+        return np.array(clustering.parallel_seeds(blocks, 2, 2, plans, 4))
+
+    found = seeds(1)
+    assert found.shape == (3, 4, 2)
+    known = {tuple(p) for p in x}
+    assert all(tuple(c) in known for run in found for c in run)
+    assert np.array_equal(found, seeds(7))
+    monkeypatch.setattr(clustering, "DIRECT_CELLS", 0)
+    assert np.array_equal(found, seeds(3))
+
+
+def test_seeds_reach_far_groups_and_skip_points_without_weight(spark):
+    rows = [(i, float(i % 50) / 100, 0.0, 1.0) for i in range(3000)]
+    rows += [(3000, 900.0, 0.0, 1.0), (3001, 0.0, 900.0, 1.0), (3002, -9000.0, 0.0, 0.0)]
+    points = spark.createDataFrame(rows, "id int, a double, b double, w double")
+    blocks = clustering.point_blocks(points, FEATURES, ["w"])
+    for at in clustering.parallel_seeds(blocks, 2, 1, [(0, s) for s in range(5)], 3):
+        assert {(900.0, 0.0), (0.0, 900.0)} <= {tuple(c) for c in at.tolist()}
+        assert at.min() >= 0
+    few = clustering.point_blocks(points.where("id in (3000, 3001)"), FEATURES, ["w"])
+    assert clustering.parallel_seeds(few, 2, 1, [(0, 1)], 2)[0].shape == (2, 2)
+    with pytest.raises(ValueError):
+        clustering.parallel_seeds(clustering.point_blocks(points.where("id < 0"), FEATURES, ["w"]), 2, 1, [(0, 1)], 2)
+
+
 def test_stability_of_separated_blobs(blobs):
     scaled = standard_scale(blobs.filter("label < 4"), FEATURES, population=True)
     shifts = clustering.cluster_stability(scaled.select("id", "a_scaled", "b_scaled"), ["a_scaled", "b_scaled"],

@@ -11,12 +11,11 @@ import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwell.functions.hashing import LANES, key_digest, lane_poisson_weight, unit_hash
 from tripwell.operators.bounded import bounded_rows, cached, in_parallel, spread_rows
-from tripwell.operators.sampling import sample_exact
 
 CLUSTER_FEATURES = ("trip_distance", "fare_amount", "trip_duration_min")
 
@@ -143,7 +142,7 @@ def first_rows_as_centers(df: DataFrame, features: Sequence[str], keys: Sequence
 
 
 def plus_plus_centers(points: np.ndarray, k: int, seed: int, weights: np.ndarray | None = None) -> np.ndarray:
-    """k-means++ seeding on a small weighted sample held by the driver."""
+    """k-means++ seeding on a few weighted candidates held by the driver."""
     draw = np.random.default_rng(seed)
     weights = np.ones(len(points)) if weights is None or not weights.any() else weights.astype("float64")
     chosen = [points[draw.choice(len(points), p=weights / weights.sum())]]
@@ -179,8 +178,52 @@ def lloyd_kmeans(df: DataFrame, features: Sequence[str], keys: Sequence[str], k:
         points.unpersist()
 
 
+BLOCK_POINTS = 4096
+CELL_BUDGET = 500_000  # distances held at once by a task
+DIRECT_CELLS = 20_000  # partial sums that the driver adds up itself
+
+
+def point_blocks(points: DataFrame, features: Sequence[str], weights: Sequence[str]) -> DataFrame:
+    """Points as numpy blocks of bounded size, for jobs that read them many times over.
+
+    A row holds up to 4096 points in ``data``: features, weights and a hash of the features.
+    """
+    columns = [F.col(c).cast("double").alias(c) for c in [*features, *weights]]
+    digest = F.xxhash64(*[F.col(f).cast("double") for f in features])
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            hashes = batch.pop("_hash").to_numpy("int64")
+            table = np.column_stack([batch.to_numpy("float64"), hashes.view("float64")])
+            parts = [table[i:i + BLOCK_POINTS] for i in range(0, len(table), BLOCK_POINTS)]
+            yield pd.DataFrame({"data": [np.ascontiguousarray(p).tobytes() for p in parts]})
+
+    return points.select(*columns, digest.alias("_hash")).mapInPandas(pack, "data binary")
+
+
+def _slices(batches: Iterator[pd.DataFrame], width: int, weights: int, cells: int) -> Iterator[tuple]:
+    """(features, weights, hashes) of a few points at a time, so that cells x points stays bounded."""
+    step = max(1, CELL_BUDGET // cells)
+    for batch in batches:
+        for data in batch["data"]:
+            table = np.frombuffer(data).reshape(-1, width + weights + 1)
+            for i in range(0, len(table), step):
+                part = table[i:i + step]
+                yield part[:, :width], part[:, width:-1], np.ascontiguousarray(part[:, -1]).view("uint64")
+
+
+def _squared_gaps(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """(points, runs, centers) squared distances, from differences."""
+    gaps = np.zeros((len(x), *centers.shape[:2]))
+    for j in range(centers.shape[2]):
+        off = x[:, j, None, None] - centers[None, :, :, j]
+        off *= off
+        gaps += off
+    return gaps
+
+
 def _partial_sums(batches: Iterator[pd.DataFrame], centers: np.ndarray, columns: list[int],
-                  features: list[str], weights: list[str]) -> Iterator[pd.DataFrame]:
+                  weights: int) -> Iterator[pd.DataFrame]:
     """Weighted sums per run and cluster over one partition.
 
     ``centers`` is (runs, k, features); ``columns`` names the weight column of
@@ -188,26 +231,102 @@ def _partial_sums(batches: Iterator[pd.DataFrame], centers: np.ndarray, columns:
     """
     runs, k, width = centers.shape
     totals = np.zeros((runs, k, 2 + width))
-    for batch in batches:
-        x = batch[features].to_numpy(dtype="float64")
-        w = batch[weights].to_numpy(dtype="float64")
-        for r in range(runs):
-            gaps = np.zeros((len(x), k))
-            for j in range(width):
-                off = x[:, j, None] - centers[r, :, j][None, :]
-                gaps += off * off
-            nearest = gaps.argmin(axis=1)
-            weight = w[:, columns[r]]
-            totals[r, :, 0] += np.bincount(nearest, weight, k)
-            totals[r, :, 1] += np.bincount(nearest, weight * gaps[np.arange(len(x)), nearest], k)
-            for j in range(width):
-                totals[r, :, 2 + j] += np.bincount(nearest, weight * x[:, j], k)
+    for x, w, _ in _slices(batches, width, weights, runs * k):
+        gaps = _squared_gaps(x, centers)
+        nearest, w = gaps.argmin(axis=2), w[:, columns]
+        least = np.take_along_axis(gaps, nearest[:, :, None], 2)[:, :, 0]
+        share = ((nearest[:, :, None] == np.arange(k)) * w[:, :, None]).reshape(len(x), runs * k)
+        totals[:, :, 0] += share.sum(axis=0).reshape(runs, k)
+        totals[:, :, 1] += np.einsum("prk,pr->rk", share.reshape(len(x), runs, k), least)
+        totals[:, :, 2:] += (share.T @ x).reshape(runs, k, width)
     out = pd.DataFrame(totals.reshape(runs * k, 2 + width),
                        columns=["n", "cost", *[f"s{j}" for j in range(width)]])
     out.insert(0, "cell", np.arange(runs * k, dtype="int32"))
     yield out
 
 
+def _sums(blocks: DataFrame, partitions: int, centers: np.ndarray, columns: list[int], weights: int) -> np.ndarray:
+    """(runs, k, 2 + features): weight, cost and weighted feature sums of every cluster of every run.
+
+    Few partitions send their sums straight to the driver, more are added up by the cluster first.
+    """
+    runs, k, width = centers.shape
+    schema = "cell int, n double, cost double, " + ", ".join(f"s{j} double" for j in range(width))
+    cells = blocks.mapInPandas(lambda batches: _partial_sums(batches, centers, columns, weights), schema)
+    if partitions * runs * k > DIRECT_CELLS:
+        cells = cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in cells.columns[1:]])
+    table = cells.toPandas()
+    totals = np.zeros((runs * k, 2 + width))
+    np.add.at(totals, table["cell"].to_numpy(), table.to_numpy()[:, 1:])
+    return totals.reshape(runs, k, 2 + width)
+
+
+def _race_times(hashes: np.ndarray, turn: int, salts: np.ndarray) -> np.ndarray:
+    """(points, runs) exponential draws that depend on the point, the run's salt and the round only."""
+    with np.errstate(over="ignore"):
+        z = hashes[:, None] ^ (salts[None, :] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(turn + 1))
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+        z ^= z >> np.uint64(31)
+    return -np.log(((z >> np.uint64(11)).astype("float64") + 0.5) / 2.0 ** 53)
+
+
+def parallel_seeds(blocks: DataFrame, width: int, weights: int, runs: Sequence[tuple[int, int]], k: int,
+                   rounds: int = 2, oversample: int | None = None) -> list[np.ndarray]:
+    """Starting centers of many runs (weight column, seed), from all weighted points.
+
+    Each round adds to every run ``oversample`` (2k) points, drawn without replacement by
+    weight times squared distance to the run's candidates (the first round by weight).
+    A point's draw is an exponential time divided by that product, and the smallest times
+    win, so one pass needs no total and partitioning does not matter. Candidates then
+    weigh what lies nearest to them, and k-means++ picks k of them on the driver, which
+    holds runs x (rounds + 1) x ``oversample`` points.
+    """
+    each = oversample or 2 * k
+    columns, salts = [r for r, _ in runs], np.array([s for _, s in runs], dtype="uint64")
+    schema = "run int, time double, " + ", ".join(f"c{j} double" for j in range(width))
+    partitions, found = blocks.rdd.getNumPartitions(), None
+    for turn in range(rounds + 1):
+        def race(batches, centers=found, turn=turn):
+            times, points = np.full((len(runs), each), np.inf), np.zeros((len(runs), each, width))
+            cells = len(runs) * (1 if centers is None else centers.shape[1])
+            for x, w, hashes in _slices(batches, width, weights, cells):
+                pull = w[:, columns]
+                if centers is not None:
+                    pull = pull * _squared_gaps(x, centers).min(axis=2)
+                with np.errstate(divide="ignore"):
+                    new = (_race_times(hashes, turn, salts) / pull).T
+                first = np.argpartition(new, min(each, len(x)) - 1, axis=1)[:, :each]
+                times = np.concatenate([times, np.take_along_axis(new, first, 1)], axis=1)
+                points = np.concatenate([points, x[first]], axis=1)
+                best = np.argsort(times, axis=1, kind="stable")[:, :each]
+                times = np.take_along_axis(times, best, 1)
+                points = np.take_along_axis(points, best[:, :, None], 1)
+            hit = np.isfinite(times)
+            out = pd.DataFrame(points[hit], columns=[f"c{j}" for j in range(width)])
+            out.insert(0, "time", times[hit])
+            out.insert(0, "run", np.nonzero(hit)[0].astype("int32"))
+            yield out
+
+        rows = blocks.mapInPandas(race, schema)
+        if partitions * len(runs) * each > DIRECT_CELLS:
+            order = Window.partitionBy("run").orderBy("time", *[f"c{j}" for j in range(width)])
+            rows = rows.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= each).drop("_n")
+        rows = rows.toPandas()
+        # Where a run has fewer points left than it asks for, it repeats its first one.
+        fresh = np.empty((len(runs), each, width))
+        for r in range(len(runs)):
+            mine = rows[rows["run"] == r].sort_values(list(rows.columns)).to_numpy()[:each, 2:]
+            if not len(mine):
+                if found is None:
+                    raise ValueError("no points to start from")
+                mine = found[r][:1]
+            fresh[r] = mine[np.minimum(np.arange(each), len(mine) - 1)] if len(mine) < each else mine
+        found = fresh if found is None else np.concatenate([found, fresh], axis=1)
+    shares = _sums(blocks, partitions, found, columns, weights)[:, :, 0]
+    return [plus_plus_centers(found[i], k, seed, shares[i]) for i, (_, seed) in enumerate(runs)]
+
+
 def lloyd_many(points: DataFrame, features: Sequence[str], weights: Sequence[str],
                runs: list[LloydRun], max_iter: int = 300, tol: float = 1e-2) -> list[LloydRun]:
     """Advance many runs together: one job per iteration for however many runs.
@@ -215,22 +334,23 @@ def lloyd_many(points: DataFrame, features: Sequence[str], weights: Sequence[str
     ``points`` has the feature columns and one weight column per replicate.
     Each partition is summed in vectorised batches and sends runs * k rows on.
     """
-    k, width = runs[0].centers.shape
-    schema = "cell int, n double, cost double, " + ", ".join(f"s{j} double" for j in range(width))
+    blocks = cached(point_blocks(points, features, weights))
+    try:
+        return lloyd_blocks(blocks, len(weights), runs, max_iter, tol)
+    finally:
+        blocks.unpersist()
+
+
+def lloyd_blocks(blocks: DataFrame, weights: int, runs: list[LloydRun], max_iter: int = 300,
+                 tol: float = 1e-2) -> list[LloydRun]:
+    """``lloyd_many`` over packed blocks."""
+    partitions = blocks.rdd.getNumPartitions()
     for _ in range(max_iter):
         active = [r for r in runs if not r.done]
         if not active:
             break
-        centers = np.array([r.centers for r in active])
-        columns = [r.replicate for r in active]
-
-        def partial(batches, centers=centers, columns=columns):
-            return _partial_sums(batches, centers, columns, list(features), list(weights))
-
-        cells = points.mapInPandas(partial, schema).groupBy("cell").agg(
-            F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-            *[F.sum(f"s{j}").alias(f"s{j}") for j in range(width)]).toPandas()
-        table = cells.sort_values("cell").drop(columns="cell").to_numpy().reshape(len(active), k, 2 + width)
+        centers, columns = np.array([r.centers for r in active]), [r.replicate for r in active]
+        table = _sums(blocks, partitions, centers, columns, weights)
         for r, cell in zip(active, table):
             r.move(cell[:, 0], cell[:, 2:], float(cell[:, 1].sum()), tol)
     return runs
@@ -286,30 +406,29 @@ def replicate_weights(df: DataFrame, keys: Sequence[str], bootstraps: int, seed:
 
 def cluster_stability(df: DataFrame, features: Sequence[str], keys: Sequence[str], k: int = 4,
                       bootstraps: int = 10, restarts: int = 5, seed: int = 42,
-                      max_iter: int = 300, tol: float = 1e-4, seed_rows: int = 1000) -> DataFrame:
+                      max_iter: int = 300, tol: float = 1e-4) -> DataFrame:
     """Refit on bootstraps and measure how far the centers move.
 
     ``df`` holds standardised features. Replicate 0 is the unweighted baseline,
     the others weight each row by its Poisson count. Rows with equal features are
     one point with their summed weights. All replicates and restarts advance in the
     same jobs over all points; the best restart of a replicate counts. Starting
-    centers are drawn from a small sample by the replicate's weights. Returns
+    centers are drawn from all points by the replicate's weights. Returns
     (replicate, cost, shift_sorted, shift_nearest).
     """
     spark = df.sparkSession
     narrow = df.select(*features, *keys)
     weights = [f"_w{i}" for i in range(bootstraps + 1)]
-    drawn = replicate_weights(sample_exact(narrow, keys, seed_rows, seed), keys, bootstraps, seed)
-    seeds = np.array([list(r) for r in drawn.select(*features, *weights).collect()], dtype="float64")
-    at, seed_weights = seeds[:, :len(features)], seeds[:, len(features):]
-    runs = [LloydRun(rep, plus_plus_centers(at, k, seed + rep * restarts + i, seed_weights[:, rep]))
-            for rep in range(bootstraps + 1) for i in range(restarts)]
-    points = cached(spread_rows(replicate_weights(narrow, keys, bootstraps, seed).groupBy(*features).agg(
-        *[F.sum(w).cast("double").alias(w) for w in weights])))
+    points = spread_rows(replicate_weights(narrow, keys, bootstraps, seed).groupBy(*features).agg(
+        *[F.sum(w).cast("double").alias(w) for w in weights]))
+    blocks = cached(point_blocks(points, features, weights))
     try:
-        lloyd_many(points, features, weights, runs, max_iter, tol)
+        plans = [(rep, seed + rep * restarts + i) for rep in range(bootstraps + 1) for i in range(restarts)]
+        starts = parallel_seeds(blocks, len(features), len(weights), plans, k)
+        runs = [LloydRun(rep, at) for (rep, _), at in zip(plans, starts)]
+        lloyd_blocks(blocks, len(weights), runs, max_iter, tol)
     finally:
-        points.unpersist()
+        blocks.unpersist()
     best = {}
     for r in runs:
         if r.replicate not in best or r.cost < best[r.replicate].cost:
