@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tripwell.sources import readers, sinks, storage
 
@@ -126,3 +127,44 @@ def test_shared_root_follows_the_session(spark):
     assert spark.sparkContext.getCheckpointDir()
     stored = storage.store(spark.range(5), "five")
     assert stored.count() == 5
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_rerun_replaces_only_its_partitions(spark, tmp_path):
+    path = str(tmp_path / "days")
+    rows = spark.range(100).select("id", (F.col("id") % 4).cast("int").alias("day"))
+    sinks.overwrite_partitions(rows, path, ["day"])
+    files = {f for f in spark.read.parquet(path).inputFiles() if "day=2/" not in f}
+    again = rows.where("day = 2 and id < 50").withColumn("id", F.col("id") + 1000)
+    for _ in range(2):
+        sinks.overwrite_partitions(again, path, ["day"])
+    found = spark.read.parquet(path)
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in rows.where("day <> 2").union(again).collect()}
+    assert found.count() == rows.where("day <> 2").count() + again.count()
+    assert {f for f in found.inputFiles() if "day=2/" not in f} == files
+    sinks.overwrite_partitions(rows.where("id < 0"), path, ["day"])
+    assert spark.read.parquet(path).count() == found.count()
+
+
+def test_bucketed_tables_join_and_group_without_a_shuffle(spark, tmp_path):
+    rows = spark.range(2000).select((F.col("id") % 700).alias("key"), F.col("id").alias("v"))
+    left = sinks.store_bucketed(rows, str(tmp_path / "a"), "bucketed_a", ["key"], 8)
+    right = sinks.store_bucketed(rows.withColumnRenamed("v", "w"), str(tmp_path / "b"), "bucketed_b", ["key"], 8)
+    both = left.join(right.hint("merge"), "key").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    assert "Exchange" not in _plan(both)
+    assert both.agg(F.sum("n")).first()[0] == sum((2000 // 700 + (k < 2000 % 700)) ** 2 for k in range(700))
+    assert len(left.inputFiles()) == 8
+
+
+def test_a_hot_key_is_stored_without_buckets(spark, tmp_path):
+    rows = spark.range(3000).select(F.when(F.col("id") < 2000, None).otherwise(F.col("id")).alias("key"))
+    assert sinks.bucket_skew(rows, ["key"], 8) > 4
+    found = sinks.store_bucketed(rows, str(tmp_path / "hot"), "bucketed_hot", ["key"], 8)
+    assert found.count() == 3000 and found.where("key is null").count() == 2000
+    assert not spark.catalog.tableExists("bucketed_hot")
+    empty = sinks.store_bucketed(rows.where("key < 0"), str(tmp_path / "none"), "bucketed_none", ["key"], 8)
+    assert empty.count() == 0

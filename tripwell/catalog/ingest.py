@@ -164,6 +164,31 @@ def sink_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.scan_parquet(spark, path)
 
 
+@query("sink_partition_rerun", f"""with {SILVER_SQL} select {', '.join(KEYS)}, pickup_hour,
+  case when pickup_hour = 3 then fare_amount + 1 else fare_amount end as fare_amount from silver""")
+def sink_partition_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver by pickup hour, of which one hour is computed anew and replaced."""
+    rows = silver(spark, sf_dir).select(*KEYS, "pickup_hour", "fare_amount")
+    path = sinks.sink_parquet_overwrite(rows.hint("rebalance", "pickup_hour"), new_path(spark, "hours"), ["pickup_hour"])
+    again = rows.where(F.col("pickup_hour") == 3).withColumn("fare_amount", F.col("fare_amount") + 1)
+    sinks.overwrite_partitions(again, path, ["pickup_hour"])
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+@query("bucketed_split_means", f"""with {SILVER_SQL} select cast(l_linenumber as integer) as line,
+  count(*) as trips, round(avg(s.fare_amount - o.fare), 6) as mean_gap from silver s
+  join (select {', '.join(KEYS)}, max(fare_amount) as fare from silver group by all) o using ({', '.join(KEYS)})
+  group by 1""")
+def bucketed_split_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An aggregate by trip joined back to its rows: neither shuffles on the bucketed layout."""
+    path = new_path(spark, "bucketed")
+    rows = sinks.store_bucketed(silver(spark, sf_dir).select(*KEYS, "fare_amount"), path,
+                                "silver_" + path.rsplit("-", 1)[1], KEYS, 8)
+    own = rows.groupBy(*KEYS).agg(F.max("fare_amount").alias("fare")).hint("merge")
+    return rounded(rows.join(own, KEYS).groupBy(F.col("l_linenumber").cast("int").alias("line")).agg(
+        F.count(F.lit(1)).alias("trips"), F.avg(F.col("fare_amount") - F.col("fare")).alias("mean_gap")), "mean_gap")
+
+
 HOURLY_SQL = """select pickup_hour, round(avg(fare_amount), 6) as avg_fare,
   round(avg(trip_distance), 6) as avg_dist, round(avg(trip_duration_min), 6) as avg_duration,
   count(*) as trip_count from silver group by pickup_hour order by pickup_hour"""

@@ -434,13 +434,11 @@ def cluster_stability(df: DataFrame, features: Sequence[str], keys: Sequence[str
         if r.replicate not in best or r.cost < best[r.replicate].cost:
             best[r.replicate] = r
     base = centers_frame(spark, best[0].centers, features)
-    others = None
-    for rep in range(1, bootstraps + 1):
-        frame = centers_frame(spark, best[rep].centers, features, replicate=rep)
-        others = frame if others is None else others.unionByName(frame)
-    costs = spark.createDataFrame([(rep, best[rep].cost) for rep in range(1, bootstraps + 1)],
-                                  "replicate int, cost double")
-    return center_shift(base, others, features, ["replicate"]).join(costs, "replicate")
+    schema = "replicate int, cost double, " + ", ".join(f"{f} double" for f in features)
+    others = spark.createDataFrame([(rep, float(best[rep].cost), *map(float, c)) for rep in range(1, bootstraps + 1)
+                                    for c in best[rep].centers], schema)
+    return center_shift(base, others, features, ["replicate", "cost"]).select(
+        "replicate", "shift_sorted", "shift_nearest", "cost")
 
 
 def stability_summary(shifts: DataFrame, shift: str = "shift_sorted", limit: float = 0.1) -> DataFrame:

@@ -17,6 +17,43 @@ def sink_parquet_overwrite(df: DataFrame, path: str, partition_by: list[str] | N
     return path
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> str:
+    """Replace the partitions that ``df`` has rows for; all others stay as they are.
+
+    Rows of a partition gather in few files. The rebalance splits a large partition over
+    several tasks, which hashing by the partition columns would not.
+    """
+    if not partition_by:
+        raise ValueError("name the partition columns")
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
+    return path
+
+
+def bucket_skew(df: DataFrame, keys: list[str], buckets: int) -> float:
+    """Rows of the largest bucket as a multiple of the mean bucket; 0 for an empty table."""
+    counts = df.groupBy(F.pmod(F.hash(*keys), F.lit(buckets)).alias("bucket")).count()
+    largest, total = counts.agg(F.max("count"), F.sum("count")).first()
+    return largest * buckets / total if total else 0.0
+
+
+def store_bucketed(df: DataFrame, path: str, table: str, keys: list[str], buckets: int,
+                   max_skew: float = 4.0) -> DataFrame:
+    """Write a table in sorted buckets of its keys and return it.
+
+    Joins, aggregates and splits on the keys then read it without a shuffle, and each bucket
+    is one file. Where a few keys would fill a bucket beyond ``max_skew`` times the mean, the
+    table is stored without buckets: its joins shuffle, and adaptive execution splits hot keys.
+    """
+    spark = df.sparkSession
+    if bucket_skew(df, keys, buckets) > max_skew:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    (df.repartition(buckets, *keys).write.mode("overwrite").option("path", path)
+     .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table))
+    return spark.table(table)
+
+
 def sink_csv_extract(df: DataFrame, path: str, order_by: list[str]) -> str:
     """Extract as ordered CSV with a header: one file if it is small, else files in order.
 
