@@ -170,3 +170,38 @@ def test_quantiles_narrow_large_columns(spark, monkeypatch):
     df = spark.range(60_000).selectExpr("cast(pmod(id * 7919, 60000) as double) * 1.5 as v", "cast(null as double) as w")
     got = quantiles.exact_quantiles(df, ["v", "w"], [0.25, 0.99])
     assert got["v"] == pytest.approx([0.25 * 59_999 * 1.5, 0.99 * 59_999 * 1.5]) and got["w"] == [None, None]
+
+
+def test_quantiles_between_two_heavy_values_end(spark, monkeypatch):
+    # The middle lies so close to the border of two heavy values that percentiles cannot part them.
+    from tripwell.operators import quantiles
+
+    calls, propose = [], quantiles._propose
+    monkeypatch.setattr(quantiles, "MAX_VALUES", 50)
+
+    def counted(df, brackets):
+        calls.append(1)
+        assert len(calls) < 9, "the brackets do not shrink"
+        propose(df, brackets)
+
+    monkeypatch.setattr(quantiles, "_propose", counted)
+    for low, high in ((20_000, 20_002), (20_001, 20_000), (20_000, 20_000)):
+        df = spark.range(low + high).select((F.col("id") >= low).cast("double").alias("a"),
+                                            F.when(F.col("id") < low, 3).otherwise(F.col("id") % 4 + 7).alias("b"))
+        for name in ("a", "b"):
+            xs = [float(x) for x in values(df, name)]
+            calls.clear()
+            assert exact_quantiles(df, [name], [0.25, 0.5, 0.75])[name] == np.quantile(xs, [0.25, 0.5, 0.75]).tolist()
+
+
+def test_rows_are_dealt_before_copies_are_dropped(spark, capsys):
+    nan = float("nan")
+    rows = [(1, "a", 0.0), (1, "a", -0.0), (2, None, nan), (2, None, nan), (None, None, None), (None, None, None), (3, "c", 1.5)]
+    df = spark.createDataFrame(rows, "k long, s string, x double")
+    found = cleaning.drop_duplicates(df)
+    assert found.columns == df.columns and found.count() == 4
+    found.explain()
+    plan = capsys.readouterr().out
+    below = plan[plan.index("Exchange"):]
+    assert "Aggregate" not in below and plan.count("Exchange") == 1
+    assert cleaning.drop_duplicates(df.limit(0)).count() == 0

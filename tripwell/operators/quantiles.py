@@ -51,14 +51,24 @@ def _alike(brackets: list[_Bracket]) -> list[list[_Bracket]]:
 
 
 def _propose(df: DataFrame, brackets: list[_Bracket]) -> None:
-    """Shrink open brackets by approximate percentiles of what they hold, keeping the rank inside."""
-    groups = _alike(brackets)
+    """Shrink open brackets by approximate percentiles of what they hold, keeping the rank inside.
+
+    Where one value fills much of a bracket, both percentiles can be its ends, and nothing
+    shrinks. Then each end is counted alone: the rank is at it, or lies strictly between the
+    two, where the percentiles leave about a thousandth of the bracket.
+    """
+    groups, held = _alike(brackets), {id(b): b.inside for b in brackets}
     shares = [[max(0.0, min(b.rank - b.below for b in g) / max(1, g[0].inside - 1) - SLACK),
                min(1.0, max(b.rank - b.below for b in g) / max(1, g[0].inside - 1) + SLACK)] for g in groups]
     row = df.agg(*[F.percentile_approx(F.when(_inside(g[0]), F.col(g[0].column)), s, F.lit(ACCURACY)).alias(f"p{i}")
                    for i, (g, s) in enumerate(zip(groups, shares))]).first()
     _narrow(df, [(b, b.lo if s[0] == 0 else row[f"p{i}"][0], b.hi if s[1] == 1 else row[f"p{i}"][1])
                  for i, (g, s) in enumerate(zip(groups, shares)) for b in g])
+    for end in (0, 1):
+        stuck = [(b, row[f"p{i}"][end], row[f"p{i}"][end]) for i, g in enumerate(groups) for b in g
+                 if b.open and b.inside > max(MAX_VALUES, held[id(b)] // 2) and b.lo <= row[f"p{i}"][end] <= b.hi]
+        if stuck:
+            _narrow(df, stuck)
 
 
 def _narrow(df: DataFrame, proposals: list[tuple[_Bracket, float, float]]) -> None:
