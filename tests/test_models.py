@@ -244,6 +244,22 @@ def test_tree_values_equal_all_subsets():
         assert np.allclose(got, [brute_shapley(nodes, row, count) for row in x], atol=1e-12)
 
 
+def test_patterns_of_a_leaf_are_worked_out_once_for_all_batches(monkeypatch):
+    nodes = {0: (0.0, 10, 1, 2, 0, 0.5), 1: (1.0, 4, -1, -1, -1, 0.0), 2: (0.0, 6, 3, 4, 1, 0.5),
+             3: (2.0, 2, -1, -1, -1, 0.0), 4: (5.0, 4, -1, -1, -1, 0.0)}
+    leaves, x = tree_shapley.tree_leaves(nodes), np.random.default_rng(2).random((60, 2))
+    calls, values = [], tree_shapley.pattern_values
+    monkeypatch.setattr(tree_shapley, "pattern_values", lambda *a: calls.append(1) or values(*a))
+    tables = {}
+    got = np.concatenate([tree_shapley.leaf_contributions(leaves, x[at:at + 20], tables) for at in (0, 20, 40)])
+    assert len(calls) == 3 and len(tables) == 3
+    assert np.allclose(got, [brute_shapley(nodes, row, 2) for row in x], atol=1e-12)
+    monkeypatch.setattr(tree_shapley, "TABLE_BYTES", 0)
+    monkeypatch.setattr(tree_shapley, "MAX_INTERVALS", 1)
+    assert np.array_equal(tree_shapley.leaf_contributions(leaves, x), got)
+    assert np.array_equal(tree_shapley.leaf_contributions(leaves, x[:1]), got[:1])
+
+
 @pytest.mark.parametrize("estimator", ["forest", "boosted"])
 def test_tree_values_add_up_to_the_prediction(spark, rows, forest, tmp_path, estimator):
     model = forest if estimator == "forest" else regression.fit_pipeline(

@@ -10,7 +10,7 @@ A leaf of value v, whose path splits on the features F, adds to feature i
 where o_j says whether the row passes all splits of the path on j, and z_j is the
 product of the shares of these splits. Splits on one feature merge into an interval,
 so a row is described by one bit per feature, and the sum is worked out once for each
-pattern of bits that occurs in a batch of rows.
+pattern of bits, not for each row.
 
 A row's values add up to its prediction minus the expected one. Rows are not
 multiplied: each becomes one row of contributions.
@@ -33,6 +33,8 @@ from tripwell.operators.bounded import spread_rows
 
 MAX_NODES = 500_000
 BATCH_ROWS = 8192
+MAX_INTERVALS = 2048  # comparisons of a batch that are kept
+TABLE_BYTES = 256 * 1024 ** 2  # tables of patterns that a task keeps
 
 
 @dataclass
@@ -100,26 +102,45 @@ def pattern_values(shares: np.ndarray, patterns: np.ndarray) -> np.ndarray:
     return (passed - shares) * total
 
 
-def leaf_contributions(leaves: Sequence[Leaf], x: np.ndarray) -> np.ndarray:
-    """Contributions of every feature (columns) for every row of ``x``."""
-    total = np.zeros(x.shape)
+def leaf_contributions(leaves: Sequence[Leaf], x: np.ndarray, tables: dict[int, np.ndarray] | None = None) -> np.ndarray:
+    """Contributions of every feature (columns) for every row of ``x``.
+
+    Leaves share most of their intervals, so a row is compared with each interval once. A batch
+    with more rows than a leaf has patterns looks its values up in a table of all patterns;
+    ``tables`` keeps these from batch to batch, up to ``TABLE_BYTES``.
+    """
+    total = np.zeros(x.shape[::-1])
     columns = np.ascontiguousarray(x.T)
-    for leaf in leaves:
-        if not len(leaf.features):
-            continue
-        code = np.zeros(len(x), np.int64)
-        for bit, (f, low, high) in enumerate(zip(leaf.features, leaf.low, leaf.high)):
-            code |= ((columns[f] > low) & (columns[f] <= high)).astype(np.int64) << bit
+    tables = {} if tables is None else tables
+    kept = sum(t.nbytes for t in tables.values())
+    inside: dict[tuple, np.ndarray] = {}
+    kind = np.int32 if max((len(leaf.features) for leaf in leaves), default=0) < 31 else np.int64
+    code, bit_of, found = np.empty(len(x), kind), np.empty(len(x), kind), np.empty(len(x))
+    for number, leaf in enumerate(leaves):
         bits = len(leaf.features)
-        if bits <= 13:
-            patterns = np.flatnonzero(np.bincount(code, minlength=1 << bits))
-            place = np.zeros(1 << bits, np.int64)
-            place[patterns] = np.arange(len(patterns))
-            at = place[code]
+        if not bits:
+            continue
+        code[:] = 0
+        for bit, (f, low, high) in enumerate(zip(leaf.features.tolist(), leaf.low.tolist(), leaf.high.tolist())):
+            passed = inside.get((f, low, high))
+            if passed is None:
+                if len(inside) >= MAX_INTERVALS:
+                    inside.clear()
+                passed = inside[f, low, high] = ((columns[f] > low) & (columns[f] <= high)).astype(kind)
+            np.bitwise_or(code, np.left_shift(passed, bit, out=bit_of), out=code)
+        if 1 << bits <= max(len(x), 1):
+            values, at = tables.get(number), code.astype(np.intp)
+            if values is None:
+                values = np.ascontiguousarray((leaf.value * pattern_values(leaf.shares, np.arange(1 << bits))).T)
+                if kept + values.nbytes <= TABLE_BYTES:
+                    tables[number] = values
+                    kept += values.nbytes
         else:
             patterns, at = np.unique(code, return_inverse=True)
-        total[:, leaf.features] += (leaf.value * pattern_values(leaf.shares, patterns))[at]
-    return total
+            values = np.ascontiguousarray((leaf.value * pattern_values(leaf.shares, patterns)).T)
+        for f, column in zip(leaf.features, values):
+            total[f] += np.take(column, at, out=found, mode="clip")
+    return total.T
 
 
 def tree_shapley_values(model: PipelineModel, path: str, rows: DataFrame, features: Sequence[str],
@@ -157,10 +178,11 @@ def tree_shapley_values(model: PipelineModel, path: str, rows: DataFrame, featur
     names = list(features)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tables: dict[int, np.ndarray] = {}
         for batch in batches:
             for at in range(0, len(batch), BATCH_ROWS):
                 part = batch.iloc[at:at + BATCH_ROWS]
-                found = leaf_contributions(shared.value, np.array(part[vector].tolist(), "float64").reshape(len(part), len(names)))
+                found = leaf_contributions(shared.value, np.array(part[vector].tolist(), "float64").reshape(len(part), len(names)), tables)
                 yield pd.concat([part[list(keys)].reset_index(drop=True),
                                  pd.DataFrame({"expected": np.full(len(part), expected),
                                                **{n: found[:, j] for j, n in enumerate(names)}})], axis=1)
