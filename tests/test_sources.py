@@ -168,3 +168,9 @@ def test_a_hot_key_is_stored_without_buckets(spark, tmp_path):
     assert not spark.catalog.tableExists("bucketed_hot")
     empty = sinks.store_bucketed(rows.where("key < 0"), str(tmp_path / "none"), "bucketed_none", ["key"], 8)
     assert empty.count() == 0
+
+
+def test_buckets_grow_with_the_rows(spark):
+    rows = spark.range(1000)
+    assert sinks.bucket_count(rows) == 8
+    assert sinks.bucket_count(rows, each=30) == 34

@@ -181,9 +181,8 @@ def sink_partition_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
   group by 1""")
 def bucketed_split_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An aggregate by trip joined back to its rows: neither shuffles on the bucketed layout."""
-    path = new_path(spark, "bucketed")
-    rows = sinks.store_bucketed(silver(spark, sf_dir).select(*KEYS, "fare_amount"), path,
-                                "silver_" + path.rsplit("-", 1)[1], KEYS, 8)
+    path, fares = new_path(spark, "bucketed"), silver(spark, sf_dir).select(*KEYS, "fare_amount")
+    rows = sinks.store_bucketed(fares, path, "silver_" + path.rsplit("-", 1)[1], KEYS, sinks.bucket_count(fares))
     own = rows.groupBy(*KEYS).agg(F.max("fare_amount").alias("fare")).hint("merge")
     return rounded(rows.join(own, KEYS).groupBy(F.col("l_linenumber").cast("int").alias("line")).agg(
         F.count(F.lit(1)).alias("trips"), F.avg(F.col("fare_amount") - F.col("fare")).alias("mean_gap")), "mean_gap")

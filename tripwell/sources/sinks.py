@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tripwell.operators.bounded import is_small
 
+BUCKET_ROWS = 500_000
+
 
 def sink_parquet_overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
     writer = df.write.mode("overwrite")
@@ -30,6 +32,11 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> s
     return path
 
 
+def bucket_count(df: DataFrame, each: int = BUCKET_ROWS, least: int = 8) -> int:
+    """Buckets of about ``each`` rows, since a task sorts or joins a whole bucket."""
+    return max(least, -(-df.count() // each))
+
+
 def bucket_skew(df: DataFrame, keys: list[str], buckets: int) -> float:
     """Rows of the largest bucket as a multiple of the mean bucket; 0 for an empty table."""
     counts = df.groupBy(F.pmod(F.hash(*keys), F.lit(buckets)).alias("bucket")).count()
