@@ -194,7 +194,8 @@ def test_quantiles_between_two_heavy_values_end(spark, monkeypatch):
             assert exact_quantiles(df, [name], [0.25, 0.5, 0.75])[name] == np.quantile(xs, [0.25, 0.5, 0.75]).tolist()
 
 
-def test_rows_are_dealt_before_copies_are_dropped(spark, capsys):
+def test_rows_are_dealt_before_copies_are_dropped(spark, capsys, monkeypatch):
+    monkeypatch.setattr(cleaning, "FEW_ROWS", -1)
     nan = float("nan")
     rows = [(1, "a", 0.0), (1, "a", -0.0), (2, None, nan), (2, None, nan), (None, None, None), (None, None, None), (3, "c", 1.5)]
     df = spark.createDataFrame(rows, "k long, s string, x double")
