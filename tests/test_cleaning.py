@@ -206,3 +206,11 @@ def test_rows_are_dealt_before_copies_are_dropped(spark, capsys, monkeypatch):
     below = plan[plan.index("Exchange"):]
     assert "Aggregate" not in below and plan.count("Exchange") == 1
     assert cleaning.drop_duplicates(df.limit(0)).count() == 0
+
+
+def test_columns_evaluated_once_keep_rows_order_and_names(spark):
+    df = spark.createDataFrame([("1", "x", 1), ("1", "x", 1), (None, None, 2), ("a", "", None)], "a string, b string, c int")
+    cast = df.withColumn("a", to_double(F.col("a")))
+    found = cleaning.evaluated_once(cast, ["A", "b"])
+    assert found.columns == ["a", "b", "c"] and found.dtypes == cast.dtypes
+    assert sorted(map(str, found.collect())) == sorted(map(str, cast.collect()))

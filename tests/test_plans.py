@@ -41,6 +41,12 @@ def test_row_rules_run_below_the_deduplication(spark, small):
     assert text.rindex("Exchange hashpartitioning(") < text.rindex("Filter")
 
 
+def test_refinement_parses_each_timestamp_once(spark, small):
+    text = plan(silver_pipeline(bronze(spark, small), zones(spark, small))).split("== Physical Plan ==")[1]
+    assert text.count("gettimestamp(") == 2
+    assert text.count("try_cast(fare_amount") == 1
+
+
 def test_hourly_profile_reads_four_columns(spark, small):
     silver(spark, small)
     text = plan(catalog.queries()["hourly_stats"](spark, small))
