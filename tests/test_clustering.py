@@ -226,6 +226,18 @@ def test_library_models(blobs):
         assert gaps[r["prediction"]] == pytest.approx(gaps.min())
 
 
+def test_silhouette_of_a_model_is_that_of_the_library(blobs, monkeypatch):
+    vectors = clustering.scaled_vectors(blobs, FEATURES)
+    model = clustering.kmeans_search(vectors, (3,))[0].model
+    made = []
+    real = clustering.ClusteringEvaluator
+    monkeypatch.setattr(clustering, "ClusteringEvaluator", lambda **k: made.append(1) or real(**k))
+    found = clustering.silhouette_of(model, vectors)
+    assert not made
+    monkeypatch.setattr(clustering, "NARROW_CELLS", 5)
+    assert found == pytest.approx(clustering.silhouette_of(model, vectors), rel=1e-12) and made == [1]
+
+
 def test_constant_feature_scales_to_zero(spark):
     df = spark.createDataFrame([(1.0, 3.0), (2.0, 3.0), (3.0, None)], "a double, b double")
     for population in (False, True):
