@@ -100,6 +100,26 @@ def test_fold_metrics(rows):
     assert [f["fold"] for f in found] == [0, 1, 2, 3] and all(f["rmse"] < 1e-6 for f in found)
 
 
+def test_forest_keeps_node_ids_and_grows_the_same_trees(rows):
+    made = regression.random_forest(trees=4, depth=6)
+    assert made.getCacheNodeIds() and made.getCheckpointInterval() == -1
+    plain = regression.random_forest(trees=4, depth=6, cacheNodeIds=False, checkpointInterval=10)
+    found, wanted = (regression.fit_pipeline(rows, FEATURES, e).stages[-1].toDebugString for e in (made, plain))
+    assert found.splitlines()[1:] == wanted.splitlines()[1:]
+
+
+def test_large_fits_run_one_at_a_time(rows, monkeypatch):
+    from tripwell.operators import bounded
+
+    assert [bounded.side_by_side(n, 3) for n in (0, 3000, 2_000_000, 30_000_000)] == [3, 3, 2, 1]
+    widths, real = [], regression.in_parallel
+    monkeypatch.setattr(regression, "in_parallel", lambda tasks, width=4: widths.append(width) or real(tasks, width))
+    wanted = regression.cross_validate_metrics(rows, FEATURES, ["id"], regression.ordinary_least_squares(), folds=3)
+    monkeypatch.setattr(bounded, "ROWS_AT_ONCE", 3000)
+    found = regression.cross_validate_metrics(rows, FEATURES, ["id"], regression.ordinary_least_squares(), folds=3)
+    assert widths == [3, 1] and found == wanted
+
+
 def test_random_search(rows):
     some = rows.limit(400)
     trials = regression.param_random_search(some, some, FEATURES, trials=2, trees=(2, 4), depth=(2, 4))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripwell.functions.hashing import unit_hash
-from tripwell.operators.bounded import cached, in_parallel
+from tripwell.operators.bounded import cached, in_parallel, side_by_side
 from tripwell.operators.regression import LABEL, model_metrics, preparation, random_forest
 
 Setting = dict[str, int]
@@ -154,6 +154,7 @@ def forest_search(train: DataFrame, validation: DataFrame, features: Sequence[st
         return model_metrics(forest.fit(part), check, label, ["rmse"])["rmse"]
 
     try:
+        search.setdefault("parallelism", side_by_side(fit_input.count(), 4))
         return halving_search(evaluate, space or FOREST_SPACE, seed=seed, **search)
     finally:
         fit_input.unpersist()
