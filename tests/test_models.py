@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from tripwell.operators import explain, ranking, regression, stochastic, tree_shapley
@@ -108,6 +108,49 @@ def test_forest_keeps_node_ids_and_grows_the_same_trees(rows):
     assert found.splitlines()[1:] == wanted.splitlines()[1:]
 
 
+def test_packed_booster_grows_the_trees_of_the_library(spark, rows, monkeypatch, tmp_path):
+    from tripwell.operators import boosting
+
+    df = rows.select(*FEATURES, (F.col("id") % 2).cast("double").alias("flag"), F.lit(4.0).alias("same"), (
+        F.col("fare_amount") + F.col("passenger_count") ** 2 * (F.col("id") % 2) + F.hash("id") % 100 / 30).alias("fare_amount"))
+    names, made = [*FEATURES, "flag", "same"], regression.gradient_boosted_trees(maxDepth=5, maxIter=4)
+    plain = regression.fit_pipeline(df, names, made)
+    calls, real = [], boosting.boosted_trees
+    monkeypatch.setattr(boosting, "boosted_trees", lambda *a: calls.append(a[2:]) or real(*a))
+    monkeypatch.setattr(boosting, "FEW_ROWS", 1000)
+    packed = regression.fit_pipeline(df, names, made)
+    assert calls == [(5, 4, 0.1)]
+    a, b = plain.stages[-1], packed.stages[-1]
+    assert (a.getNumTrees, a.treeWeights) == (b.getNumTrees, b.treeWeights)
+    assert b.featureImportances.toArray() == pytest.approx(a.featureImportances.toArray(), rel=1e-9)
+    ready = PipelineModel(plain.stages[:-1]).transform(df)
+    assert b.evaluateEachIteration(ready, "squared") == pytest.approx(a.evaluateEachIteration(ready, "squared"), rel=1e-9)
+    again = sinks.load_model(spark, sinks.save_model(packed, str(tmp_path / "packed")))
+    assert regression.model_metrics(again, df, metrics=["rmse"]) == pytest.approx(regression.model_metrics(plain, df, metrics=["rmse"]))
+    flat = regression.fit_pipeline(df.select("same", F.lit(2.0).alias("fare_amount"), *FEATURES[:0]), ["same"], made)
+    assert regression.model_metrics(flat, df.withColumn("fare_amount", F.lit(2.0)), metrics=["mae"])["mae"] == 0
+    assert len(calls) == 2
+    monkeypatch.setattr(boosting, "FEW_ROWS", 0)
+    weighted = regression.gradient_boosted_trees(maxDepth=2, maxIter=1, subsamplingRate=0.5)
+    regression.fit_pipeline(df.limit(50), names, weighted)
+    assert len(calls) == 2  # what the packed form does not know is left to the library
+
+
+def test_bin_borders_follow_the_library():
+    from tripwell.operators.boosting import Layout, bin_borders
+
+    assert bin_borders(np.array([3.0, 1.0, 1.0, 2.0]), 31).tolist() == [1.5, 2.5]
+    assert bin_borders(np.array([5.0, 5.0]), 31).tolist() == []
+    assert bin_borders(np.arange(64.0), 3).tolist() == [15.5, 31.5, 47.5]
+    rng = np.random.default_rng(1)
+    x = np.column_stack([rng.normal(size=400), rng.integers(0, 2, 400), rng.integers(0, 7, 400), rng.normal(size=400)])
+    layout = Layout([bin_borders(v, 31) for v in x.T])
+    codes = layout.codes(x)
+    for j, borders in enumerate(layout.borders):
+        bins = codes[:, layout.byte[j]] // layout.factor[j] % layout.bins[j]
+        assert (bins == np.searchsorted(borders, x[:, j])).all()
+
+
 def test_large_fits_run_one_at_a_time(rows, monkeypatch):
     from tripwell.operators import bounded
 
