@@ -136,6 +136,24 @@ def test_packed_booster_grows_the_trees_of_the_library(spark, rows, monkeypatch,
     assert len(calls) == 2  # what the packed form does not know is left to the library
 
 
+def test_folds_of_a_packed_grid_share_their_jobs(rows, monkeypatch):
+    from tripwell.operators import boosting
+
+    df = rows.select("id", *FEATURES, (F.col("fare_amount") + F.col("passenger_count") ** 2 + F.hash("id") % 100 / 30).alias("fare_amount"))
+
+    def search() -> list:
+        return regression.cv_grid_search(df, FEATURES, ["id"], depths=(2, 4), iterations=(1, 3))
+
+    plain, jobs, real = search(), [], boosting._summed
+    monkeypatch.setattr(boosting, "_summed", lambda parts: jobs.append(1) or real(parts))
+    monkeypatch.setattr(boosting, "FEW_ROWS", 1000)
+    packed = search()
+    assert 0 < len(jobs) <= 3 * (2 + 4) + 2  # a job per level and round, and one for the last leaves, whatever the folds
+    assert [(p.depth, p.iterations) for p in packed] == [(p.depth, p.iterations) for p in plain]
+    for a, b in zip(packed, plain):
+        assert (a.rmse, a.deviation) == pytest.approx((b.rmse, b.deviation), rel=1e-9)
+
+
 def test_bin_borders_follow_the_library():
     from tripwell.operators.boosting import Layout, bin_borders
 
