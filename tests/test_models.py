@@ -136,6 +136,65 @@ def test_packed_booster_grows_the_trees_of_the_library(spark, rows, monkeypatch,
     assert len(calls) == 2  # what the packed form does not know is left to the library
 
 
+def test_packed_forest_grows_the_trees_of_the_library(spark, rows, monkeypatch, tmp_path):
+    from tripwell.operators import boosting, forests
+
+    df = rows.withColumn("fare_amount", F.col("fare_amount") + F.hash("id") % 100 / 30)
+    calls, real = [], forests.forest_trees
+    monkeypatch.setattr(forests, "forest_trees", lambda *a: calls.append(a[2:]) or real(*a))
+
+    def both(forest, few=100):
+        made = []
+        for limit in (10 ** 9, few):
+            monkeypatch.setattr(boosting, "FEW_ROWS", limit)
+            made.append(regression.fit_pipeline(df, FEATURES, forest))
+        return made
+
+    def error(model):
+        return regression.model_metrics(model, df, metrics=["rmse"])["rmse"]
+
+    plain, packed = both(regression.random_forest(trees=1, depth=6, bootstrap=False, minInstancesPerNode=15))
+    assert calls == [(1, 6, 15, len(FEATURES), False, 42)]
+    a, b = plain.stages[-1], packed.stages[-1]
+    assert a.totalNumNodes == b.totalNumNodes
+    assert b.featureImportances.toArray() == pytest.approx(a.featureImportances.toArray(), rel=1e-9)
+    assert error(packed) == pytest.approx(error(plain), rel=1e-12)
+    monkeypatch.setattr(forests, "TABLE_BYTES", 1)  # a job per tree and level
+    monkeypatch.setattr(forests, "CHUNK_NODES", 3)
+    one = regression.fit_pipeline(df, FEATURES, regression.random_forest(trees=3, depth=4))
+    monkeypatch.undo()
+    monkeypatch.setattr(boosting, "FEW_ROWS", 100)
+    again = regression.fit_pipeline(df, FEATURES, regression.random_forest(trees=3, depth=4))
+    assert one.stages[-1].toDebugString.split("\n")[1:] == again.stages[-1].toDebugString.split("\n")[1:]
+    errors = [[error(m) for m in both(regression.random_forest(trees=20, depth=5, seed=s))] for s in (1, 2, 3)]
+    assert np.mean(errors, axis=0)[1] == pytest.approx(np.mean(errors, axis=0)[0], rel=0.1)
+    path = sinks.save_model(again, str(tmp_path / "packed"))
+    stored = tree_shapley.ensemble_nodes(spark, path).collect()
+    for t in range(3):  # every tree counts about as many rows as there are, some repeatedly
+        nodes = {r.id: r for r in stored if r.tree == t}
+        assert 0 < abs(nodes[0].cover - df.count()) < 0.1 * df.count()
+        for r in nodes.values():
+            assert r.left < 0 or r.cover == nodes[r.left].cover + nodes[r.right].cover
+    values = tree_shapley.tree_shapley_values(sinks.load_model(spark, path), path, df, FEATURES, ["id"])
+    sums = values.select("id", sum((F.col(f) for f in FEATURES), F.col("expected")).alias("s"))
+    gaps = sums.join(again.transform(df), "id").agg(F.max(F.abs(F.col("s") - F.col("prediction")))).first()[0]
+    assert gaps < 1e-9
+    before = len(calls)
+    both(regression.random_forest(trees=2, depth=2, subsamplingRate=0.5))
+    assert len(calls) == before  # what the packed form does not know is left to the library
+
+
+def test_poisson_draws_have_the_shares_of_the_distribution():
+    from tripwell.operators.forests import open_features, poisson_draws
+
+    drawn = poisson_draws([42, 0, 7], 1_000_000)
+    shares = np.bincount(drawn, minlength=6)[:6] / len(drawn)
+    assert shares == pytest.approx([math.exp(-1) / math.factorial(k) for k in range(6)], abs=2e-3)
+    assert drawn.max() >= 7 and (drawn == poisson_draws([42, 0, 7], 1_000_000)).all()
+    chosen = open_features(42, 1, 3, 5000, 7, 3)
+    assert (chosen.sum(axis=1) == 3).all() and chosen.mean(axis=0) == pytest.approx(3 / 7, abs=0.03)
+
+
 def test_folds_of_a_packed_grid_share_their_jobs(rows, monkeypatch):
     from tripwell.operators import boosting
 
