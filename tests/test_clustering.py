@@ -226,6 +226,53 @@ def test_library_models(blobs):
         assert gaps[r["prediction"]] == pytest.approx(gaps.min())
 
 
+def test_packed_means_give_the_clusters_of_the_library(blobs, monkeypatch):
+    from tripwell.operators import packed_means
+
+    vectors = clustering.scaled_vectors(blobs, FEATURES).select("features").persist()
+    plain = clustering.scaled_vectors(blobs, FEATURES, centered=False).select("features").persist()
+
+    def made():
+        bisecting = clustering.fit_bisecting(plain, k=5)
+        sizes = {r["prediction"]: r["count"] for r in bisecting.transform(plain).groupBy("prediction").count().collect()}
+        return clustering.kmeans_search(vectors, (3, 4)), clustering.kmeans_restarts(vectors, 3, 4), bisecting, sizes
+
+    wanted, calls = made(), []
+    monkeypatch.setattr(packed_means, "FEW_ROWS", 10)
+    monkeypatch.setattr(packed_means, "SLICE", 7)
+    real = packed_means._summed
+    monkeypatch.setattr(packed_means, "_summed", lambda parts: calls.append(1) or real(parts))
+    found = made()
+    assert calls  # large tables are packed
+    assert np.array(found[2].clusterCenters()) == pytest.approx(np.array(wanted[2].clusterCenters()), rel=1e-9)
+    assert found[3] == wanted[3]
+    best = [min(t.cost for t in trials[1]) for trials in (found, wanted)]
+    assert len(found[1]) == 4 and best[0] == pytest.approx(best[1], rel=1e-6)
+    for trial in found[0]:
+        assert trial.silhouette == pytest.approx(clustering.silhouette_of(trial.model, vectors), rel=1e-9)
+        assert len(trial.model.clusterCenters()) == trial.k
+    points = packed_means.packed_vectors(vectors)
+    again = packed_means.lloyd_together(points, [np.array(t.model.clusterCenters()) for t in wanted[0]], 50)
+    for run, trial in zip(again, wanted[0]):  # where the library stopped, centers hardly move
+        assert run.centers == pytest.approx(np.array(trial.model.clusterCenters()), abs=1e-3)
+    empty = np.vstack([wanted[0][0].model.clusterCenters(), [[1e6] * len(FEATURES)]])
+    assert (packed_means.lloyd_together(points, [empty], 3)[0].centers[-1] == 1e6).all()
+    points.unpersist()
+
+
+def test_packed_means_of_few_distinct_points(spark, monkeypatch):
+    from tripwell.operators import packed_means
+
+    monkeypatch.setattr(packed_means, "FEW_ROWS", 10)
+    rows = spark.range(60).select((F.col("id") % 2 * 1.0).alias("a"), (F.col("id") % 2 * 3.0 + 1000).alias("b"))
+    vectors = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(rows)
+    trials = clustering.kmeans_restarts(vectors, 4, 2)  # like the library, no more centers than points
+    assert [len(t.model.clusterCenters()) for t in trials] == [2, 2] and all(t.cost == pytest.approx(0, abs=1e-9) for t in trials)
+    bisecting = clustering.fit_bisecting(vectors, k=5)
+    found = sorted((c.tolist() for c in bisecting.clusterCenters()), key=lambda c: c[1])
+    assert np.array(found) == pytest.approx(np.array([[0.0, 1000.0], [1.0, 1003.0]]), abs=1e-9)
+
+
 def test_silhouette_of_a_model_is_that_of_the_library(blobs, monkeypatch):
     vectors = clustering.scaled_vectors(blobs, FEATURES)
     model = clustering.kmeans_search(vectors, (3,))[0].model

@@ -6,11 +6,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwell.operators.bounded import cached, pin_small
+from tripwell.operators.bounded import cached, cached_if_few, pin_small
 from tripwell.operators.cleaning import drop_nulls, filter_below, filter_logical
 from tripwell.operators.clustering import (
     CLUSTER_FEATURES, assign_nearest, centers_frame, kmeans_restarts)
 from tripwell.operators.encoding import vector_assemble
+from tripwell.operators.packed_means import FEW_ROWS
 from tripwell.operators.ranking import persona_rank
 from tripwell.operators.scaling import inverse_scale, standard_scale
 
@@ -29,7 +30,7 @@ def personas_pipeline(trips: DataFrame, k: int = 4, restarts: int = 10, max_iter
     sample = cached(kept.select(*features))
     try:
         scaled = standard_scale(sample, features, population=True)
-        vectors = cached(vector_assemble(scaled, scaled_names).select("features"))
+        vectors = cached_if_few(vector_assemble(scaled, scaled_names).select("features"), FEW_ROWS)
         try:
             trials = kmeans_restarts(vectors, k, restarts, seed, max_iter)
         finally:
